@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import survivors, topn
+from folioflow.llm import encoding, packing, survivors, topn
 from folioflow.session import table
 
 
@@ -33,8 +33,17 @@ def p3_found(spark: SparkSession, directory: str) -> DataFrame:
     return topn.best_chunks(table(spark, directory, "chunk_hits"), table(spark, directory, "chunks"))
 
 
+def p7_ids(spark: SparkSession, directory: str) -> DataFrame:
+    documents = table(spark, directory, "documents")
+    return documents.select("doc_id", encoding.token_ids(spark)(F.col("text")).alias("ids"))
+
+
+def p8_containers(spark: SparkSession, directory: str) -> DataFrame:
+    return packing.fill_containers(table(spark, directory, "documents"), "doc_id", "text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_surviving_records": p1_surviving_records, "p3_found": p3_found}
+    return {"p1_found": p1_found, "p1_surviving_records": p1_surviving_records, "p3_found": p3_found, "p7_ids": p7_ids, "p8_containers": p8_containers}
 
 
 P1_RECORDS = r"""

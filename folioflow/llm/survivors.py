@@ -67,7 +67,7 @@ def surviving_records(
 
 def cleaned(text: Column) -> Column:
     """White space collapsed and trimmed, lower case."""
-    return F.lower(F.trim(F.regexp_replace(text, r"[\s ]+", " ")))
+    return F.lower(F.trim(F.regexp_replace(text, r"[\s\u00a0]+", " ")))
 
 
 # Words that stand for no value, and words of papers that aren't accepted.
@@ -86,7 +86,7 @@ def acceptance_rank(accepted_by: Column) -> Column:
 
 def complete_addresses(base_urls: Column) -> Column:
     """The different complete http(s) addresses among a map's values, sorted; empty for a null map."""
-    values = F.transform(F.map_values(base_urls), lambda x: F.regexp_replace(x, r"^[\s ]+|[\s ]+$", ""))
+    values = F.transform(F.map_values(base_urls), lambda x: F.regexp_replace(x, r"^[\s\u00a0]+|[\s\u00a0]+$", ""))
     whole = F.filter(values, lambda x: x.rlike(r"^(?i:https?)://[^\s/?#]+\.[^\s/?#.]+([/?#:]\S*)?$"))
     return F.coalesce(F.array_sort(F.array_distinct(whole)), F.array().cast("array<string>"))
 

@@ -15,7 +15,7 @@ from pyspark.sql.window import Window
 from folioflow.session import cut_lineage
 
 #: A group with more rows than this is heavy.
-HEAVY_ROWS = 10_000
+HEAVY_ROWS = 2_000
 #: Heavy groups up to this number are marked by a broadcast of their keys; beyond it by a shuffled join.
 BROADCAST_GROUPS = 100_000
 
