@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import encoding, packing, survivors, topn
+from folioflow.llm import encoding, neighbors, packing, survivors, topn
 from folioflow.session import table
 
 
@@ -29,6 +29,10 @@ def p1_surviving_records(spark: SparkSession, directory: str) -> DataFrame:
     return best.select("paper_id", *values)
 
 
+def p2_found(spark: SparkSession, directory: str) -> DataFrame:
+    return neighbors.similar_pairs(table(spark, directory, "chunk_embeddings"))
+
+
 def p3_found(spark: SparkSession, directory: str) -> DataFrame:
     return topn.best_chunks(table(spark, directory, "chunk_hits"), table(spark, directory, "chunks"))
 
@@ -43,7 +47,7 @@ def p8_containers(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_surviving_records": p1_surviving_records, "p3_found": p3_found, "p7_ids": p7_ids, "p8_containers": p8_containers}
+    return {"p1_found": p1_found, "p1_surviving_records": p1_surviving_records, "p2_found": p2_found, "p3_found": p3_found, "p7_ids": p7_ids, "p8_containers": p8_containers}
 
 
 P1_RECORDS = r"""
