@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import encoding, neighbors, packing, survivors, topn
+from folioflow.llm import encoding, neighbors, packing, survivors, topn, truncation
 from folioflow.session import table
 
 
@@ -46,8 +46,20 @@ def p8_containers(spark: SparkSession, directory: str) -> DataFrame:
     return packing.fill_containers(table(spark, directory, "documents"), "doc_id", "text")
 
 
+def _judged(spark: SparkSession, directory: str) -> DataFrame:
+    return truncation.cut_texts(table(spark, directory, "documents"), "text", "doc_id", F.lower(F.trim("lang")), F.col("source"))
+
+
+def p9_found(spark: SparkSession, directory: str) -> DataFrame:
+    return _judged(spark, directory).where("truncated").select("doc_id")
+
+
+def p9_share_by_source(spark: SparkSession, directory: str) -> DataFrame:
+    return truncation.truncation_by_source(_judged(spark, directory))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_surviving_records": p1_surviving_records, "p2_found": p2_found, "p3_found": p3_found, "p7_ids": p7_ids, "p8_containers": p8_containers}
+    return {"p1_found": p1_found, "p1_surviving_records": p1_surviving_records, "p2_found": p2_found, "p3_found": p3_found, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found, "p9_share_by_source": p9_share_by_source}
 
 
 P1_RECORDS = r"""
