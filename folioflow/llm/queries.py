@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import encoding, neighbors, packing, survivors, topn, truncation
+from folioflow.llm import encoding, neighbors, packing, splitting, survivors, topn, truncation
 from folioflow.session import table
 
 
@@ -37,6 +37,18 @@ def p3_found(spark: SparkSession, directory: str) -> DataFrame:
     return topn.best_chunks(table(spark, directory, "chunk_hits"), table(spark, directory, "chunks"))
 
 
+def _pieces(spark: SparkSession, directory: str) -> DataFrame:
+    return splitting.pieces_to_make(table(spark, directory, "md_blocks"), table(spark, directory, "subchunk_audit"))
+
+
+def p5_found(spark: SparkSession, directory: str) -> DataFrame:
+    return _pieces(spark, directory).where("piece_count > 1 and piece_index = 0").select("block_no")
+
+
+def p5_pieces(spark: SparkSession, directory: str) -> DataFrame:
+    return _pieces(spark, directory).select("block_no", "paper_id", "section_path", "kind", "piece_index", "piece_count", "char_start", "char_end", "piece")
+
+
 def p7_ids(spark: SparkSession, directory: str) -> DataFrame:
     documents = table(spark, directory, "documents")
     return documents.select("doc_id", encoding.token_ids(spark)(F.col("text")).alias("ids"))
@@ -59,7 +71,7 @@ def p9_share_by_source(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_surviving_records": p1_surviving_records, "p2_found": p2_found, "p3_found": p3_found, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found, "p9_share_by_source": p9_share_by_source}
+    return {"p1_found": p1_found, "p1_surviving_records": p1_surviving_records, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_pieces": p5_pieces, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found, "p9_share_by_source": p9_share_by_source}
 
 
 P1_RECORDS = r"""
@@ -106,6 +118,23 @@ placed AS (
 SELECT paper_id, place, chunk_id FROM placed WHERE place <= 3
 """
 
+P5_FOUND = """
+WITH body AS (
+  SELECT DISTINCT block_no, length(trim(text, (SELECT string_agg(chr(c::INT), '') FROM (SELECT unnest([9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, 8232, 8233, 8239, 8287, 12288]
+      || range(8192, 8203)) AS c)))) AS n FROM md_blocks),
+pieces AS (SELECT DISTINCT block_no, embedding_model, subchunk_count, subchunk_index, char_start, char_end FROM subchunk_audit),
+linked AS (
+  SELECT *, lag(char_end) OVER w AS before_end, lag(char_start) OVER w AS before_start FROM pieces
+  WINDOW w AS (PARTITION BY block_no, embedding_model, subchunk_count ORDER BY subchunk_index)),
+good AS (
+  SELECT block_no, max(char_end) FILTER (subchunk_index = subchunk_count - 1) AS last_end FROM linked
+  GROUP BY block_no, embedding_model, subchunk_count
+  HAVING count(*) = subchunk_count AND min(subchunk_index) = 0 AND max(subchunk_index) = subchunk_count - 1 AND count(DISTINCT subchunk_index) = subchunk_count
+    AND min(char_start) FILTER (subchunk_index = 0) = 0 AND max(char_end - char_start) <= 3200 AND min(char_end - char_start) > 0
+    AND coalesce(bool_and(least(before_end, char_end) - greatest(before_start, char_start) BETWEEN 1 AND 200) FILTER (subchunk_index > 0), true))
+SELECT block_no FROM body WHERE n > 3200 AND NOT EXISTS (SELECT 1 FROM good WHERE good.block_no = body.block_no AND good.last_end = body.n)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_FOUND, "p3_found": P3_FOUND}
+    return {"p1_found": P1_FOUND, "p3_found": P3_FOUND, "p5_found": P5_FOUND}
