@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import encoding, neighbors, packing, splitting, survivors, topn, truncation
+from folioflow.llm import encoding, neighbors, ocr, packing, splitting, survivors, topn, truncation
 from folioflow.session import table
 
 
@@ -49,6 +49,14 @@ def p5_pieces(spark: SparkSession, directory: str) -> DataFrame:
     return _pieces(spark, directory).select("block_no", "paper_id", "section_path", "kind", "piece_index", "piece_count", "char_start", "char_end", "piece")
 
 
+def p6_found(spark: SparkSession, directory: str) -> DataFrame:
+    return ocr.lines_to_repair(table(spark, directory, "ocr_pages"))
+
+
+def p6_paragraphs(spark: SparkSession, directory: str) -> DataFrame:
+    return ocr.paragraphs(table(spark, directory, "ocr_pages"))
+
+
 def p7_ids(spark: SparkSession, directory: str) -> DataFrame:
     documents = table(spark, directory, "documents")
     return documents.select("doc_id", encoding.token_ids(spark)(F.col("text")).alias("ids"))
@@ -71,7 +79,7 @@ def p9_share_by_source(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_surviving_records": p1_surviving_records, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_pieces": p5_pieces, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found, "p9_share_by_source": p9_share_by_source}
+    return {"p1_found": p1_found, "p1_surviving_records": p1_surviving_records, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found, "p9_share_by_source": p9_share_by_source}
 
 
 P1_RECORDS = r"""
