@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.llm import encoding, neighbors, ocr, packing, splitting, survivors, topn, truncation
+from folioflow.llm import encoding, matching, neighbors, ocr, packing, splitting, survivors, topn, truncation
 from folioflow.session import table
 
 
@@ -37,6 +37,18 @@ def p3_found(spark: SparkSession, directory: str) -> DataFrame:
     return topn.best_chunks(table(spark, directory, "chunk_hits"), table(spark, directory, "chunks"))
 
 
+def _matches(spark: SparkSession, directory: str) -> DataFrame:
+    return matching.match_entries(table(spark, directory, "papers"), table(spark, directory, "venue_entries"))
+
+
+def p4_found(spark: SparkSession, directory: str) -> DataFrame:
+    return _matches(spark, directory).select("paper_id", "entry_no")
+
+
+def p4_matches(spark: SparkSession, directory: str) -> DataFrame:
+    return _matches(spark, directory).select("paper_id", "entry_no", "rule", F.round("confidence", 6).alias("confidence"))
+
+
 def _pieces(spark: SparkSession, directory: str) -> DataFrame:
     return splitting.pieces_to_make(table(spark, directory, "md_blocks"), table(spark, directory, "subchunk_audit"))
 
@@ -79,7 +91,7 @@ def p9_share_by_source(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_surviving_records": p1_surviving_records, "p2_found": p2_found, "p3_found": p3_found, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found, "p9_share_by_source": p9_share_by_source}
+    return {"p1_found": p1_found, "p1_surviving_records": p1_surviving_records, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_matches": p4_matches, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found, "p9_share_by_source": p9_share_by_source}
 
 
 P1_RECORDS = r"""
