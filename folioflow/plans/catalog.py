@@ -1,21 +1,310 @@
-"""All registered queries of the core and their SQL equivalents."""
+"""All registered queries of the core and their SQL equivalents.
+
+Every query runs over its whole tables. Floating sums are rounded on both sides, since engines add in different orders.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from folioflow.functions import hashing, text, vector
+from folioflow.functions.ids import canonical_paper_id, normalized_title, paper_id_from_title
+from folioflow.operators import assets, dossier, evaluate, fusion, lexical, markdown, merge, quality, rerank, search, store
 from folioflow.session import table
+from folioflow.sources import html
+
+QUERY = "retrieval of passages with uncertain agents and long documents"
+TOPIC = "retrieval-augmented planning"
+TOPIC_FIELDS = (lexical.TopicField("title", 4.0, 12.0), lexical.TopicField("abstract", 1.5, 6.0), lexical.TopicField("seen_in_categories", 2.5, is_array=True))
+URL_KEYS = ("acl_anthology_pdf_url", "pmlr_pdf_url", "openreview_pdf_url", "official_pdf_url", "arxiv_pdf_url", "arxiv_url")
+CASES = ("relevance of cautious rankers", "memory and agents under private data", "translation of long documents")
+
+
+def _chunks(spark, directory):
+    return table(spark, directory, "chunks").dropDuplicates(["chunk_id"])
+
+
+def _papers(spark, directory):
+    """Crawl records with their key, each once."""
+    papers = table(spark, directory, "papers").dropDuplicates(["record_no"])
+    return papers.withColumn("key", canonical_paper_id(F.col("paper_id"), F.col("title")))
+
+
+def _vectors(spark, directory):
+    rows = table(spark, directory, "chunk_embeddings").dropDuplicates(["embedding_no"])
+    return rows.where((F.col("embedding_model_version") == "openai-compatible-64") & (F.size("vector") == 64))
+
+
+def _query_vector() -> list[float]:
+    """A fixed direction: alternating weights that fall with the place."""
+    return [(1.0 if i % 2 == 0 else -1.0) / (1.0 + i) for i in range(64)]
+
+
+def title_keys(spark, directory):
+    papers = table(spark, directory, "papers").dropDuplicates(["record_no"])
+    return papers.select("record_no", normalized_title(F.col("title")).alias("normalized"), paper_id_from_title(F.col("title")).alias("title_id"), canonical_paper_id(F.col("paper_id"), F.col("title")).alias("key"))
+
+
+def chunk_tokens(spark, directory):
+    tokens = text.retrieval_tokens(F.col("text"))
+    return _chunks(spark, directory).select("chunk_id", F.size(tokens).alias("tokens"), F.size(F.array_distinct(tokens)).alias("distinct_tokens"), F.size(text.section_weighted_tokens(F.col("text"), F.col("section_path"))).alias("weighted"))
+
+
+def bm25_chunks(spark, directory):
+    return search.bm25_chunks(_chunks(spark, directory), QUERY, 300).select("rank", "paper_id", "chunk_id", F.round("score", 6).alias("score"), F.round("coverage", 6).alias("coverage"), F.array_join("terms", " ").alias("terms"))
+
+
+def bm25_papers(spark, directory):
+    hits = search.bm25_chunks(_chunks(spark, directory), QUERY, 300)
+    papers = search.relative_to_top(search.bm25_papers(hits, QUERY, 50))
+    return papers.select("rank", "paper_id", *[F.round(c, 6).alias(c) for c in ("score", "best", "mean_top", "coverage", "relative")], "scoring_chunks")
+
+
+def vector_chunks(spark, directory):
+    hits = search.vector_chunks(_vectors(spark, directory), _query_vector(), 300, "embedding_id")
+    return hits.select("rank", "paper_id", "embedding_id", F.round("score", 6).alias("score"))
+
+
+def vector_papers(spark, directory):
+    hits = search.vector_chunks(_vectors(spark, directory), _query_vector(), 300, "embedding_id")
+    return search.vector_papers(hits, 50).select("rank", "paper_id", *[F.round(c, 6).alias(c) for c in ("score", "best", "mean_top")], "scoring_chunks")
+
+
+def hybrid_papers(spark, directory):
+    lexical_side = search.bm25_papers(search.bm25_chunks(_chunks(spark, directory), QUERY, 300), QUERY, 50)
+    vector_side = search.vector_papers(search.vector_chunks(_vectors(spark, directory), _query_vector(), 300, "embedding_id"), 50)
+    fused = fusion.fuse(lexical_side.select("rank", "paper_id", "score"), vector_side.select("rank", "paper_id", "score"), 0.7, 0.3, 60)
+    return fused.select("rank", "paper_id", *[F.round(c, 6).alias(c) for c in ("score", "rank_score", "primary_relative", "secondary_relative")])
+
+
+def vector_norms(spark, directory):
+    rows = table(spark, directory, "chunk_embeddings").dropDuplicates(["embedding_no"]).where(vector.is_usable(F.col("vector")))
+    return rows.select("embedding_no", F.size("vector").alias("size"), F.round(vector.norm(F.col("vector")), 6).alias("norm"), F.round(vector.norm(vector.normalized(F.col("vector"))), 6).alias("unit"))
+
+
+def segments(spark, directory):
+    blocks = table(spark, directory, "md_blocks").dropDuplicates(["block_no"]).select("block_no", "text")
+    cut = rerank.segments(blocks, "text", 3200, 200)
+    return cut.select("block_no", "segment_index", "segment_count", "char_start", "char_end", F.sha2("segment", 256).alias("segment_hash"), rerank.segment_id(F.col("block_no").cast("string"), F.col("segment_index"), F.col("segment_count")).alias("segment_id"))
+
+
+def reranked_papers(spark, directory):
+    """Segments of chunks scored by their share of distinct query terms, aggregated to chunks and papers."""
+    terms = text.query_terms(QUERY)
+    cut = rerank.segments(_chunks(spark, directory).select("paper_id", "chunk_id", "text"), "text", 400, 50)
+    hits = F.size(F.array_intersect(text.retrieval_tokens(F.col("segment")), F.array(*[F.lit(t) for t in terms])))
+    scored = cut.select("paper_id", "chunk_id", rerank.segment_id(F.col("chunk_id"), F.col("segment_index"), F.col("segment_count")).alias("segment_id"), (hits / len(terms)).alias("score"))
+    return rerank.reranked_papers(scored).select("rank", "paper_id", F.round("score", 6).alias("score"), "chunks")
+
+
+def _suite(spark, directory):
+    """A ranking and judgments for each retriever and each paper-rich search: grades by the share of a hit's rank."""
+    hits = table(spark, directory, "chunk_hits").dropDuplicates(["hit_no"]).where(F.col("paper_id").isNotNull() & F.col("score").isNotNull() & ~F.isnan("score"))
+    best = hits.groupBy("search_id", "retriever_name", "paper_id").agg(F.max("score").alias("score"), F.min("hit_rank").alias("hit_rank"))
+    case = F.concat_ws("/", "search_id", "retriever_name")
+    ranked = search.numbered(best.select(case.alias("case_id"), "paper_id", "score"), [F.desc("score"), F.asc("paper_id")], ["case_id"])
+    judged = best.select(case.alias("case_id"), "paper_id", F.when(F.col("hit_rank") <= 1, 3).when(F.col("hit_rank") <= 3, 2).when(F.col("hit_rank") <= 6, 1).otherwise(0).alias("relevance"))
+    return ranked, judged
+
+
+def ranking_metrics(spark, directory):
+    ranked, judged = _suite(spark, directory)
+    return evaluate.ranking_metrics(ranked, judged, (1, 3, 5, 10), 2).select("case_id", "k", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "ndcg", "reciprocal_rank", "average_precision")], "relevant_count", "retrieved_count")
+
+
+def macro_summary(spark, directory):
+    ranked, judged = _suite(spark, directory)
+    summary = evaluate.macro_summary(evaluate.ranking_metrics(ranked, judged, (5,), 2), 5)
+    return summary.select("cases", *[F.round(c, 6).alias(c) for c in summary.columns if c.startswith("macro_")])
+
+
+def suite_fusion(spark, directory):
+    """Both retrievers' rankings fused for every search at once."""
+    hits = table(spark, directory, "chunk_hits").dropDuplicates(["hit_no"]).where(F.col("paper_id").isNotNull() & F.col("score").isNotNull() & ~F.isnan("score") & (F.abs("score") < float("inf")))
+    best = hits.groupBy("search_id", "retriever_name", "paper_id").agg(F.max("score").alias("score"))
+    ranked = search.numbered(best, [F.desc("score"), F.asc("paper_id")], ["search_id", "retriever_name"])
+    sides = [ranked.where(F.col("retriever_name") == n).select("search_id", "rank", "paper_id", "score") for n in ("bm25_fulltext", "vector")]
+    return fusion.fuse(*sides, 0.7, 0.3, 10, ("search_id",)).select("search_id", "rank", "paper_id", F.round("score", 6).alias("score"), F.round("rank_score", 6).alias("rank_score"))
+
+
+def venue_counts(spark, directory):
+    return store.group_counts(table(spark, directory, "papers").dropDuplicates(["record_no"]), "accepted_by")
+
+
+def source_statistics(spark, directory):
+    """OCR pages by backend: counts, failures, characters, durations."""
+    pages = table(spark, directory, "ocr_pages").dropDuplicates(["page_no"])
+    return pages.groupBy("backend_name").agg(
+        F.count(F.lit(1)).alias("pages"), F.count_if("success").alias("successful"), F.count_if(F.coalesce("error_note", F.lit("")) != "").alias("with_error"), F.count_distinct("paper_id").alias("papers"),
+        F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("characters"), F.round(F.sum(F.coalesce("duration_seconds", F.lit(0.0))), 3).alias("seconds"), F.max("page_index").alias("last_page"),
+    )
+
+
+def field_completeness(spark, directory):
+    rows = store.completeness(table(spark, directory, "papers").dropDuplicates(["record_no"]), ["title", "abstract", "authors", "accepted_by", "seen_in_sources", "base_urls", "base_urls.arxiv_pdf_url", "crawled_at"], "record_no")
+    return rows.select("field", "total", "missing", F.array_join("examples", ",").alias("examples"))
+
+
+def complete_records(spark, directory):
+    rows = store.non_empty(table(spark, directory, "papers").dropDuplicates(["record_no"]), ["title", "abstract", "authors", "base_urls.arxiv_pdf_url"])
+    return store.equals(rows, "seen_in_categories", "cs.CL").select("record_no", F.size("authors").alias("authors"))
+
+
+def pdf_candidates(spark, directory):
+    papers = table(spark, directory, "papers").dropDuplicates(["record_no"])
+    found = store.first_candidates(F.col("base_urls"), URL_KEYS)
+    return papers.select("record_no", F.size(found).alias("candidates"), F.get(found, 0).alias("preferred"), text.hostname(F.get(found, 0)).alias("host"), text.domain_policy(text.hostname(F.get(found, 0)), (("arxiv.example", "slow"), ("example", "normal")), "none").alias("policy"))
+
+
+def hits_in_known_papers(spark, directory):
+    hits = table(spark, directory, "chunk_hits").dropDuplicates(["hit_no"]).select("hit_no", "paper_id", "chunk_id")
+    known = store.by_keys(hits, "chunk_id", table(spark, directory, "chunks").select("chunk_id"))
+    unknown = store.missing_keys(table(spark, directory, "chunks"), "chunk_id", hits.select("chunk_id"))
+    return known.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("paper_id").alias("papers")).select(F.lit("known").alias("part"), "n", "papers").unionByName(unknown.agg(F.count("chunk_id").alias("n")).select(F.lit("unknown").alias("part"), "n", F.lit(0).cast("bigint").alias("papers")))
+
+
+def chunk_manifests(spark, directory):
+    return assets.manifests(table(spark, directory, "chunks")).select("paper_id", "chunk_count", "page_start", "page_end", F.sha2(F.array_join("chunk_ids", "\n"), 256).alias("ids_hash"))
+
+
+def chunk_reasons(spark, directory):
+    return assets.distribution(assets.chunk_reasons(table(spark, directory, "chunks")).select(F.coalesce("reason", F.lit("sound")).alias("reason")), ["reason"])
+
+
+def embedding_audit(spark, directory):
+    return assets.embedding_audit(table(spark, directory, "chunk_embeddings"))
+
+
+def embedding_distribution(spark, directory):
+    return assets.distribution(table(spark, directory, "chunk_embeddings").dropDuplicates(["embedding_no"]).withColumn("size", F.size("vector")), ["embedding_model", "embedding_model_version", "embedding_dimension", "size"])
+
+
+def embedding_ids(spark, directory):
+    rows = table(spark, directory, "chunk_embeddings").dropDuplicates(["embedding_no"]).where("source_chunk_sha256 is not null and embedding_dimension is not null")
+    made = hashing.embedding_id(F.col("chunk_id"), F.col("embedding_model"), F.col("embedding_model_version"), F.col("embedding_dimension"), F.col("source_chunk_sha256"))
+    return rows.select("embedding_no", made.alias("made_id"), hashing.looks_like_sha256(F.col("source_chunk_sha256")).alias("sound_hash"))
+
+
+def splitter_fingerprints(spark, directory):
+    chunks = _chunks(spark, directory)
+    options = F.array_join(F.transform(F.array_sort(F.map_entries("splitter_options")), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"].cast("string"))), ",")
+    payload = F.concat(F.lit('{"splitter_name":"'), "splitter_name", F.lit('","splitter_options":{'), options, F.lit('},"splitter_version":"'), "splitter_version", F.lit('"}'))
+    folder = F.concat_ws("/", F.lit("chunks"), F.substring("paper_id", 1, 2), F.substring("paper_id", 3, 2), "paper_id", text.safe_path_component(F.col("splitter_name")), F.concat(text.safe_path_component(F.col("splitter_version")), F.lit("-"), F.substring(F.sha2(payload, 256), 1, 16)))
+    return chunks.groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def topic_recall(spark, directory):
+    rows = _papers(spark, directory).groupBy("key").agg(F.min(F.struct("record_no", "title", "abstract", "seen_in_categories")).alias("r")).select("key", "r.*")
+    found = lexical.topic_recall(rows, TOPIC, TOPIC_FIELDS, 50, key="key")
+    return found.select("rank", "key", "title", F.round("score", 6).alias("score"), F.array_join("matched_fields", ",").alias("matched"))
+
+
+def fuzzy_titles(spark, directory):
+    rows = _papers(spark, directory).groupBy("key").agg(F.min("title").alias("title"))
+    return lexical.fuzzy_titles(rows, "a study of federated paramters in industrial navigtion", 20, 0.65, key="key").select("key", F.round("score", 6).alias("score"))
+
+
+def merged_papers(spark, directory):
+    papers = _papers(spark, directory).withColumn("source", F.lower(F.trim(F.regexp_replace("source_name", r"\s+", " "))))
+    merged = merge.merged_records(papers, "key", [F.col("ingested_at"), F.col("record_no")], ["title", "abstract"], "accepted_by", "source", "seen_in_categories")
+    return merged.select("key", "merged_title", F.sha2("merged_abstract", 256).alias("abstract_hash"), "merged_accepted_by", F.array_join("sources", "|").alias("sources"), F.array_join("categories", "|").alias("categories"), "arrivals")
+
+
+def migrated_papers(spark, directory):
+    rows = merge.migrated(table(spark, directory, "papers").dropDuplicates(["record_no"]), {"accepted_by": "venue_text"}, {"venue_text": F.lit(""), "abstract": F.lit(""), "language": F.lit("en")}, 4)
+    return rows.groupBy("schema_version", "language").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("venue_text") == "").alias("without_venue"), F.count_if(F.col("abstract") == "").alias("without_abstract"))
+
+
+def set_operations(spark, directory):
+    papers = table(spark, directory, "papers").dropDuplicates(["record_no"])
+    sources = store.ordered_distinct(F.coalesce("seen_in_sources", F.array().cast("array<string>")))
+    grown = store.set_add(sources, F.lit("arXiv"))
+    return papers.select("record_no", F.array_join(sources, "|").alias("ordered"), F.array_join(grown, "|").alias("grown"), F.size(F.array_except(sources, F.array(F.lit("arXiv"), F.lit("OpenReview")))).alias("others"), F.array_join(F.array_sort(F.array_union(sources, F.coalesce("seen_in_categories", F.array().cast("array<string>")))), "|").alias("united"))
+
+
+def title_functions(spark, directory):
+    papers = table(spark, directory, "papers").dropDuplicates(["record_no"])
+    title = F.col("title")
+    return papers.select(
+        "record_no", text.preview(title, 40).alias("short"), text.preview(title, 40, "...").alias("dotted"), text.markdown_cell(title).alias("cell"), text.safe_path_component(title).alias("component"),
+        text.safe_name(title).alias("safe"), F.round(text.uppercase_share(title), 6).alias("uppercase"), text.accept_type(F.col("accepted_by")).alias("accept_type"), text.day_text(F.col("crawled_at")).alias("day"), text.local_iso(F.col("crawled_at")).alias("local"),
+    )
+
+
+def size_texts(spark, directory):
+    return _chunks(spark, directory).groupBy("paper_id").agg(F.sum("char_count").alias("characters")).select("paper_id", text.human_bytes(F.col("characters")).alias("size"), text.asset_path(F.col("paper_id"), "pdf", "pdf").alias("path"))
+
+
+def page_markdown(spark, directory):
+    pages = table(spark, directory, "ocr_pages").dropDuplicates(["page_no"])
+    return quality.page_markdown(pages).select("paper_id", "page_count", "char_count", F.sha2("markdown", 256).alias("markdown_hash"))
+
+
+def document_quality(spark, directory):
+    pages = table(spark, directory, "ocr_pages").dropDuplicates(["page_no"])
+    titles = _papers(spark, directory).groupBy("key").agg(F.min("title").alias("title")).withColumnRenamed("key", "paper_id")
+    documents = quality.page_markdown(pages).join(quality.parse_reports(pages), "paper_id").join(titles, "paper_id", "left")
+    checked = quality.quality_checks(documents, "paper_id")
+    return checked.select("paper_id", F.round("score", 6).alias("score"), "status", F.array_join(F.transform(F.filter("checks", lambda c: ~c["passed"]), lambda c: c["name"]), ",").alias("failed"))
+
+
+def _markdown(spark, directory):
+    return quality.page_markdown(table(spark, directory, "ocr_pages").dropDuplicates(["page_no"]).where("success"))
+
+
+def markdown_blocks(spark, directory):
+    return markdown.markdown_blocks(_markdown(spark, directory), "paper_id").select("paper_id", "block_index", "kind", "page_start", F.array_join("section_path", " > ").alias("section"), F.sha2("text", 256).alias("text_hash"))
+
+
+def markdown_chunks(spark, directory):
+    return markdown.markdown_chunks(_markdown(spark, directory), "paper_id").select("paper_id", "chunk_index", "char_count", "content_sha256", "page_start", "page_end", F.array_join("section_path", " > ").alias("section"))
+
+
+def token_hash_embeddings(spark, directory):
+    made = vector.token_hash_embedding(F.col("text"), 128)
+    return _chunks(spark, directory).select("chunk_id", made.alias("v")).select("chunk_id", F.size("v").alias("size"), F.round(vector.norm(F.col("v")), 6).alias("norm"), F.transform(F.slice("v", 1, 4), lambda x: F.round(x, 6)).alias("first"))
+
+
+def dossier_lines(spark, directory):
+    hits = search.bm25_chunks(_chunks(spark, directory), QUERY, 300)
+    ranking = search.bm25_papers(hits, QUERY, 20)
+    titles = _papers(spark, directory).groupBy("key").agg(F.min("title").alias("title")).withColumnRenamed("key", "paper_id")
+    return dossier.overview_lines(ranking, titles)
+
+
+def html_articles(spark, directory):
+    """Article pages rendered from the papers and read again by their meta elements."""
+    papers = table(spark, directory, "papers").dropDuplicates(["record_no"]).where("title is not null")
+    pages = papers.select("record_no", html.rendered(F.col("title"), F.transform("authors", lambda a: a["name"]), F.col("abstract")).alias("page"))
+    meta = html.article(F.col("page")).alias("a")
+    return pages.select("record_no", meta).select("record_no", "a.title", F.array_join("a.authors", "|").alias("authors"), F.sha2("a.abstract", 256).alias("abstract_hash"))
+
+
+def daily_events(spark, directory):
+    events = table(spark, directory, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    return events.groupBy(F.date_format(F.window("at", "1 day")["start"], "yyyy-MM-dd").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
 
 
 def flagship(spark: SparkSession, directory: str) -> DataFrame:
-    return table(spark, directory, "chunks").groupBy("paper_id").count()
+    return hybrid_papers(spark, directory)
+
+
+NAMES = (
+    title_keys, chunk_tokens, bm25_chunks, bm25_papers, vector_chunks, vector_papers, hybrid_papers, vector_norms, segments, reranked_papers, ranking_metrics, macro_summary, suite_fusion, venue_counts,
+    source_statistics, field_completeness, complete_records, pdf_candidates, hits_in_known_papers, chunk_manifests, chunk_reasons, embedding_audit, embedding_distribution, embedding_ids, splitter_fingerprints,
+    topic_recall, fuzzy_titles, merged_papers, migrated_papers, set_operations, title_functions, size_texts, page_markdown, document_quality, markdown_blocks, markdown_chunks, token_hash_embeddings, dossier_lines,
+    html_articles, daily_events,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {f.__name__: f for f in NAMES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from folioflow.plans.oracle import ORACLE
+
+    return dict(ORACLE)
