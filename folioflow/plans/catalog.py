@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 
 from folioflow.functions import hashing, text, vector
 from folioflow.functions.ids import canonical_paper_id, normalized_title, paper_id_from_title
-from folioflow.operators import assets, dossier, evaluate, fusion, lexical, markdown, merge, quality, rerank, search, store
+from folioflow.operators import assets, dossier, evaluate, fusion, lexical, markdown, merge, quality, rerank, search, store, suites
 from folioflow.session import table
-from folioflow.sources import html
+from folioflow.sources import html, records
 
 QUERY = "retrieval of passages with uncertain agents and long documents"
 TOPIC = "retrieval-augmented planning"
 TOPIC_FIELDS = (lexical.TopicField("title", 4.0, 12.0), lexical.TopicField("abstract", 1.5, 6.0), lexical.TopicField("seen_in_categories", 2.5, is_array=True))
 URL_KEYS = ("acl_anthology_pdf_url", "pmlr_pdf_url", "openreview_pdf_url", "official_pdf_url", "arxiv_pdf_url", "arxiv_url")
-CASES = ("relevance of cautious rankers", "memory and agents under private data", "translation of long documents")
+CASES = (("c1", "relevance of cautious rankers"), ("c2", "memory and agents under private data"), ("c3", "translation of long documents"))
 
 
 def _chunks(spark, directory):
@@ -130,6 +130,41 @@ def suite_fusion(spark, directory):
     return fusion.fuse(*sides, 0.7, 0.3, 10, ("search_id",)).select("search_id", "rank", "paper_id", F.round("score", 6).alias("score"), F.round("rank_score", 6).alias("rank_score"))
 
 
+def _case_vectors():
+    base = _query_vector()
+    return [(c, base[i:] + base[:i]) for i, (c, _) in enumerate(CASES)]
+
+
+def suite_chunks(spark, directory):
+    """Lexical hits of three cases, each over its own candidates: the papers whose id begins with certain digits."""
+    chunks = _chunks(spark, directory)
+    sets = F.explode(F.array(*[F.struct(F.lit(c).alias("case_id"), F.col("paper_id").rlike(f"^[{d}]").alias("own")) for (c, _), d in zip(CASES, ("0-7", "4-b", "8-f"))]))
+    candidates = chunks.select("paper_id").distinct().select("paper_id", sets.alias("s")).where("s.own").select("s.case_id", "paper_id")
+    return suites.bm25_cases(chunks, CASES, 100, candidates).select("case_id", "rank", "paper_id", "chunk_id", F.round("score", 6).alias("score"), F.round("coverage", 6).alias("coverage"))
+
+
+def suite_vectors(spark, directory):
+    return suites.vector_cases(_vectors(spark, directory), _case_vectors(), 100, "embedding_id").select("case_id", "rank", "paper_id", "embedding_id", F.round("score", 6).alias("score"))
+
+
+def suite_hybrid(spark, directory):
+    """The whole suite: fused rankings of three cases with grades by the papers' first digit, and their metrics."""
+    chunks = _chunks(spark, directory)
+    grade = F.explode(F.array(*[F.struct(F.lit(c).alias("case_id"), (F.conv(F.substring("paper_id", 1 + i, 1), 16, 10).cast("int") % 4).alias("relevance")) for i, (c, _) in enumerate(CASES)]))
+    judged = chunks.select("paper_id").distinct().select("paper_id", grade.alias("g")).select("g.case_id", "paper_id", "g.relevance")
+    _, metrics, _ = suites.hybrid_suite(chunks, _vectors(spark, directory), CASES, _case_vectors(), judged, (1, 5, 10), 20, 2, "embedding_id")
+    return metrics.select("case_id", "k", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "ndcg", "reciprocal_rank", "average_precision")], "relevant_count", "retrieved_count")
+
+
+def preprint_records(spark, directory):
+    """Crawl records read as preprint results and projected to paper records."""
+    papers = table(spark, directory, "papers").dropDuplicates(["record_no"])
+    short = F.regexp_extract(F.coalesce(F.try_element_at("base_urls", F.lit("arxiv_url")), F.lit("")), r"/abs/(.+)$", 1)
+    rows = papers.select("record_no", F.concat(short, F.lit("v2")).alias("short_id"), "title", F.col("abstract").alias("summary"), F.transform("authors", lambda a: a["name"]).alias("authors"))
+    made = records.from_preprints(rows.withColumn("title", F.col("title")))
+    return made.groupBy("paper_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("authors")).alias("authors"), F.max(F.length("abstract")).alias("longest"), F.max(F.element_at("base_urls", "arxiv_pdf_url")).alias("pdf"))
+
+
 def venue_counts(spark, directory):
     return store.group_counts(table(spark, directory, "papers").dropDuplicates(["record_no"]), "accepted_by")
 
@@ -293,7 +328,7 @@ def flagship(spark: SparkSession, directory: str) -> DataFrame:
 
 
 NAMES = (
-    title_keys, chunk_tokens, bm25_chunks, bm25_papers, vector_chunks, vector_papers, hybrid_papers, vector_norms, segments, reranked_papers, ranking_metrics, macro_summary, suite_fusion, venue_counts,
+    title_keys, chunk_tokens, bm25_chunks, bm25_papers, vector_chunks, vector_papers, hybrid_papers, vector_norms, segments, reranked_papers, ranking_metrics, macro_summary, suite_fusion, suite_chunks, suite_vectors, suite_hybrid, preprint_records, venue_counts,
     source_statistics, field_completeness, complete_records, pdf_candidates, hits_in_known_papers, chunk_manifests, chunk_reasons, embedding_audit, embedding_distribution, embedding_ids, splitter_fingerprints,
     topic_recall, fuzzy_titles, merged_papers, migrated_papers, set_operations, title_functions, size_texts, page_markdown, document_quality, markdown_blocks, markdown_chunks, token_hash_embeddings, dossier_lines,
     html_articles, daily_events,

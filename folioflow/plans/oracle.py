@@ -5,6 +5,8 @@ from __future__ import annotations
 from folioflow.functions import text
 from folioflow.functions.text import RETRIEVAL_STOPWORDS, query_terms
 
+CASES = (("c1", "relevance of cautious rankers"), ("c2", "memory and agents under private data"), ("c3", "translation of long documents"))
+
 QUERY = "retrieval of passages with uncertain agents and long documents"
 
 
@@ -240,3 +242,24 @@ ORACLE["title_functions"] = f"""WITH {RECORDS}, flat AS (SELECT *, {_SHORT} AS f
     CASE {" ".join(f"WHEN contains(lower(v), '{p}') THEN '{n}'" for p, n in text.ACCEPT_TYPES)}
       ELSE upper(substring(regexp_extract(lower(v), '(\\S*)$', 1), 1, 1)) || substring(regexp_extract(lower(v), '(\\S*)$', 1), 2) END AS accept_type,
     coalesce(strftime(crawled_at, '%Y-%m-%d'), '') AS day, strftime(crawled_at + INTERVAL 8 HOUR, '%Y-%m-%dT%H:%M:%S') || '+08:00' AS local FROM flat"""
+
+_ASKED = ", ".join(f"('{c}', '{t}', {len(query_terms(q))})" for c, q in CASES for t in query_terms(q))
+ORACLE["suite_chunks"] = f"""WITH {TOKENS},
+  terms(case_id, term, terms) AS (VALUES {_ASKED}),
+  sets(case_id, pattern) AS (VALUES ('c1', '^[0-7]'), ('c2', '^[4-b]'), ('c3', '^[8-f]')),
+  own AS (SELECT s.case_id, w.* FROM weighted w JOIN sets s ON regexp_matches(w.paper_id, s.pattern)),
+  totals AS (SELECT case_id, count(*) AS n, avg(len(tokens)) AS average FROM own GROUP BY case_id),
+  counts AS (SELECT o.case_id, paper_id, chunk_index, chunk_id, len(tokens) AS length, term, terms, len(list_filter(tokens, lambda x: x = term)) AS tf FROM own o JOIN terms t ON t.case_id = o.case_id),
+  matched AS (SELECT * FROM counts WHERE tf > 0),
+  df AS (SELECT case_id, term, count(*) AS df FROM matched GROUP BY ALL),
+  scored AS (SELECT case_id, paper_id, chunk_index, chunk_id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * length / average))) AS score, count(*) / any_value(terms) AS coverage
+    FROM matched JOIN df USING (case_id, term) JOIN totals USING (case_id) GROUP BY ALL)
+  SELECT case_id, row_number() OVER (PARTITION BY case_id ORDER BY round(score, 9) DESC, coverage DESC, paper_id, chunk_index, chunk_id) AS rank, paper_id, chunk_id, round(score, 6) AS score, round(coverage, 6) AS coverage
+  FROM scored QUALIFY rank <= 100"""
+ORACLE["suite_vectors"] = f"""WITH {VECTORS},
+  turned AS (SELECT c AS case_id, list_concat(d[i + 1:], d[1:i])::DOUBLE[] AS q FROM (SELECT {DIRECTION} AS d), (VALUES ('c1', 0), ('c2', 1), ('c3', 2)) AS v(c, i)),
+  each AS (SELECT case_id, paper_id, embedding_id, CASE WHEN list_sum(list_transform(vector, lambda x: x * x)) = 0 THEN 0.0 ELSE list_cosine_similarity(vector, q) END AS score FROM usable CROSS JOIN turned)
+  SELECT case_id, row_number() OVER (PARTITION BY case_id ORDER BY round(score, 12) DESC, paper_id DESC, embedding_id DESC) AS rank, paper_id, embedding_id, round(score, 6) AS score FROM each QUALIFY rank <= 100"""
+ORACLE["preprint_records"] = f"""WITH {RECORDS}
+  SELECT title_id AS paper_id, count(*) AS n, max(len(list_filter(coalesce(authors, []), lambda a: trim(a.name, ' ') <> ''))) AS authors, max(length(trim(regexp_replace(coalesce(abstract, ''), '\\s+', ' ', 'g'), ' '))) AS longest,
+    max('https://arxiv.org/pdf/' || regexp_extract(coalesce(base_urls['arxiv_url'], ''), '/abs/(.+)$', 1)) AS pdf FROM keyed WHERE title_id IS NOT NULL GROUP BY title_id"""
