@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -40,7 +41,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     if not context.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = os.path.join(tempfile.gettempdir(), "folioflow-checkpoints")
+    folder = tempfile.mkdtemp(prefix="folioflow-checkpoints-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
     return folder
 
