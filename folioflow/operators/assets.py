@@ -17,15 +17,17 @@ def manifests(chunks: DataFrame) -> DataFrame:
 
 
 def chunk_reasons(chunks: DataFrame) -> DataFrame:
-    """``paper_id, chunk_id, reason``: the first rule that a chunk breaks, null if none: ids and hashes, counts, pages, running index."""
-    once = chunks.dropDuplicates(["chunk_id"])
-    place = F.row_number().over(Window.partitionBy("paper_id").orderBy("chunk_index", "chunk_id")) - 1
-    reason = (
+    """``paper_id, chunk_id, reason``: the first rule that a chunk breaks, null if none: ids and hashes, counts, pages, running index.
+
+    A chunk's own rules are settled in the scan, so no text is shuffled for the running index. Repeated chunks count once.
+    """
+    own = (
         F.when(~looks_like_sha256(F.col("chunk_id")), "bad_chunk_id").when(F.coalesce("text", F.lit("")) == "", "empty_text").when(F.col("char_count") != F.length("text"), "char_count_mismatch")
         .when(F.col("content_sha256") != text_sha256(F.col("text")), "content_hash_mismatch").when((F.col("page_start") < 1) | (F.col("page_end") < F.col("page_start")), "bad_pages")
-        .when(F.col("chunk_index") != F.col("place"), "index_not_continuous")
     )
-    return once.withColumn("place", place).select("paper_id", "chunk_id", reason.alias("reason"))
+    once = chunks.select("paper_id", "chunk_id", "chunk_index", own.alias("own")).dropDuplicates(["chunk_id"])
+    place = F.row_number().over(Window.partitionBy("paper_id").orderBy("chunk_index", "chunk_id")) - 1
+    return once.withColumn("place", place).select("paper_id", "chunk_id", F.coalesce("own", F.when(F.col("chunk_index") != F.col("place"), "index_not_continuous")).alias("reason"))
 
 
 def embedding_audit(embeddings: DataFrame) -> DataFrame:

@@ -38,15 +38,16 @@ def bm25_chunks(chunks: DataFrame, query: str, limit: int = 300, config: Bm25 =
     """``rank, paper_id, chunk_index, chunk_id, score, coverage, terms``: the best chunks for a query.
 
     Statistics cover every chunk, matched or not, with section tokens counted as often as the multiplier says. Hits have a positive score.
-    Order: score and coverage descending, then paper_id, chunk_index, chunk_id. ``terms`` are the matched query terms in query order. Only the
-    query's own tokens leave the scan; the corpus' totals are scalar subqueries and the frequencies one aggregate.
+    Order: score and coverage descending, then paper_id, chunk_index, chunk_id. ``terms`` are the matched query terms in query order. Repeated
+    rows (equal chunk_id) count once. Only ids, lengths and the query's own tokens leave the scan, never a text; the corpus' totals are scalar
+    subqueries and the frequencies one aggregate.
     """
     terms = query_terms(query)
     tokens = section_weighted_tokens(F.col("text"), F.col("section_path"), config.section_multiplier)
-    lengths = chunks.select(F.size(tokens).alias("length"))
+    lengths = chunks.select("chunk_id", F.size(tokens).alias("length")).dropDuplicates(["chunk_id"])
     average, total = lengths.agg(F.avg("length")).scalar(), lengths.agg(F.count(F.lit(1))).scalar()
     rows = chunks.select("paper_id", "chunk_index", "chunk_id", tokens.alias("tokens"))
-    rows = rows.select("paper_id", "chunk_index", "chunk_id", F.size("tokens").alias("length"), F.filter("tokens", lambda t: t.isin(*terms)).alias("hits")).where(F.size("hits") > 0)
+    rows = rows.select("paper_id", "chunk_index", "chunk_id", F.size("tokens").alias("length"), F.filter("tokens", lambda t: t.isin(*terms)).alias("hits")).where(F.size("hits") > 0).dropDuplicates(["chunk_id"])
     counts = rows.select("paper_id", "chunk_index", "chunk_id", "length", F.explode("hits").alias("term")).groupBy("paper_id", "chunk_index", "chunk_id", "length", "term").agg(F.count(F.lit(1)).alias("tf"))
     frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     scored = counts.join(frequency, "term")

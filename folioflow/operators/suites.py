@@ -20,14 +20,14 @@ def bm25_cases(chunks: DataFrame, cases: Sequence[tuple[str, str]], limit: int =
     """``case_id, rank, paper_id, chunk_index, chunk_id, score, coverage`` for (case_id, query) pairs.
 
     With ``candidates`` (``case_id, paper_id``) each case sees, in statistics and hits, only the chunks of its own papers. The tokens of a chunk are
-    compared with the terms of all cases at once; only those that some case asks for leave the scan.
+    compared with the terms of all cases at once; only those that some case asks for leave the scan. Repeated rows count once.
     """
     if len(cases) > MOST_CASES:
         raise ValueError(f"more than {MOST_CASES} cases")
     asked = [(c, t, i, len(terms)) for c, q in cases for terms in (query_terms(q),) for i, t in enumerate(terms)]
     tokens = section_weighted_tokens(F.col("text"), F.col("section_path"), config.section_multiplier)
     wanted = sorted({t for _, t, _, _ in asked})
-    rows = chunks.select("paper_id", "chunk_index", "chunk_id", tokens.alias("tokens")).select("paper_id", "chunk_index", "chunk_id", F.size("tokens").alias("length"), F.filter("tokens", lambda t: t.isin(*wanted)).alias("hits"))
+    rows = chunks.select("paper_id", "chunk_index", "chunk_id", tokens.alias("tokens")).select("paper_id", "chunk_index", "chunk_id", F.size("tokens").alias("length"), F.filter("tokens", lambda t: t.isin(*wanted)).alias("hits")).dropDuplicates(["chunk_id"])
     counts = rows.select("paper_id", "chunk_index", "chunk_id", "length", F.explode("hits").alias("term")).groupBy("paper_id", "chunk_index", "chunk_id", "length", "term").agg(F.count(F.lit(1)).alias("tf"))
     terms = chunks.sparkSession.createDataFrame(asked, "case_id string, term string, o int, terms int")
     matched = counts.join(terms, "term")

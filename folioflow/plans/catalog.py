@@ -50,15 +50,16 @@ def title_keys(spark, directory):
 
 def chunk_tokens(spark, directory):
     tokens = text.retrieval_tokens(F.col("text"))
-    return _chunks(spark, directory).select("chunk_id", F.size(tokens).alias("tokens"), F.size(F.array_distinct(tokens)).alias("distinct_tokens"), F.size(text.section_weighted_tokens(F.col("text"), F.col("section_path"))).alias("weighted"))
+    counted = table(spark, directory, "chunks").select("chunk_id", F.size(tokens).alias("tokens"), F.size(F.array_distinct(tokens)).alias("distinct_tokens"), F.size(text.section_weighted_tokens(F.col("text"), F.col("section_path"))).alias("weighted"))
+    return counted.dropDuplicates(["chunk_id"])
 
 
 def bm25_chunks(spark, directory):
-    return search.bm25_chunks(_chunks(spark, directory), QUERY, 300).select("rank", "paper_id", "chunk_id", F.round("score", 6).alias("score"), F.round("coverage", 6).alias("coverage"), F.array_join("terms", " ").alias("terms"))
+    return search.bm25_chunks(table(spark, directory, "chunks"), QUERY, 300).select("rank", "paper_id", "chunk_id", F.round("score", 6).alias("score"), F.round("coverage", 6).alias("coverage"), F.array_join("terms", " ").alias("terms"))
 
 
 def bm25_papers(spark, directory):
-    hits = search.bm25_chunks(_chunks(spark, directory), QUERY, 300)
+    hits = search.bm25_chunks(table(spark, directory, "chunks"), QUERY, 300)
     papers = search.relative_to_top(search.bm25_papers(hits, QUERY, 50))
     return papers.select("rank", "paper_id", *[F.round(c, 6).alias(c) for c in ("score", "best", "mean_top", "coverage", "relative")], "scoring_chunks")
 
@@ -74,7 +75,7 @@ def vector_papers(spark, directory):
 
 
 def hybrid_papers(spark, directory):
-    lexical_side = search.bm25_papers(search.bm25_chunks(_chunks(spark, directory), QUERY, 300), QUERY, 50)
+    lexical_side = search.bm25_papers(search.bm25_chunks(table(spark, directory, "chunks"), QUERY, 300), QUERY, 50)
     vector_side = search.vector_papers(search.vector_chunks(_vectors(spark, directory), _query_vector(), 300, "embedding_id"), 50)
     fused = fusion.fuse(lexical_side.select("rank", "paper_id", "score"), vector_side.select("rank", "paper_id", "score"), 0.7, 0.3, 60)
     return fused.select("rank", "paper_id", *[F.round(c, 6).alias(c) for c in ("score", "rank_score", "primary_relative", "secondary_relative")])
@@ -86,15 +87,15 @@ def vector_norms(spark, directory):
 
 
 def segments(spark, directory):
-    blocks = table(spark, directory, "md_blocks").dropDuplicates(["block_no"]).select("block_no", "text")
-    cut = rerank.segments(blocks, "text", 3200, 200)
-    return cut.select("block_no", "segment_index", "segment_count", "char_start", "char_end", F.sha2("segment", 256).alias("segment_hash"), rerank.segment_id(F.col("block_no").cast("string"), F.col("segment_index"), F.col("segment_count")).alias("segment_id"))
+    cut = rerank.segments(table(spark, directory, "md_blocks").select("block_no", "text"), "text", 3200, 200)
+    hashed = cut.select("block_no", "segment_index", "segment_count", "char_start", "char_end", F.sha2("segment", 256).alias("segment_hash"), rerank.segment_id(F.col("block_no").cast("string"), F.col("segment_index"), F.col("segment_count")).alias("segment_id"))
+    return hashed.dropDuplicates(["block_no", "segment_index"])
 
 
 def reranked_papers(spark, directory):
     """Segments of chunks scored by their share of distinct query terms, aggregated to chunks and papers."""
     terms = text.query_terms(QUERY)
-    cut = rerank.segments(_chunks(spark, directory).select("paper_id", "chunk_id", "text"), "text", 400, 50)
+    cut = rerank.segments(table(spark, directory, "chunks").select("paper_id", "chunk_id", "text"), "text", 400, 50)
     hits = F.size(F.array_intersect(text.retrieval_tokens(F.col("segment")), F.array(*[F.lit(t) for t in terms])))
     scored = cut.select("paper_id", "chunk_id", rerank.segment_id(F.col("chunk_id"), F.col("segment_index"), F.col("segment_count")).alias("segment_id"), (hits / len(terms)).alias("score"))
     return rerank.reranked_papers(scored).select("rank", "paper_id", F.round("score", 6).alias("score"), "chunks")
@@ -137,7 +138,7 @@ def _case_vectors():
 
 def suite_chunks(spark, directory):
     """Lexical hits of three cases, each over its own candidates: the papers whose id begins with certain digits."""
-    chunks = _chunks(spark, directory)
+    chunks = table(spark, directory, "chunks")
     sets = F.explode(F.array(*[F.struct(F.lit(c).alias("case_id"), F.col("paper_id").rlike(f"^[{d}]").alias("own")) for (c, _), d in zip(CASES, ("0-7", "4-b", "8-f"))]))
     candidates = chunks.select("paper_id").distinct().select("paper_id", sets.alias("s")).where("s.own").select("s.case_id", "paper_id")
     return suites.bm25_cases(chunks, CASES, 100, candidates).select("case_id", "rank", "paper_id", "chunk_id", F.round("score", 6).alias("score"), F.round("coverage", 6).alias("coverage"))
@@ -149,7 +150,7 @@ def suite_vectors(spark, directory):
 
 def suite_hybrid(spark, directory):
     """The whole suite: fused rankings of three cases with grades by the papers' first digit, and their metrics."""
-    chunks = _chunks(spark, directory)
+    chunks = table(spark, directory, "chunks")
     grade = F.explode(F.array(*[F.struct(F.lit(c).alias("case_id"), (F.conv(F.substring("paper_id", 1 + i, 1), 16, 10).cast("int") % 4).alias("relevance")) for i, (c, _) in enumerate(CASES)]))
     judged = chunks.select("paper_id").distinct().select("paper_id", grade.alias("g")).select("g.case_id", "paper_id", "g.relevance")
     _, metrics, _ = suites.hybrid_suite(chunks, _vectors(spark, directory), CASES, _case_vectors(), judged, (1, 5, 10), 20, 2, "embedding_id")
@@ -300,11 +301,11 @@ def markdown_chunks(spark, directory):
 
 def token_hash_embeddings(spark, directory):
     made = vector.token_hash_embedding(F.col("text"), 128)
-    return _chunks(spark, directory).select("chunk_id", made.alias("v")).select("chunk_id", F.size("v").alias("size"), F.round(vector.norm(F.col("v")), 6).alias("norm"), F.transform(F.slice("v", 1, 4), lambda x: F.round(x, 6)).alias("first"))
+    return table(spark, directory, "chunks").select("chunk_id", made.alias("v")).dropDuplicates(["chunk_id"]).select("chunk_id", F.size("v").alias("size"), F.round(vector.norm(F.col("v")), 6).alias("norm"), F.transform(F.slice("v", 1, 4), lambda x: F.round(x, 6)).alias("first"))
 
 
 def dossier_lines(spark, directory):
-    hits = search.bm25_chunks(_chunks(spark, directory), QUERY, 300)
+    hits = search.bm25_chunks(table(spark, directory, "chunks"), QUERY, 300)
     ranking = search.bm25_papers(hits, QUERY, 20)
     titles = _papers(spark, directory).groupBy("key").agg(F.min("title").alias("title")).withColumnRenamed("key", "paper_id")
     return dossier.overview_lines(ranking, titles)
