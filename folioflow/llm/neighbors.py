@@ -42,11 +42,11 @@ class PermutationIndex:
 
 
 #: Versions that may come to the driver, and bytes of pivots of one dimension that are broadcast.
-VERSIONS, PIVOT_BYTES = 10_000, 16_000_000
+VERSIONS, PIVOT_BYTES = 1_000, 16_000_000
 
 
 def usable_vectors(df: DataFrame) -> tuple[DataFrame, dict[int, int]]:
-    """``embedding_no, version, vector`` of the usable rows, and by dimension about how many there are.
+    """``embedding_no, version, vector`` of the usable rows (the version as a number), and by dimension about how many there are.
 
     Usable: embedding_dimension is the vector's size and its version's dimension, all numbers finite, not all zero. The version's
     dimension is the one that most of its rows have both declared and in fact (the smaller on a tie). Null ids are left out.
@@ -56,14 +56,15 @@ def usable_vectors(df: DataFrame) -> tuple[DataFrame, dict[int, int]]:
     found = top.select("embedding_model_version", (-F.col("m.d")).cast("int"), "m.count").limit(VERSIONS + 1).collect()
     if len(found) > VERSIONS:
         raise ValueError(f"more than {VERSIONS} versions")
-    pairs = [(v, d) for v, d, _ in found if v is not None and d > 0]
+    pairs = sorted((v, d) for v, d, _ in found if v is not None and d > 0)
     sizes = {d: sum(n for _, e, n in found if e == d) for _, d in pairs}
     rule = F.lit(False)
     for dimension in sorted(sizes):
         rule = rule | ((F.col("embedding_dimension") == dimension) & F.col("embedding_model_version").isin(*[v for v, d in pairs if d == dimension]))
     finite = F.forall("vector", lambda x: x.isNotNull() & (F.abs(x) < float("inf")) & ~F.isnan(x)) & F.exists("vector", lambda x: x != 0)
     rows = df.where(rule & (F.size("vector") == F.col("embedding_dimension")) & finite & F.col("embedding_no").isNotNull())
-    return rows.select("embedding_no", F.col("embedding_model_version").alias("version"), F.col("vector").cast("array<double>").alias("vector")), sizes
+    numbers = F.create_map(*[F.lit(x) for i, (v, _) in enumerate(pairs) for x in (v, i)]) if pairs else F.create_map(F.lit(""), F.lit(0))
+    return rows.select("embedding_no", F.try_element_at(numbers, F.col("embedding_model_version")).alias("version"), F.col("vector").cast("array<double>").alias("vector")), sizes
 
 
 def pack_vector(row: np.ndarray) -> bytes:
@@ -77,8 +78,18 @@ def pack_vector(row: np.ndarray) -> bytes:
     return b"\xff" + row.astype("<f8").tobytes()
 
 
-def unpack_vectors(packed: list[bytes]) -> np.ndarray:
-    """The vectors of one dimension, as doubles."""
+def unpack_vectors(packed: pa.Array) -> np.ndarray:
+    """The vectors of one dimension, as doubles; all at once where they are packed alike."""
+    offsets = packed.buffers()[1]
+    starts = np.frombuffer(offsets, np.int32)[packed.offset : packed.offset + len(packed) + 1]
+    data, width = np.frombuffer(packed.buffers()[2], np.uint8)[starts[0] : starts[-1]], int(starts[1] - starts[0])
+    if len(data) == width * len(packed) and (np.diff(starts) == width).all():
+        table = data.reshape(len(packed), width)
+        if (table[:, 0] != 255).all():
+            return np.ascontiguousarray(table[:, 1:]).view("<i2") / (10.0 ** table[:, 0].astype(float))[:, None]
+        if (table[:, 0] == 255).all():
+            return np.ascontiguousarray(table[:, 1:]).view("<f8")
+    packed = packed.to_pylist()
     out = [np.frombuffer(b, "<f8", offset=1) if b[0] == 255 else np.frombuffer(b, "<i2", offset=1) / 10.0 ** b[0] for b in packed]
     return np.vstack(out)
 
@@ -125,7 +136,7 @@ def file_neighbors(permutations: np.ndarray, vectors: np.ndarray, least: float,
 
 
 def _encoded(df: DataFrame, sizes: dict[int, int], index: PermutationIndex) -> DataFrame:
-    """``embedding_no, version, dimension, key, packed, permutation`` of usable vectors; ``key`` is equal for equal vectors of a version."""
+    """``embedding_no, version, key, packed, permutation`` of usable vectors; ``key`` is equal for equal vectors of a version."""
     spark, pivots = df.sparkSession, {}
     for dimension, count in sizes.items():
         sample = df.where(F.size("vector") == dimension).orderBy(F.xxhash64("embedding_no"), "embedding_no").limit(index.pivots(count, dimension)).select("vector").collect()
@@ -146,12 +157,12 @@ def _encoded(df: DataFrame, sizes: dict[int, int], index: PermutationIndex) -> D
                 order = nearest_pivots(unit, shared.value[int(dimension)], min(index.prefix, len(shared.value[int(dimension)])))
                 version = versions.take(pa.array(rows))
                 packed = [pack_vector(v) for v in values]
-                keys = [hashlib.blake2b(p, digest_size=16, key=v.encode()[:64]).digest() for p, v in zip(packed, version.to_pylist())]
-                columns = [ids.take(pa.array(rows)), version, pa.array(np.full(len(rows), dimension, np.int32)), pa.array(keys, pa.binary()), pa.array(packed, pa.binary())]
+                keys = [hashlib.blake2b(p, digest_size=16, key=b"%d" % v).digest() for p, v in zip(packed, version.to_pylist())]
+                columns = [ids.take(pa.array(rows)), version, pa.array(keys, pa.binary()), pa.array(packed, pa.binary())]
                 permutation = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * order.shape[1]), pa.array(order.ravel()))
-                yield pa.RecordBatch.from_arrays([*columns, permutation], names=["embedding_no", "version", "dimension", "key", "packed", "permutation"])
+                yield pa.RecordBatch.from_arrays([*columns, permutation], names=["embedding_no", "version", "key", "packed", "permutation"])
 
-    return df.mapInArrow(encode, "embedding_no bigint, version string, dimension int, key binary, packed binary, permutation array<smallint>")
+    return df.mapInArrow(encode, "embedding_no bigint, version int, key binary, packed binary, permutation array<smallint>")
 
 
 def _inverted_files(distinct: DataFrame, index: PermutationIndex) -> DataFrame:
@@ -185,7 +196,7 @@ def most_similar(df: DataFrame, k: int = 5, least: float = 0.85, index: Permutat
     )
     distinct = cut_lineage(grouped)
     files = _inverted_files(distinct.select("version", "ids", "packed", "permutation"), index)
-    rows = files.repartition("version", "file").sortWithinPartitions("version", "file", F.col("ids")[0]).select("version", "file", "ids", "packed", "permutation")
+    rows = files.withColumn("run", F.xxhash64("version", "file")).repartition("run").sortWithinPartitions("run", "version", F.col("ids")[0]).select("version", "run", "ids", "packed", "permutation")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for members in _runs(batches):
@@ -213,19 +224,20 @@ def similar_pairs(df: DataFrame, k: int = 5, least: float = 0.85, index: Permuta
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The members of one inverted file after the other; they arrive sorted by file."""
-    waiting, name = [], None
+    """The members of one inverted file after the other; they arrive sorted by the file's hash and the version."""
+    waiting, last = [], None
     for batch in batches:
-        names = list(zip(batch.column(0).to_pylist(), map(tuple, batch.column(1).to_pylist())))
-        start = 0
-        for i in range(1, len(names) + 1):
-            if i == len(names) or names[i] != names[start]:
-                if waiting and names[start] != name:
-                    yield pa.Table.from_batches(waiting)
-                    waiting = []
-                name = names[start]
-                waiting.append(batch.slice(start, i - start))
-                start = i
+        if not batch.num_rows:
+            continue
+        run, version = batch.column(1).to_numpy(), batch.column(0).to_numpy()
+        starts = np.concatenate([[0], np.flatnonzero((run[1:] != run[:-1]) | (version[1:] != version[:-1])) + 1, [len(run)]])
+        for start, end in zip(starts, starts[1:]):
+            name = int(run[start]), int(version[start])
+            if waiting and name != last:
+                yield pa.Table.from_batches(waiting)
+                waiting = []
+            last = name
+            waiting.append(batch.slice(int(start), int(end - start)))
     if waiting:
         yield pa.Table.from_batches(waiting)
 
@@ -233,11 +245,12 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 def _best_of_file(members: pa.Table, k: int, least: float, reranked: int) -> Iterator[pa.RecordBatch]:
     if members.num_rows < 2:
         return
-    ids = members.column(2).to_pylist()
-    vectors = unpack_vectors(members.column(3).to_pylist())
-    row, other, cosine = file_neighbors(np.array(members.column(4).to_pylist(), np.int16), vectors, least, reranked)
-    copies = np.array([len(i) for i in ids])
-    flat, start = np.concatenate(ids), np.cumsum(copies) - copies
+    ids, packed, permutations = (members.column(c).combine_chunks() for c in (2, 3, 4))
+    vectors = unpack_vectors(packed)
+    copies = np.diff(ids.offsets.to_numpy())
+    flat, start = ids.flatten().to_numpy(), np.cumsum(copies) - copies
+    permutations = permutations.flatten().to_numpy().reshape(members.num_rows, -1)
+    row, other, cosine = file_neighbors(permutations, vectors, least, reranked)
     often = copies[other]
     row, cosine, at = np.repeat(row, often), np.repeat(cosine, often), np.repeat(start[other], often)
     other = flat[at + np.arange(len(at)) - np.repeat(np.cumsum(often) - often, often)]

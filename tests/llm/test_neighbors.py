@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
@@ -77,7 +78,9 @@ def test_large_files_are_cut_by_the_next_pivots(spark):
 @given(st.lists(st.floats(-1e6, 1e6, allow_nan=False), min_size=1, max_size=20))
 def test_packed_vectors_come_back_whole(values):
     for row in (np.array(values), np.round(np.array(values) / 1e6, 3)):
-        assert (unpack_vectors([pack_vector(row)])[0] == row).all()
+        assert (unpack_vectors(pa.array([b"x", pack_vector(row), pack_vector(row)], pa.binary())[1:])[1] == row).all()
+    mixed = pa.array([pack_vector(np.array([0.5, 1.0])), pack_vector(np.array([1 / 3, 1.0])), pack_vector(np.array([0.25, 1.0]))], pa.binary())
+    assert unpack_vectors(mixed).tolist() == [[0.5, 1.0], [1 / 3, 1.0], [0.25, 1.0]]
 
 
 def test_number_of_pivots_is_bounded():
