@@ -40,7 +40,10 @@ LANGUAGES = 500
 
 # Marks that say that more followed, and what transfers put behind a text.
 MARK = re.compile(r"(?:…|\.{3,}|\[\s*(?:\.{2,}|…)\s*\]|[\[(]\s*(?:truncated|cut|continued|shortened|snip|more)\s*[\])]|(?:read|show|see) (?:more|full text)|continue reading|�)\s*$", re.IGNORECASE)
-TRAILER = re.compile(r"(?:\s|\[end of (?:page|text|document|file)\]|[\"']\}+|[\"']\]+|</?\w{1,10}/?>|&nbsp;|\x00|​|﻿)+$")
+TRAILER = re.compile(r"(?:\[end of (?:page|text|document|file)\]|[\"'][}\]]+|</?\w{1,10}/?>|&nbsp;)$", re.IGNORECASE)
+BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u3000\ufeff\x00"
+#: Characters at a text's end among which a mark or one item of a trailer is looked for.
+TAIL = 80
 TAGGED = re.compile(r"[^\W\d_][^:\n]{0,22}:|\[\d+\]|\d{1,3}[.)]|[^\w\s]{1,3}")
 DIGIT = re.compile(r"\d")
 
@@ -53,10 +56,13 @@ def line_tag(line: str) -> str:
 
 def ending(text: str | None) -> tuple[str, str, bool] | None:
     """(tag of the last line, its final context of up to ``ORDER`` characters, whether a mark says that more followed); None for a blank text."""
-    if not text or not (end := TRAILER.sub("", text)):
+    end = (text or "").rstrip(BLANKS)
+    while found := TRAILER.search(end[-TAIL:]):
+        end = end[: len(end) - len(found.group())].rstrip(BLANKS)
+    if not end:
         return None
-    if mark := MARK.search(end):
-        return "", end[max(0, mark.start() - ORDER) : mark.start()], True
+    if mark := MARK.search(end[-TAIL:]):
+        return "", end[: len(end) - len(mark.group())][-ORDER:], True
     head, _, line = end.rpartition("\n")
     inside = head.count("```") % 2 == 1
     before, _, word = line.rpartition(" ")
