@@ -2,7 +2,8 @@
 
 Every vector is represented by its nearest pivots in order (its permutation). It is posted in the inverted files of its first pivots; in an
 inverted file the other members are ranked by the footrule distance of the permutations, and the best of them are reranked by the exact
-cosine. The pivots are a bounded sample; every usable vector is posted.
+cosine. The pivots are a bounded sample of the different directions, so that copies of one vector don't take the places of others; every
+usable vector is posted.
 
 At scale: vectors equal in every number are one distinct vector, which carries its smallest ids, so a group of copies is never paired with
 itself. Postings carry the vector in a lossless compact form, so reranking needs no join back. The number of pivots follows the number
@@ -43,6 +44,8 @@ class PermutationIndex:
 
 #: Versions that may come to the driver, and bytes of pivots of one dimension that are broadcast.
 VERSIONS, PIVOT_BYTES = 1_000, 16_000_000
+#: Steps from cosine 0 to 1 in the order of pivots; coarser than the noise of single precision.
+STEPS = 2**18
 
 
 def usable_vectors(df: DataFrame) -> tuple[DataFrame, dict[int, int]]:
@@ -95,13 +98,13 @@ def unpack_vectors(packed: pa.Array) -> np.ndarray:
 
 
 def nearest_pivots(unit: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
-    """The numbers of the ``prefix`` nearest pivots in order; equal cosines by the pivot's number."""
-    out = np.empty((len(unit), prefix), np.int16)
+    """The numbers of the ``prefix`` nearest pivots in order; cosines that are equal in steps of ``1 / STEPS`` by the pivot's number."""
+    out, numbers = np.empty((len(unit), prefix), np.int16), np.arange(len(pivots))
+    kind = np.int32 if STEPS * (len(pivots) + 1) < 2**31 else np.int64
     for at in range(0, len(unit), 2048):
-        cosine = unit[at : at + 2048] @ pivots.T
-        part = np.sort(np.argpartition(-cosine, prefix - 1, axis=1)[:, :prefix], axis=1) if prefix < len(pivots) else np.tile(np.arange(len(pivots)), (len(cosine), 1))
-        order = np.argsort(-np.take_along_axis(cosine, part, 1), axis=1, kind="stable")
-        out[at : at + 2048] = np.take_along_axis(part, order, 1)
+        # One number for the step of the cosine and the pivot: no two are equal, so a tie can't be cut anywhere.
+        ranked = np.rint((unit[at : at + 2048] @ pivots.T) * -STEPS).astype(kind) * kind(len(pivots)) + numbers.astype(kind)
+        out[at : at + 2048] = np.sort(np.partition(ranked, prefix - 1, axis=1)[:, :prefix], axis=1) % len(pivots)
     return out
 
 
@@ -135,26 +138,62 @@ def file_neighbors(permutations: np.ndarray, vectors: np.ndarray, least: float,
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
+def directions(vectors: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each vector's direction, equal for copies and for scaled copies."""
+    scaled = (vectors / np.abs(vectors).max(axis=1)[:, None]).astype("<f4") + np.float32(0)
+    return np.array([int.from_bytes(hashlib.blake2b(row.tobytes(), digest_size=8).digest(), "little", signed=True) for row in scaled], np.int64)
+
+
+def _by_dimension(vectors: pa.ListArray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each dimension: itself, the places of its vectors, and these as a table."""
+    length, flat = np.diff(vectors.offsets.to_numpy()), vectors.flatten().to_numpy(zero_copy_only=False)
+    starts = np.cumsum(length) - length
+    for dimension in np.unique(length):
+        rows = np.flatnonzero(length == dimension)
+        yield int(dimension), rows, flat[starts[rows][:, None] + np.arange(dimension)]
+
+
+def _distinct_directions(df: DataFrame, most: dict[int, int]) -> dict[int, np.ndarray]:
+    """By dimension, up to ``most`` vectors of different directions: those with the smallest hashes, so that copies, also scaled ones, count once."""
+
+    def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for dimension, rows, values in _by_dimension(batch.column(1)):
+                hashes, numbers = directions(values), ids[rows]
+                if dimension in kept:
+                    hashes, numbers = np.concatenate([kept[dimension][0], hashes]), np.concatenate([kept[dimension][1], numbers])
+                order = np.lexsort((numbers, hashes))
+                hashes, first = np.unique(hashes[order], return_index=True)
+                kept[dimension] = hashes[: most[dimension]], numbers[order][first][: most[dimension]]
+        for dimension, (hashes, numbers) in kept.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hashes), dimension, np.int32)), pa.array(hashes), pa.array(numbers)], names=["dimension", "direction", "embedding_no"])
+
+    found = df.select("embedding_no", "vector").mapInArrow(smallest, "dimension int, direction bigint, embedding_no bigint")
+    first = found.groupBy("dimension", "direction").agg(F.min("embedding_no").alias("embedding_no"))
+    place = F.row_number().over(Window.partitionBy("dimension").orderBy("direction"))
+    chosen = first.withColumn("place", place).where(F.col("place") <= max(most.values(), default=0))
+    sample = df.join(F.broadcast(chosen), ["embedding_no"]).where(F.size("vector") == F.col("dimension")).groupBy("dimension", "place").agg(F.min("vector").alias("vector")).collect()
+    out: dict[int, list] = {}
+    for dimension, place, vector in sorted(sample, key=lambda r: (r["dimension"], r["place"])):
+        if place <= most[dimension]:
+            out.setdefault(dimension, []).append(vector)
+    return {d: np.array(v, float) for d, v in out.items()}
+
+
 def _encoded(df: DataFrame, sizes: dict[int, int], index: PermutationIndex) -> DataFrame:
     """``embedding_no, version, key, packed, permutation`` of usable vectors; ``key`` is equal for equal vectors of a version."""
-    spark, pivots = df.sparkSession, {}
-    for dimension, count in sizes.items():
-        sample = df.where(F.size("vector") == dimension).orderBy(F.xxhash64("embedding_no"), "embedding_no").limit(index.pivots(count, dimension)).select("vector").collect()
-        chosen = np.array([r[0] for r in sample], float).reshape(-1, dimension)
-        if len(chosen):
-            pivots[dimension] = (chosen / np.sqrt((chosen * chosen).sum(1))[:, None]).astype(np.float32)
-    shared = spark.sparkContext.broadcast(pivots)
+    chosen = _distinct_directions(df, {d: index.pivots(count, d) for d, count in sizes.items()})
+    pivots = {d: (v / np.sqrt((v * v).sum(1))[:, None]).astype(np.float32) for d, v in chosen.items()}
+    shared = df.sparkSession.sparkContext.broadcast(pivots)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, versions, vectors = batch.columns
-            length, flat = np.diff(vectors.offsets.to_numpy()), vectors.flatten().to_numpy(zero_copy_only=False)
-            starts = np.cumsum(length) - length
-            for dimension in np.unique(length):
-                rows = np.flatnonzero(length == dimension)
-                values = flat[starts[rows][:, None] + np.arange(dimension)]
+            for dimension, rows, values in _by_dimension(vectors):
                 unit = (values / np.sqrt((values * values).sum(1))[:, None]).astype(np.float32)
-                order = nearest_pivots(unit, shared.value[int(dimension)], min(index.prefix, len(shared.value[int(dimension)])))
+                order = nearest_pivots(unit, shared.value[dimension], min(index.prefix, len(shared.value[dimension])))
                 version = versions.take(pa.array(rows))
                 packed = [pack_vector(v) for v in values]
                 keys = [hashlib.blake2b(p, digest_size=16, key=b"%d" % v).digest() for p, v in zip(packed, version.to_pylist())]

@@ -75,6 +75,24 @@ def test_large_files_are_cut_by_the_next_pivots(spark):
     assert len(want & got) >= 0.9 * len(want)
 
 
+def test_recall_beside_a_vector_with_a_third_of_the_rows(spark):
+    rng = np.random.default_rng(4)
+    hot = rng.normal(size=32).round(3)
+    beside = hot + 0.5 * rng.normal(size=(120, 1, 32)) + 0.05 * rng.normal(size=(120, 2, 32))
+    vectors = np.vstack([beside.reshape(-1, 32).round(3), rng.normal(size=(3000, 32)).round(3), np.tile(hot, (800, 1)), hot * np.arange(2, 802)[:, None]])
+    rows = [(i, "v", 32, v) for i, v in enumerate(vectors.tolist())]
+    got = {tuple(r) for r in similar_pairs(frame(spark, rows), index=PermutationIndex(least_pivots=1024)).collect()}
+    assert sum((i, i + 1) in got for i in range(0, 240, 2)) >= 0.97 * 120
+
+
+def test_pivots_are_distinct_directions_and_ties_go_by_number(spark):
+    rows = [(i, "v", 2, [3.0 * i, 4.0 * i]) for i in range(1, 50)] + [(100, "v", 2, [1.0, 0.0]), (101, "v", 2, [-1.0, -0.0]), (101, "v", 2, [-1.0, -0.0])]
+    chosen = neighbors._distinct_directions(frame(spark, rows).select("embedding_no", "vector"), {2: 10})
+    assert sorted(map(tuple, chosen[2].tolist())) == [(-1.0, 0.0), (1.0, 0.0), (3.0, 4.0)]
+    pivots = np.vstack([np.tile([[1.0, 0.0]], (300, 1)), [[0.6, 0.8]]]).astype(np.float32)
+    assert neighbors.nearest_pivots(np.array([[1.0, 0.0], [0.999, 0.0447]], np.float32), pivots, 8).tolist() == [list(range(8))] * 2
+
+
 @given(st.lists(st.floats(-1e6, 1e6, allow_nan=False), min_size=1, max_size=20))
 def test_packed_vectors_come_back_whole(values):
     for row in (np.array(values), np.round(np.array(values) / 1e6, 3)):
