@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,7 +48,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _file_system(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder, so that a lost executor costs a read and not a recomputation."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` as a table written to the shared checkpoint folder, so that a lost executor costs a read and not a recomputation.
+
+    The table is columnar and compressed, and readers take only the columns and rows they need. ``release`` deletes it when nothing
+    reads it any more; what is left goes when the driver's JVM ends.
+    """
+    spark = df.sparkSession
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/folioflow-{uuid.uuid4().hex}"
+    files, path = _file_system(spark, folder)
+    files.deleteOnExit(path)
+    df.write.option("compression", "zstd").parquet(folder)
+    made = spark.read.schema(df.schema).parquet(folder)
+    made._cut_folder = folder
+    return made
+
+
+def release(*frames: DataFrame | None) -> None:
+    """Deletes the tables of frames that ``cut_lineage`` made; no frame that reads them may be used afterwards."""
+    for df in frames:
+        folder = getattr(df, "_cut_folder", None)
+        if folder:
+            files, path = _file_system(df.sparkSession, folder)
+            files.delete(path, True)
+            files.cancelDeleteOnExit(path)
