@@ -2,55 +2,65 @@
 
 Method: a hidden Markov model labels every line of a page as running line, page number, body, heading, stray figures or break, from layout
 features: place on the page, shape, repetition of the line on other pages of the paper and on page edges of the corpus, agreement of
-a number with the page's index. Lines that the features settle beyond doubt give the first counts; emissions and transitions are then
-re-estimated from the model's own best labels over all pages. Body lines are reassembled into paragraphs; divided words and misrecognised
-words are settled by the corpus' own word counts.
+a number with the page's index. A few plain cases give the first counts; from then on the model decides every line with text (Viterbi) and
+its counts are re-estimated from its own labels over all pages. Body lines are reassembled into paragraphs. Words divided at a line's
+end are settled by the corpus' own word counts, and misread words by confusions learnt from the corpus: a pair of stretches is one if it
+turns frequent words into rare ones evenly, in as many different words as its rate lets expect.
 
-At scale: what a line needs to know of other pages comes by joins on (paper, line), (paper, offset) and (paper, page), so no paper is gathered
-in one task; only the model's counts, bounded by states times feature values, reach the driver.
+At scale: each text is read once for its lines; what a line needs to know of other pages comes by joins on (paper, line), (paper, offset)
+and (paper, page), so no paper is gathered in one task; only the model's counts, bounded by states times feature values, reach the driver.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folioflow.session import cut_lineage
+from folioflow.session import cut_lineage, release
 
 STATES = ("running_line", "page_number", "body", "heading", "figures", "break")
 RUNNING, NUMBER, BODY, HEADING, FIGURES, BREAK = range(6)
 #: Lines from the top and from the bottom of a page that count as its edges.
 EDGE = 3
-#: Rounds of re-estimation, and the count added to every feature value and transition.
-ROUNDS, SMOOTH = 1, 0.5
-#: A line on so large a share of the corpus' pages, and on this many at least, is known as one of page edges.
-KNOWN_SHARE, KNOWN_PAGES = 0.003, 5
-#: Misread words up to this number are broadcast; more are joined by a shuffle.
-BROADCAST_WORDS = 100_000
-
-# What scanners read (left) for what stood there (right), the marks of divided words, and numerals.
-CONFUSED = (
-    ("rn", "m"), ("cl", "d"), ("ii", "u"), ("ri", "n"), ("m", "in"), ("h", "li"), ("b", "h"), ("c", "e"), ("0", "o"), ("1", "l"), ("!", "i"), ("@", "a"), ("5", "s"), ("9", "g"), ("6", "b"), ("l", "i"), ("|", "l"), ("$", "s"), ("vv", "w"), ("F", "E"),
-)
+#: Rounds of re-estimation, the count added to every feature value and transition, and how far below the best state (in logarithms) a state is still followed.
+ROUNDS, SMOOTH, BEAM = 2, 0.05, 25.0
+#: Occurrences that say where a line of the corpus stands, and the share of them at page edges from which it is known as one of edges.
+SEEN, AT_EDGE = 5, 0.8
+#: Bytes of misread words that are broadcast; more are joined by a shuffle.
+BROADCAST_BYTES = 16_000_000
+#: A word met so often can be what a rarer one was read for; a confusion needs so many different words, and this share of those its rate lets expect.
+WORD_MET, CONFUSED_WORDS, EVENLY = 5, 3, 0.3
+#: A rare word is misread if that is this many times as probable as a chance likeness, and if it isn't this many times as frequent as that lets expect.
+ODDS, EXCESS = 4.0, 10.0
+#: Places without a chance likeness that are taken as seen before any is counted.
+UNSEEN = 1000
+#: Distinct words a task keeps before it passes on what it has counted.
+WORDS_KEPT = 1_000_000
+
+# Signs that look alike to a scanner, for comparing lines; the marks of divided words, and numerals.
 ALIKE = str.maketrans("i1!|ef0@5$96hu", "llllccoassgbbb")
-MARKS = "-\u2010\u2011\u00ac\u00ad"
+MARKS = "-‐‑¬­"
 ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100, "d": 500, "m": 1000}
 ROMAN_FORM = re.compile(r"m{0,3}(cm|cd|d?c{0,4})(xc|xl|l?x{0,4})(ix|iv|v?i{0,4})")
 NUMERAL = r"(?:[0-9lIOo|]{1,5}|[0-9lIOo|](?: [0-9lIOo|]){1,4}|[ivxlcdmIVXLCDM]{1,12})"
 PAGE_NUMBER = re.compile(rf"[\[({{<—–\-·•*~|. ]*(?:page|pg\.?|p\.|seite|página)?\s*({NUMERAL})(?:\s*(?:of|/|von|de)\s*{NUMERAL})?[\])}}>—–\-·•*~| ]*", re.IGNORECASE)
 FIGURE_LINE = re.compile(r"[\d\s.,%±+\-–—/()]*\d[\d\s.,%±+\-–—/()]*")
-SECTION = re.compile(r"\d{1,2}(?:\.\d{1,2}){0,3}\.? +[A-Z][^.]{0,80}")
-DIVIDED = re.compile(rf"([^\W_][\w'’@!|$-]*)([{MARKS}])\s*$")
-FIRST_WORD = re.compile(r"[\"'(\[]*([\w'’@!|$]+(?:-[\w'’]+)*)")
+SECTION = re.compile(r"\d{1,2}(?:\.\d{1,2}){0,3}\.? [A-Z][^.]{0,80}")
+#: What may stand around a word without being part of it.
+AROUND = ".,;:?\"'()[]{}<>“”‘’«»…—–*"
+CREDIT = re.compile(r"\b(?:et al\.|and others)(?:\s+\d+)?$|^\d+\s{2,}\D|\D\s{2,}\d+$")
+LONG_WORD = re.compile(r"[^\W\d_]{4,}")
+NUMBERS_IN = re.compile(r"\b[\dlIO]*\d[\dlIO]*\b")
+DIGIT = re.compile(r"\d")
+NOT_WORD = re.compile(r"[^\w]")
 
 
 def numbers_of(line: str) -> list[int]:
@@ -71,29 +81,31 @@ def numbers_of(line: str) -> list[int]:
 
 def line_key(line: str) -> str:
     """Letters in a form in which most misreadings of a line are equal to it; numbers, signs and white space are left out."""
-    key = re.sub(r"\b[\dlIO]*\d[\dlIO]*\b", "", line).lower().translate(ALIKE)
+    key = (NUMBERS_IN.sub("", line) if DIGIT.search(line) else line).lower().translate(ALIKE)
     for read, stood in (("cl", "d"), ("rn", "m"), ("ln", "m"), ("rl", "n"), ("ll", "b")):
         key = key.replace(read, stood)
-    return re.sub(r"[^\w]", "", key)
+    return NOT_WORD.sub("", key)
 
 
 def shape_of(line: str) -> str:
     if not line:
         return "blank"
+    first, last = line[0], line[-1]
     if numbers_of(line):
         return "number"
-    if FIGURE_LINE.fullmatch(line) and line[-1] != ".":
+    if last != "." and FIGURE_LINE.fullmatch(line):
         return "figures"
-    if SECTION.fullmatch(line):
+    if first.isdigit() and SECTION.fullmatch(line):
         return "section"
-    words = [w for w in re.findall(r"[^\W\d_]+", line) if len(w) > 3] if ". " not in line else []
-    if re.search(r"\b(?:et al\.|and others)(?:\s+\d+)?$", line) or re.match(r"\d+\s{2,}\D", line) or re.search(r"\D\s{2,}\d+$", line):
+    if CREDIT.search(line):
         return "credit"
-    if words and sum(w[0].isupper() for w in words) >= 0.7 * len(words) and line[-1] not in ".?!,;:-":
-        return "title"
-    if line[0].islower():
-        return "low-end" if line[-1] in ".?!" else "low"
-    return "end" if line[-1] in ".?!" else "text"
+    if last not in ".?!,;:-" and ". " not in line:
+        words = LONG_WORD.findall(line)
+        if words and sum(w[0].isupper() for w in words) >= 0.7 * len(words):
+            return "title"
+    if first.islower():
+        return "low-end" if last in ".?!" else "low"
+    return "end" if last in ".?!" else "text"
 
 
 def regions_of(shapes: list[str]) -> list[str]:
@@ -106,149 +118,201 @@ def regions_of(shapes: list[str]) -> list[str]:
     return [region.get(i, "-") for i in range(len(shapes))]
 
 
-def page_lines(text: str) -> list[tuple[int, str, str, str]]:
-    """(number from 1, line without white space around it, region, shape)."""
-    lines = [x.strip() for x in text.split("\n")]
-    shapes = [shape_of(x) for x in lines]
-    return list(zip(range(1, len(lines) + 1), lines, regions_of(shapes), shapes))
+def divided_end(line: str) -> tuple[str, str] | None:
+    """(word, mark) of a line whose last word has a mark of division behind it, else None."""
+    if not line or line[-1] not in MARKS or line[-2:-1].isspace() or len(line) < 2:
+        return None
+    word = line[:-1].rsplit(None, 1)[-1].lstrip(AROUND + MARKS)
+    return (word, line[-1]) if word and word[0].isalnum() else None
 
 
-FEATURES = ("place", "shape", "again", "edge_only", "number", "heads")
+def words_of(line: str) -> list[str]:
+    """The words of a line without what stands around them, hyphenated ones whole, without a divided last one."""
+    tokens = line.split()
+    if line and line[-1] in MARKS:
+        tokens = tokens[:-1]
+    return [w for w in (t.strip(AROUND) for t in tokens) if w]
 
 
-def features(region: str, shape: str, page_index: int, edge: dict | None) -> tuple[str, ...]:
-    """The values of ``FEATURES``; ``edge`` holds what other pages say of a line at the edge."""
-    place = "first" + region if page_index == 0 and region == "T0" else region
-    if edge is None:
-        return place, shape, "-", "-", "-", "-"
-    again = "0" if edge["again"] < 2 else "2" if edge["again"] == 2 else "3"
-    return place, shape, again, edge["edge_only"], edge["number"], edge["heads"]
+def small(word: str) -> str:
+    """Lower case for words that only begin with a capital; names with capitals inside stay."""
+    low = word.lower()
+    return low if word[1:] == low[1:] else word
+
+
+FEATURES = ("place", "look", "number", "heads")
 
 
-def settled(values: tuple[str, ...]) -> int | None:
-    """The state of a line that its features settle, else None."""
-    place, shape, again, edge_only, number, heads = values
-    if shape == "blank":
-        return BREAK
-    if shape == "number":
-        return NUMBER if number == "agrees" else FIGURES if place == "M" or number == "differs" else None
+def features(region: str, shape: str, page_index: int | None, told: dict | None) -> tuple[str, ...]:
+    """The values of ``FEATURES``: place; shape and repetition, which depend on each other; number; title. ``told`` is what other pages say."""
+    place = "firstT0" if page_index == 0 and region == "T0" else region
+    again, edge_only, number, heads = (told[k] for k in ("again", "edge_only", "number", "heads")) if told else (None,) * 4
+    repeats = f"{min(max(again or 1, 1), 3)} {edge_only or '-'}"
+    return place, f"{shape} {repeats}", number or "-", heads or "-"
+
+
+def plain_case(values: tuple[str, ...]) -> int | None:
+    """The state of a line in a plain case, which only seeds the model's first counts; None for all others."""
+    place, look, number, heads = values
+    edge, (shape, again, edge_only) = place[0] in "TBf", look.split()
+    if shape == "number" and number in ("agrees", "differs"):
+        return NUMBER if number == "agrees" and edge else FIGURES
     if shape == "figures":
         return FIGURES
-    if place == "firstT0" and shape in ("title", "text"):
+    if shape == "section":
         return HEADING
-    if place[0] in "TB" and shape in ("title", "credit") and (again != "0" or heads == "title" or (shape == "title" and place == "T0")):
+    if place == "firstT0" and shape == "title":
+        return HEADING
+    if edge and shape in ("title", "credit", "text") and edge_only != "no" and (again == "3" or heads == "title" or edge_only == "yes"):
         return RUNNING
-    if place != "M" and (edge_only == "no" or (again == "0" and edge_only != "yes" and shape in ("end", "low-end", "low"))):
+    if shape in ("end", "low-end", "low", "text") and again == "1" and edge_only != "yes" and (not edge or shape != "text"):
         return BODY
-    if place != "M" and (again == "3" or edge_only == "yes"):
-        return RUNNING
-    if shape == "section":
-        return HEADING
-    return BODY if place == "M" or shape in ("low", "low-end") else None
+    return None
 
 
 class LineModel:
-    """Log probabilities of transitions and, feature by feature, of emissions, from counts. A settled line keeps its state."""
+    """Log probabilities of transitions and, feature by feature, of emissions, from counts; a blank line is a break and nothing else is."""
 
     def __init__(self, counts: dict[tuple[str, int, str], float]):
         n = len(STATES)
-        self.start, self.step, self.emit = np.full(n, SMOOTH), np.full((n, n), SMOOTH), {}
-        totals = [np.full(n, SMOOTH) for _ in FEATURES]
+        start, step = [SMOOTH] * n, [[SMOOTH] * n for _ in range(n)]
+        seen: dict[tuple[int, str], list[float]] = defaultdict(lambda: [SMOOTH] * n)
+        sizes = [1 + len({v for k, _, v in counts if k == feature}) for feature in FEATURES]
+        totals = [[SMOOTH * size] * n for size in sizes]
         for (kind, state, value), times in counts.items():
             if kind == "start":
-                self.start[state] += times
+                start[state] += times
             elif kind == "step":
-                self.step[state, int(value)] += times
+                step[state][int(value)] += times
             else:
                 f = FEATURES.index(kind)
-                self.emit.setdefault((f, value), np.full(n, SMOOTH))[state] += times
+                seen[f, value][state] += times
                 totals[f][state] += times
-        self.start = np.log(self.start / self.start.sum())
-        self.step = np.log(self.step / self.step.sum(1, keepdims=True))
-        self.unseen = [np.log(SMOOTH / t) for t in totals]
-        self.emit = {k: np.log(v / totals[k[0]]) for k, v in self.emit.items()}
-        self.cache: dict[tuple[str, ...], np.ndarray] = {}
-
-    def emission(self, values: tuple[str, ...]) -> np.ndarray:
-        if values not in self.cache:
-            score = sum(self.emit.get((f, v), self.unseen[f]) for f, v in enumerate(values))
-            sure = settled(values)
-            allowed = np.arange(len(STATES)) != BREAK if sure is None else np.arange(len(STATES)) == sure
-            self.cache[values] = np.where(allowed, score, -1e9)
-        return self.cache[values]
+        self.start = [math.log(x / sum(start)) for x in start]
+        self.step = [[math.log(x / sum(row)) for x in row] for row in step]
+        self.unseen = [[math.log(SMOOTH / t) for t in row] for row in totals]
+        self.seen = {key: [math.log(x / totals[key[0]][s]) for s, x in enumerate(row)] for key, row in seen.items()}
+        self.known: dict[tuple[str, ...], list[tuple[int, float]]] = {}
+
+    def states(self, values: tuple[str, ...]) -> list[tuple[int, float]]:
+        """The states a line can have, with the logarithm of its features' probability there; those far below the best are left out."""
+        if values not in self.known:
+            if values[0] == "-":
+                self.known[values] = [(BREAK, 0.0)]
+            else:
+                rows = [self.seen.get((f, v), self.unseen[f]) for f, v in enumerate(values)]
+                scores = [(s, sum(row[s] for row in rows)) for s in range(BREAK)]
+                least = max(x for _, x in scores) - BEAM
+                self.known[values] = [(s, x) for s, x in scores if x >= least]
+        return self.known[values]
 
     def best(self, sequence: list[tuple[str, ...]]) -> list[int]:
         """The most probable states (Viterbi)."""
         if not sequence:
             return []
-        score, back = self.start + self.emission(sequence[0]), []
+        front = [(s, self.start[s] + x) for s, x in self.states(sequence[0])]
+        backs, step = [], self.step
         for values in sequence[1:]:
-            paths = score[:, None] + self.step
-            back.append(paths.argmax(0))
-            score = paths.max(0) + self.emission(values)
-        states = [int(score.argmax())]
-        for b in reversed(back):
-            states.append(int(b[states[-1]]))
+            after, back = [], {}
+            for s, x in self.states(values):
+                came, score = max(((p, y + step[p][s]) for p, y in front), key=lambda c: c[1])
+                back[s] = came
+                after.append((s, score + x))
+            front = after
+            backs.append(back)
+        states = [max(front, key=lambda c: c[1])[0]]
+        for back in reversed(backs):
+            states.append(back[states[-1]])
         return states[::-1]
 
 
 def _counted(sequence: list[tuple[str, ...]], states: list[int | None], into: Counter) -> None:
-    for values, state in zip(sequence, states):
-        if state is not None:
-            into.update((f, state, v) for f, v in zip(FEATURES, values))
+    """Adds a page's labels to the counts: (values, state) and ("start" or "step", ...); unlabelled lines count nowhere."""
+    into.update((values, state) for values, state in zip(sequence, states) if state is not None)
     if states and states[0] is not None:
-        into["start", states[0], ""] += 1
-    into.update(("step", a, str(b)) for a, b in zip(states, states[1:]) if a is not None and b is not None)
+        into["start", states[0]] += 1
+    into.update(("step", a, b) for a, b in zip(states, states[1:]) if a is not None and b is not None)
 
 
 def readable_pages(pages: DataFrame) -> DataFrame:
     """``page_no, paper_id, page_index, text`` of recognised pages with text, repeated rows once; null numbers are left out."""
     rows = pages.where(F.col("page_no").isNotNull() & F.coalesce("success", F.lit(False)) & (F.btrim("text", F.lit(" \t\r\n")) != ""))
-    rows = rows.select("page_no", "paper_id", F.coalesce("page_index", F.lit(-1)).cast("int").alias("page_index"), "text")
+    rows = rows.select("page_no", "paper_id", F.col("page_index").cast("int").alias("page_index"), "text")
     return rows.groupBy("page_no").agg(F.min(F.struct("paper_id", "page_index", "text")).alias("x")).select("page_no", "x.*")
 
 
-def _edge_facts(pages: DataFrame) -> DataFrame:
-    """``page_no, edges``: for the lines at a page's edges (at most six) what other pages say of them."""
+LINES = "lines array<string>, shapes array<string>, regions array<string>, keys array<string>, fresh array<boolean>, numbers array<array<bigint>>"
 
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def page_lines(pages: DataFrame) -> DataFrame:
+    """``page_no, paper_id, page_index`` and, line by line, ``LINES``: the line without white space around it and what it tells of itself.
+
+    ``fresh`` marks the first of equal lines at a page's edges. Each text is parsed here and nowhere else.
+    """
+    kinds = [pa.list_(pa.string())] * 4 + [pa.list_(pa.bool_()), pa.list_(pa.list_(pa.int64()))]
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for page, paper, index, text, shapes in zip(*(c.to_pylist() for c in batch.columns)):
-                for i, (x, region, shape) in enumerate(zip(text.split("\n"), regions_of(shapes), shapes), 1):
-                    if region != "-":
-                        out.append((page, paper, index, i, region, line_key(x), numbers_of(x.strip()) if shape == "number" and region != "M" else []))
-            columns = list(zip(*out)) or [()] * 7
-            kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["page_no", "paper_id", "page_index", "line_no", "region", "key", "numbers"])
-
-    every = cut_lineage(pages.select("page_no", "paper_id", "page_index", "text", "shapes").mapInArrow(lines, "page_no bigint, paper_id string, page_index int, line_no int, region string, key string, numbers array<bigint>"))
-    edge = every.where("region <> 'M'")
-    again = edge.where("key <> ''").select("paper_id", "key", "page_no").distinct().groupBy("paper_id", "key").agg(F.count(F.lit(1)).alias("again"))
-    spread = every.where("key <> ''").groupBy("key").agg(F.count_if(F.col("region") == "M").alias("inside"), F.count_if(F.col("region") != "M").alias("outside"))
-    numbers = edge.select("page_no", "paper_id", "page_index", "line_no", F.explode("numbers").alias("n")).withColumn("offset", F.col("n") - F.col("page_index"))
-    offsets = numbers.select("paper_id", "offset", "page_no").distinct().groupBy("paper_id", "offset").agg(F.count(F.lit(1)).alias("pages"))
-    most = offsets.groupBy("paper_id").agg(F.max("pages").alias("most"))
-    judged = numbers.join(offsets, ["paper_id", "offset"]).join(most, "paper_id")
+            for text in batch.column(3).to_pylist():
+                lines = [x.strip() for x in text.split("\n")]
+                shapes = [shape_of(x) for x in lines]
+                regions = regions_of(shapes)
+                keys = [line_key(x) for x in lines]
+                met: set[str] = set()
+                fresh = [r[0] in "TB" and k not in met and not met.add(k) for r, k in zip(regions, keys)]
+                out.append((lines, shapes, regions, keys, fresh, [numbers_of(x) if s == "number" else [] for x, s in zip(lines, shapes)]))
+            columns = list(zip(*out)) or [()] * 6
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *[pa.array(c, k) for c, k in zip(columns, kinds)]], names=[*batch.schema.names[:3], *[x.split()[0] for x in LINES.split(", ")]])
+
+    return pages.mapInArrow(parse, f"page_no bigint, paper_id string, page_index int, {LINES}")
+
+
+def _told(lines: DataFrame) -> DataFrame:
+    """``page_no, told``: for the lines of which other pages say something, ``line_no, again, edge_only, number, heads``.
+
+    - ``again``: on how many pages of the paper the line stands at an edge. ``edge_only``: whether the corpus has it at edges (yes) or
+      elsewhere (no); both are shares of what was seen, so they mean the same at every size.
+    - ``number``: whether a number follows the paper's page numbers. ``heads``: whether a line is the paper's title or its beginning.
+    Pages without a paper are a paper each.
+    """
+    paper = F.coalesce("paper_id", F.concat(F.lit("\0"), F.col("page_no").cast("string"))).alias("paper")
+    zipped = F.posexplode(F.arrays_zip("keys", "regions", "shapes", "fresh", "numbers")).alias("at", "l")
+    each = lines.select("page_no", paper, "page_index", zipped).select("page_no", "paper", "page_index", (F.col("at") + 1).alias("line_no"), "l.*")
+    keyed = each.where("keys <> ''").select("page_no", "paper", "page_index", "line_no", "keys", "regions", "shapes", "fresh")
+    inner = F.col("regions") == "M"
+    of_paper = cut_lineage(keyed.groupBy("paper", "keys").agg(F.count_if("fresh").alias("again"), F.count_if(inner).alias("inside"), F.count_if(~inner).alias("outside")))
+    share = F.col("outside") / (F.col("outside") + F.col("inside"))
+    only = F.when((F.col("inside") > 1) & (share < AT_EDGE), "no").when((F.col("outside") >= SEEN) & (share >= AT_EDGE), "yes").otherwise("-")
+    of_corpus = of_paper.groupBy("keys").agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside")).where("inside + outside > 1").select("keys", only.alias("edge_only"))
+    facts = of_paper.join(of_corpus, "keys").where("again > 1 or edge_only <> '-'").select("paper", "keys", "again", "edge_only")
+    places = keyed.select("page_no", "line_no", "paper", "keys").join(facts, ["paper", "keys"]).select("page_no", "line_no", "again", "edge_only")
+
+    numbers = each.where("shapes = 'number' and page_index is not null").select("page_no", "paper", "page_index", "line_no", F.explode("numbers").alias("n")).withColumn("offset", F.col("n") - F.col("page_index"))
+    offsets = numbers.select("paper", "offset", "page_no").distinct().groupBy("paper", "offset").agg(F.count(F.lit(1)).alias("pages"))
+    most = offsets.groupBy("paper").agg(F.max("pages").alias("most"))
+    judged = numbers.join(offsets, ["paper", "offset"]).join(most, "paper")
     verdict = F.when((F.col("pages") >= 2) & (F.col("pages") * 2 > F.col("most")), "agrees").when(F.col("most") >= 2, "differs").otherwise("alone")
-    verdict = judged.groupBy("page_no", "line_no").agg(F.min(verdict).alias("number"))
-    titles = edge.where("page_index = 0 and region = 'T0' and length(key) > 3").groupBy("paper_id").agg(F.min("key").alias("title"))
-    total = pages.agg(F.count(F.lit(1)).alias("c")).first()["c"]
-    facts = edge.select("page_no", "paper_id", "page_index", "line_no", "key")
-    facts = facts.join(again, ["paper_id", "key"], "left").join(spread, "key", "left").join(verdict, ["page_no", "line_no"], "left").join(titles, "paper_id", "left")
-    only = F.when(F.col("inside") > F.greatest(F.lit(1), F.col("outside") / 4), "no").when(F.col("outside") >= max(KNOWN_PAGES, math.ceil(KNOWN_SHARE * total)), "yes").otherwise("-")
-    heads = F.when((F.col("page_index") != 0) & (F.length("key") > 3) & F.startswith("title", "key"), "title").otherwise("-")
-    fact = F.struct("line_no", F.coalesce("again", F.lit(0)).cast("int").alias("again"), F.coalesce(only, F.lit("-")).alias("edge_only"), F.coalesce("number", F.lit("-")).alias("number"), F.coalesce(heads, F.lit("-")).alias("heads"))
-    return facts.groupBy("page_no").agg(F.collect_list(fact).alias("edges"))
+    numbered = judged.groupBy("page_no", "line_no").agg(F.min(verdict).alias("number"))
 
+    titles = keyed.where("page_index = 0 and regions = 'T0' and length(keys) > 3").groupBy("paper").agg(F.min("keys").alias("title"))
+    maybe = keyed.where("page_index <> 0 and shapes in ('title', 'credit', 'section') and length(keys) > 3").join(titles, "paper").where(F.startswith("title", "keys"))
+    headed = maybe.select("page_no", "line_no", F.lit("title").alias("heads"))
+    every = places.unionByName(numbered, True).unionByName(headed, True).groupBy("page_no", "line_no").agg(*[F.max(c).alias(c) for c in ("again", "edge_only", "number", "heads")])
+    told = F.struct("line_no", F.col("again").cast("int").alias("again"), "edge_only", "number", "heads")
+    out = cut_lineage(every.groupBy("page_no").agg(F.collect_list(told).alias("told")))
+    release(of_paper)
+    return out
 
-def _sequence(shapes: list[str], index: int, edges: list[dict] | None) -> list[tuple[str, ...]]:
-    known = {e["line_no"]: e for e in edges or []}
-    return [features(region, shape, index, known.get(i)) for i, (region, shape) in enumerate(zip(regions_of(shapes), shapes), 1)]
+
+def _sequences(batch: pa.RecordBatch) -> Iterator[list[tuple[str, ...]]]:
+    for index, shapes, regions, told in zip(*(batch.column(c).to_pylist() for c in ("page_index", "shapes", "regions", "told"))):
+        known = {t["line_no"]: t for t in told or []}
+        yield [features(region, shape, index, known.get(i)) for i, (region, shape) in enumerate(zip(regions, shapes), 1)]
 
 
 def train(pages: DataFrame) -> dict[tuple[str, int, str], float]:
-    """The model's counts over all pages (``readable_pages`` joined with their edge facts): first from settled lines, then from its own labels."""
+    """The model's counts over all pages (``page_index, shapes, regions, told``): first from plain cases, then from its own labels."""
     learnt: dict | None = None
     for _ in range(1 + ROUNDS):
 
@@ -256,156 +320,249 @@ def train(pages: DataFrame) -> dict[tuple[str, int, str], float]:
             counts: Counter = Counter()
             model = learnt and LineModel(learnt)
             for batch in batches:
-                for index, shapes, edges in zip(*(batch.column(c).to_pylist() for c in ("page_index", "shapes", "edges"))):
-                    sequence = _sequence(shapes, index, edges)
-                    _counted(sequence, model.best(sequence) if model else [settled(v) for v in sequence], counts)
-            columns = list(zip(*((*k, n) for k, n in counts.items()))) or [()] * 4
+                for sequence in _sequences(batch):
+                    states = model.best(sequence) if model else [BREAK if v[0] == "-" else plain_case(v) for v in sequence]
+                    _counted(sequence, states, counts)
+            sums: Counter = Counter()
+            for key, times in counts.items():
+                if key[0] in ("start", "step"):
+                    sums[key[0], key[1], str(key[2]) if len(key) > 2 else ""] += times
+                elif key[1] != BREAK:
+                    for feature, value in zip(FEATURES, key[0]):
+                        sums[feature, key[1], value] += times
+            columns = list(zip(*((*k, n) for k, n in sums.items()))) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int32(), pa.string(), pa.int64()))], names=["kind", "state", "value", "n"])
 
-        sums = pages.select("page_index", "shapes", "edges").mapInArrow(count, "kind string, state int, value string, n bigint").groupBy("kind", "state", "value").agg(F.sum("n").alias("n"))
+        sums = pages.select("page_index", "shapes", "regions", "told").mapInArrow(count, "kind string, state int, value string, n bigint").groupBy("kind", "state", "value").agg(F.sum("n").alias("n"))
         learnt = {(r["kind"], r["state"], r["value"]): r["n"] for r in sums.collect()}
     return learnt
 
 
-def labelled_lines(pages: DataFrame) -> DataFrame:
-    """``page_no, paper_id, page_index, line_no, state, line`` for every line of every readable page."""
-    @F.arrow_udf("array<string>")
-    def shapes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array([[shape_of(x.strip()) for x in t.split("\n")] for t in batch.to_pylist()], pa.list_(pa.string()))
-
-    readable = cut_lineage(readable_pages(pages).withColumn("shapes", shapes("text")))
-    joined = cut_lineage(readable.join(_edge_facts(readable), "page_no", "left"))
-    learnt = train(joined)
+def labelled_pages(pages: DataFrame) -> DataFrame:
+    """``page_no, paper_id, page_index, lines, states`` of every readable page: its lines and the state of each."""
+    parsed = cut_lineage(page_lines(readable_pages(pages)))
+    told = _told(parsed)
+    joined = parsed.join(told, "page_no", "left")
+    watched = cut_lineage(joined.select("page_no", "page_index", "shapes", "regions", "told"))
+    learnt = train(watched)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = LineModel(learnt)
         for batch in batches:
-            out = []
-            for page, paper, index, text, shapes, edges in zip(*(batch.column(c).to_pylist() for c in ("page_no", "paper_id", "page_index", "text", "shapes", "edges"))):
-                states = model.best(_sequence(shapes, index, edges))
-                out += [(page, paper, index, i, s, x.strip()) for i, (x, s) in enumerate(zip(text.split("\n"), states), 1)]
-            columns = list(zip(*out)) or [()] * 6
-            kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["page_no", "paper_id", "page_index", "line_no", "state", "line"])
+            states = pa.array([model.best(sequence) for sequence in _sequences(batch)], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), states], names=["page_no", "states"])
 
-    return cut_lineage(joined.mapInArrow(label, "page_no bigint, paper_id string, page_index int, line_no int, state int, line string"))
+    states = watched.mapInArrow(label, "page_no bigint, states array<int>")
+    out = cut_lineage(parsed.select("page_no", "paper_id", "page_index", "lines").join(states, "page_no"))
+    release(parsed, told, watched)
+    return out
 
 
-def _words(line: Column) -> Column:
-    """The words of a line, hyphenated ones whole."""
-    return F.regexp_extract_all(line, F.lit(r"([\p{L}\p{N}@!|$]+(?:-[\p{L}\p{N}@!|$]+)*)"), F.lit(1))
+def _taken_apart(pages: DataFrame) -> DataFrame:
+    """What the body of labelled pages says of words, told apart by ``kind``; one reading of all texts.
 
+    - ``part``: ``word`` as ``small`` spells it, hyphens parted, with its count ``n``; a word after a divided one is left out, as it may be its rest.
+    - ``form``: ``word`` in small letters with its hyphens. - ``top``: the first body line of a page and the ``word`` it begins with.
+    - ``end``: a body line with a divided ``word``, its ``mark``, and within the page the ``tail`` that begins the next body line ``at_line``.
+    """
+    fields = [("kind", pa.string()), ("page_no", pa.int64()), ("line_no", pa.int32()), ("word", pa.string()), ("n", pa.int64()), ("mark", pa.string()), ("tail", pa.string()), ("at_line", pa.int32())]
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, forms = Counter(), Counter()
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            columns = list(zip(*rows)) or [()] * 8
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(columns, fields)], names=[n for n, _ in fields])
+
+        def counted() -> pa.RecordBatch:
+            sums: Counter = Counter()
+            for word, n in parts.items():
+                for piece in word.split("-"):
+                    if piece:
+                        sums[small(piece)] += n
+            rows = [("part", None, None, w, n, None, None, None) for w, n in sums.items()] + [("form", None, None, w, n, None, None, None) for w, n in forms.items()]
+            parts.clear()
+            forms.clear()
+            return batch_of(rows)
 
-def divided_words(body: DataFrame) -> DataFrame:
-    """``page_no, line_no, head, mark, tail, at_page, at_line`` of body lines that end in a mark: the parts before and after it.
-
-    ``tail`` begins the next body line of the page or of the paper's next page; null where there is none. ``at_page`` and ``at_line`` say where.
+        for batch in batches:
+            rows = []
+            for page, lines, states in zip(*(batch.column(c).to_pylist() for c in ("page_no", "lines", "states"))):
+                body = [(i, x) for i, (x, s) in enumerate(zip(lines, states), 1) if s == BODY]
+                open_, first = None, True
+                for i, line in body:
+                    words = words_of(line)
+                    forms.update(w.lower() for w in words)
+                    begin = words[0] if words else line.split(None, 1)[0].strip(AROUND + MARKS)
+                    if first:
+                        rows.append(("top", page, i, begin, None, None, None, None))
+                        first = False
+                    if open_:
+                        rows.append(("end", page, open_[0], open_[1], None, open_[2], begin, i))
+                        words = words[1:]
+                    parts.update(words)
+                    end = divided_end(line)
+                    open_ = end and (i, *end)
+                if open_:
+                    rows.append(("end", page, open_[0], open_[1], None, open_[2], None, None))
+            yield batch_of(rows)
+            if len(parts) + len(forms) > WORDS_KEPT:
+                yield counted()
+        yield counted()
+
+    kinds = "kind string, page_no bigint, line_no int, word string, n bigint, mark string, tail string, at_line int"
+    return cut_lineage(pages.select("page_no", "lines", "states").mapInArrow(take, kinds))
+
+
+def divided_words(pages: DataFrame, taken: DataFrame) -> DataFrame:
+    """``page_no, line_no, head, mark, tail, at_page, at_line``: the divided words, with what begins the page's next body line or the paper's next page.
+
+    ``tail`` is null where there is neither.
     """
-    order = Window.partitionBy("page_no").orderBy("line_no")
-    begin = F.regexp_extract("line", FIRST_WORD.pattern, 1)
-    rows = body.select("page_no", "paper_id", "page_index", "line_no", "line", begin.alias("begin"))
-    rows = rows.withColumn("tail", F.lead("begin").over(order)).withColumn("at_line", F.lead("line_no").over(order)).withColumn("place", F.row_number().over(order))
-    tops = rows.where("place = 1").groupBy("paper_id", "page_index").agg(F.min(F.struct("page_no", "line_no", "begin")).alias("x"))
-    tops = tops.select(F.col("paper_id").alias("p"), (F.col("page_index") - 1).alias("i"), F.col("x.page_no").alias("next_page"), F.col("x.line_no").alias("next_line"), F.col("x.begin").alias("next_begin"))
-    ends = rows.where(F.col("line").rlike(DIVIDED.pattern))
-    ends = ends.select("*", F.regexp_extract("line", DIVIDED.pattern, 1).alias("head"), F.regexp_extract("line", DIVIDED.pattern, 2).alias("mark"))
-    inside = ends.where("at_line is not null").select("page_no", "line_no", "head", "mark", "tail", F.col("page_no").alias("at_page"), "at_line")
-    last = ends.where("at_line is null").join(tops, (F.col("paper_id") == F.col("p")) & (F.col("page_index") == F.col("i")), "left")
-    last = last.select("page_no", "line_no", "head", "mark", F.col("next_begin").alias("tail"), F.col("next_page").alias("at_page"), F.col("next_line").alias("at_line"))
-    return inside.unionByName(last)
-
-
-def _readings(words: pd.Series) -> pd.Series:
-    """Words that a scanner could have misread as this one, by one confusion."""
-
-    def of(word: str) -> list[str]:
-        out = set()
-        for read, stood in CONFUSED:
-            at = word.find(read)
-            while at >= 0:
-                if (read, stood) != ("l", "i") or at == 0:
-                    out.add(word[:at] + stood + word[at + len(read) :])
-                at = word.find(read, at + 1)
-            if len(read) == 1 and not read.isalpha() and word.count(read) > 1:
-                out.add(word.replace(read, stood))
-        return sorted(out - {word})
+    ends = taken.where("kind = 'end'").select("page_no", "line_no", F.col("word").alias("head"), "mark", "tail", F.when(F.col("at_line").isNotNull(), F.col("page_no")).alias("at_page"), "at_line")
+    where = pages.where("paper_id is not null and page_index is not null").select("page_no", "paper_id", "page_index")
+    tops = taken.where("kind = 'top'").select("page_no", "line_no", "word").join(where, "page_no")
+    tops = tops.groupBy("paper_id", (F.col("page_index") - 1).alias("page_index")).agg(F.min(F.struct("page_no", "line_no", "word")).alias("t"))
+    last = ends.where("at_line is null").drop("tail", "at_page", "at_line").join(where, "page_no", "left").join(tops, ["paper_id", "page_index"], "left")
+    return ends.where("at_line is not null").unionByName(last.select("page_no", "line_no", "head", "mark", F.col("t.word").alias("tail"), F.col("t.page_no").alias("at_page"), F.col("t.line_no").alias("at_line")))
+
+
+def _holes(words: pd.Series) -> pd.Series:
+    """For every stretch of one or two characters of a word: a hash of its place and of what stands around it, the place and the length."""
+    base, size = 1_000_003, (1 << 61) - 1
+
+    def of(word: str) -> list[tuple[int, int, int]]:
+        n, out = len(word), []
+        after = [0] * (n + 1)
+        for i in range(n - 1, -1, -1):
+            after[i] = (after[i + 1] * base + ord(word[i]) + 1) % size
+        before = 0
+        for i in range(n):
+            for length in (1, 2):
+                if i + length <= n and n > length:
+                    out.append(((before * 31 + after[i + length] * 17 + i) % size, i + 1, length))
+            before = (before * base + ord(word[i]) + 1) % size
+        return out
 
     return words.map(of)
 
 
-def misread_words(counts: DataFrame, ratio: int = 20, least: int = 5) -> DataFrame:
-    """``word, meant`` from ``word, n``: words that one confusion turns into a word ``ratio`` times as frequent and met ``least`` times.
+def misread_words(counts: DataFrame) -> DataFrame:
+    """``word, meant`` from ``word, n``: words that a scanner made of more frequent ones, by confusions learnt from these counts.
 
-    A word with a digit or sign among its letters needs no such ratio: it is misread if the other form is more frequent or it is a name.
+    Two words that differ in one stretch of one or two characters are a pair of a rare and a frequent form. A pair of stretches is a
+    confusion if the frequent words that show it are about as many as its rate lets expect of words that have the stretch; likenesses of
+    the language cling to a few words. A rare word is misread if some frequent word gives rise to it by a confusion far more
+    probably than chance does, chance being what the other pairs show, and in about the expected number.
+    A name with a confused sign between letters is misread whether or not its right form is known; ``meant`` is then empty if it isn't.
     """
-    odd = F.col("word").rlike(r"^\p{L}*[\p{Ll}][0-9@!|$]+\p{Ll}*$|^\p{L}?[0-9@!|$]\p{Ll}{2,}$")
-    fine = F.col("word").rlike(r"^\p{L}{3,}$")
-    options = counts.where(F.length("word").between(3, 40) & (odd | fine) & F.col("word").rlike(r"\p{Ll}{2}")).select("word", "n", odd.alias("odd"), F.explode(F.pandas_udf(_readings, "array<string>")("word")).alias("meant"))
-    known = counts.select(F.col("word").alias("meant"), F.col("n").alias("m"))
-    better = options.join(known, "meant").where(((F.col("m") >= least) & (F.col("m") >= ratio * F.col("n"))) | (F.col("odd") & (F.col("m") > F.col("n"))))
-    names = counts.where(odd & F.col("word").rlike(r"^\p{Lu}") & F.col("word").rlike(r"\p{Ll}.*[0-9@!|$].*\p{Ll}")).select("word", F.lit("").alias("meant"))
-    found = better.groupBy("word").agg(F.max_by("meant", F.struct("m", "meant")).alias("meant"))
-    return found.unionByName(names.join(found, "word", "left_anti"))
+    rows = counts.where(F.length("word") >= 3)
+    found = F.explode(F.pandas_udf(_holes, "array<struct<key: bigint, at: int, size: int>>")("word")).alias("h")
+    holes = cut_lineage(rows.where(F.col("word").rlike(r"\p{L}")).select("word", "n", found).select("word", "n", "h.key", F.expr("substring(word, h.at, h.size)").alias("piece")))
+    strong = holes.where((F.col("n") >= WORD_MET) & F.col("word").rlike(r"^\p{L}+$"))
+    right = strong.select("key", F.col("word").alias("meant"), F.col("n").alias("m"), F.col("piece").alias("stood"))
+    ends = (F.substring("piece", 1, 1) != F.substring("stood", 1, 1)) & (F.substring("piece", -1, 1) != F.substring("stood", -1, 1))
+    pairs = cut_lineage(holes.join(right, "key").where(ends & (F.col("n") < F.col("m"))).select("word", "n", "meant", "m", F.col("piece").alias("read"), "stood").distinct())
+
+    rare = pairs.where("m >= 10 * n")
+    shown = rare.groupBy("read", "stood").agg(F.count_distinct("meant").alias("words"), F.count(F.lit(1)).alias("pairs"), F.sum("n").alias("times"))
+    chances = strong.select(F.col("piece").alias("stood"), F.col("n").alias("m")).groupBy("stood", F.floor(F.log2("m")).alias("step")).agg(F.count(F.lit(1)).alias("w"), F.sum("m").alias("m"))
+    total = chances.groupBy("stood").agg(F.sum("m").alias("places"), F.sum("w").alias("kinds"))
+    rated = shown.join(total, "stood").withColumn("rate", F.col("times") / F.col("places"))
+    expected = rated.select("read", "stood", "rate").join(chances, "stood").groupBy("read", "stood").agg(F.sum(F.col("w") * (1 - F.exp(-F.col("rate") * F.col("m") / F.col("w")))).alias("expected"))
+    even = (F.col("words") >= CONFUSED_WORDS) & (F.col("words") >= EVENLY * F.col("expected"))
+    patterns = cut_lineage(rated.join(expected, ["read", "stood"]).withColumn("even", even))
+    chance = patterns.where("not even").agg(((F.coalesce(F.sum("pairs"), F.lit(0)) + 1) / (F.coalesce(F.sum("kinds"), F.lit(0)) + UNSEEN)).alias("c"))
+    confusions = patterns.where("even").select("read", "stood", "rate")
+
+    made = pairs.join(confusions, ["read", "stood"]).withColumn("mean", F.col("m") * F.col("rate")).withColumn("c", chance.scalar())
+    likely = (1 - F.exp(-F.col("mean")) >= ODDS * F.col("c")) & (F.col("n") <= EXCESS * (F.col("mean") + 1))
+    best = made.where(likely).groupBy("word").agg(F.max_by("meant", F.struct("mean", "meant")).alias("meant"))
+    signs = confusions.where((F.length("read") == 1) & ~F.col("read").rlike(r"\p{L}")).groupBy(F.col("read").alias("sign")).agg(F.max_by("stood", F.struct("rate", "stood")).alias("stood"))
+    odd = rows.where(F.col("word").rlike(r"\p{Ll}[^\p{L}\p{M}'’.,/&+_]+\p{L}")).select("word", F.explode(F.array_distinct(F.regexp_extract_all("word", F.lit(r"(?<=\p{Ll})([^\p{L}\p{M}'’.,/&+_])(?=\p{L})")))).alias("sign"))
+    names = odd.join(signs, "sign").select("word").distinct().join(best, "word", "left_anti").select("word", F.lit("").alias("meant"))
+    return best.unionByName(names)
 
 
 def lines_to_repair(pages: DataFrame) -> DataFrame:
     """``page_no, line_no, kind`` of the lines to be repaired; a line can have several kinds. Lines count from 1, split at line feeds.
 
-    - Failed pages, null and blank texts and null page numbers have no lines; null paper ids are a paper of their own for repetition, and
-      their divided words go on within the page only. A null page_index agrees with no page number.
-    - Repeated rows count once. Very long pages are read whole. The empty table gives no rows; other columns are ignored.
+    - Failed pages, null and blank texts and null page numbers have no lines; a page without paper_id is a paper of its own, and
+      its divided words go on within the page only. A null page_index agrees with no page number.
+    - Repeated rows count once. Very long pages, lines and words are read whole. The empty table gives no rows; other columns are ignored.
     """
-    lines = labelled_lines(pages)
-    furniture = lines.where(F.col("state").isin(RUNNING, NUMBER)).select("page_no", "line_no", F.when(F.col("state") == RUNNING, STATES[RUNNING]).otherwise(STATES[NUMBER]).alias("kind"))
-    body = lines.where(F.col("state") == BODY)
-    hyphens, words = _settle(body)
-    return furniture.unionByName(hyphens.select("page_no", "line_no", F.lit("hyphen").alias("kind"))).unionByName(words.select("page_no", "line_no", F.lit("misread").alias("kind"))).distinct()
+    labelled = labelled_pages(pages)
+    state = F.explode(F.filter(F.transform("states", lambda s, i: F.struct((i + 1).cast("int").alias("line_no"), s.alias("state"))), lambda x: x["state"].isin(RUNNING, NUMBER))).alias("x")
+    furniture = labelled.select("page_no", state).select("page_no", "x.line_no", F.when(F.col("x.state") == RUNNING, STATES[RUNNING]).otherwise(STATES[NUMBER]).alias("kind"))
+    hyphens, words = _settle(labelled)
+    return furniture.unionByName(hyphens.select("page_no", "line_no", F.lit("hyphen").alias("kind"))).unionByName(words.select("page_no", "line_no", F.lit("misread").alias("kind")).distinct())
 
 
-def _settle(body: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _settle(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The body lines whose last word was divided (with ``joined``), and those with a misread word (with ``word`` and ``meant``)."""
-    ends = cut_lineage(divided_words(body))
-    tokens = cut_lineage(body.select("page_no", "line_no", _words(F.regexp_replace("line", rf"[\w'’@!|$-]+[{MARKS}]\s*$", "")).alias("words")))
-    counts = tokens.select(F.explode("words").alias("word")).groupBy(F.lower("word").alias("form")).agg(F.count(F.lit(1)).alias("n"))
+    taken = _taken_apart(labelled)
+    counted = cut_lineage(taken.where("kind in ('part', 'form')").groupBy("kind", "word").agg(F.sum("n").alias("n")))
+    counts = counted.where("kind = 'form'").select(F.col("word").alias("form"), "n")
     begun = counts.where(F.col("form").contains("-")).select(F.concat(F.substring_index("form", "-", 1), F.lit("-")).alias("form"), "n").groupBy("form").agg(F.sum("n").alias("n"))
 
+    ends = cut_lineage(divided_words(labelled, taken))
     tail = F.coalesce("tail", F.lit(""))
     first_part = F.lower(F.element_at(F.split("head", "-"), -1))
     asked = {"as_one": F.concat("head", tail), "as_two": F.concat("head", F.lit("-"), tail), "compounding": F.concat(first_part, F.lit("-")), "tail_alone": tail}
     forms = ends.select("page_no", "line_no", F.explode(F.array(*[F.struct(F.lit(k).alias("role"), F.lower(v).alias("form")) for k, v in asked.items()])).alias("f")).select("page_no", "line_no", "f.role", "f.form")
     met = forms.join(counts.unionByName(begun), "form").groupBy("page_no", "line_no").agg(*[F.max(F.when(F.col("role") == k, F.col("n"))).alias(k) for k in asked])
     pairs = ends.join(met, ["page_no", "line_no"], "left").fillna(0, list(asked))
-    soft = F.col("mark").isin("\u00ac", "\u00ad")
+    soft = F.col("mark").isin("¬", "­")
     goes_on = F.col("tail").isNull() | F.col("tail").rlike(r"^\p{Ll}")
     whole = F.when(F.col("as_one") + F.col("as_two") > 0, F.col("as_one") >= F.col("as_two")).otherwise(~((F.col("compounding") > 0) & (F.col("tail_alone") > 0)))
     divided = F.when(soft, True).when(~goes_on, False).when(F.col("tail").isNull(), F.col("compounding") == 0).otherwise(whole)
     hyphens = cut_lineage(pairs.where(divided).select("page_no", "line_no", "head", "tail", "at_page", "at_line", F.concat("head", tail).alias("joined")))
 
-    taken = hyphens.where("at_line is not null").select(F.col("at_page").alias("page_no"), F.col("at_line").alias("line_no"), F.lit(True).alias("taken")).distinct()
-    kept = F.when(F.col("taken"), F.slice("words", 2, 1_000_000)).otherwise(F.col("words"))
-    inner = tokens.join(taken, ["page_no", "line_no"], "left").select("page_no", "line_no", F.explode(kept).alias("word"))
-    inner = inner.select("page_no", "line_no", F.explode(F.split("word", "-")).alias("word"))
-    part_counts = inner.select(_small(F.col("word")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     joints = hyphens.where("tail is not null").select("*", _small(F.col("joined")).alias("word"))
-    with_joints = part_counts.unionByName(joints.groupBy("word").agg(F.count(F.lit(1)).alias("n"))).groupBy("word").agg(F.sum("n").alias("n"))
-    wrong = cut_lineage(misread_words(with_joints))
-    few = wrong.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS
-    known = F.broadcast(wrong) if few else wrong
-    in_lines = inner.select("page_no", "line_no", _small(F.col("word")).alias("word")).join(known, "word")
-    split = joints.join(known, "word").withColumn("same", F.expr("substring(meant, 1, length(head)) = substring(word, 1, length(head)) and meant <> ''"))
+    parts = counted.where("kind = 'part'").select("word", "n").unionByName(joints.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    wrong = cut_lineage(misread_words(parts.groupBy("word").agg(F.sum("n").alias("n"))))
+    in_lines = _lines_with(labelled, wrong)
+    rest = hyphens.where("at_page is not null").select(F.col("at_page").alias("page_no"), F.col("at_line").alias("line_no"), F.lit(True).alias("begins"))
+    in_lines = in_lines.join(rest, ["page_no", "line_no", "begins"], "left_anti")
+    split = joints.join(wrong, "word").withColumn("same", F.expr("substring(meant, 1, length(head)) = substring(word, 1, length(head)) and meant <> ''"))
     of_head = split.where("not same").select("page_no", "line_no", "word", "meant")
     of_tail = split.where("same").select(F.col("at_page").alias("page_no"), F.col("at_line").alias("line_no"), "word", "meant")
     return hyphens, in_lines.select("page_no", "line_no", "word", "meant").unionByName(of_head).unionByName(of_tail)
 
 
+def _lines_with(labelled: DataFrame, wrong: DataFrame) -> DataFrame:
+    """``page_no, line_no, begins, word, meant`` of the misread words of body lines; ``begins`` says of the first word that it is it.
+
+    The words go to the tasks while they are few enough in bytes; else lines and words are joined by a shuffle.
+    """
+    few = (wrong.agg(F.sum(F.length("word") + F.length("meant") + 100)).first()[0] or 0) <= BROADCAST_BYTES
+    known = labelled.sparkSession.sparkContext.broadcast({r["word"]: r["meant"] for r in wrong.collect()}) if few else None
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        meant = known.value if known else None
+        for batch in batches:
+            out = []
+            for page, lines, states in zip(*(batch.column(c).to_pylist() for c in ("page_no", "lines", "states"))):
+                for i, (line, state) in enumerate(zip(lines, states), 1):
+                    if state == BODY:
+                        words = [(j, p) for j, w in enumerate(words_of(line)) for p in map(small, w.split("-"))]
+                        out += [(page, i, j == 0, w, None) for j, w in words] if meant is None else [(page, i, j == 0, w, meant[w]) for j, w in words if w in meant]
+            columns = list(zip(*out)) or [()] * 5
+            kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["page_no", "line_no", "begins", "word", "meant"])
+
+    rows = labelled.select("page_no", "lines", "states").mapInArrow(look, "page_no bigint, line_no int, begins boolean, word string, meant string")
+    return rows if few else rows.drop("meant").join(wrong, "word").select("page_no", "line_no", "begins", "word", "meant")
+
+
 def _small(word: Column) -> Column:
-    """Lower case for words that only begin with a capital; names with capitals inside stay."""
-    return F.when(word.rlike(r"^\p{Lu}[^\p{Lu}]*$"), F.lower(word)).otherwise(word)
+    """``small`` as a column expression."""
+    low = F.lower(word)
+    return F.when(F.expr("substring({w}, 2) = substring(lower({w}), 2)".format(w="joined")), low).otherwise(word)
 
 
-#: Pages of a paper within which a paragraph is followed; it ends at a multiple of so many pages, so that no task gathers a huge paper.
-FOLLOWED_PAGES = 1000
+#: Pages of a paper that are followed in one window; ranges are then linked with one another.
+RANGE = 1000
 
 
 def paragraphs(pages: DataFrame) -> DataFrame:
@@ -415,10 +572,10 @@ def paragraphs(pages: DataFrame) -> DataFrame:
     were read for. A paragraph ends at a blank line or heading; at a page's end it goes on with the next page if that begins in small
     letters, or if the word at its end was divided. What ``lines_to_repair`` says of nulls, repeats and empty tables holds.
     """
-    lines = labelled_lines(pages)
-    body = lines.where(F.col("state") == BODY)
-    hyphens, words = _settle(body)
+    labelled = labelled_pages(pages)
+    hyphens, words = _settle(labelled)
     wrong = words.where("meant <> ''").groupBy("page_no", "line_no").agg(F.collect_set(F.struct("word", "meant")).alias("wrong"))
+    lines = labelled.select("page_no", "paper_id", "page_index", F.posexplode(F.arrays_zip("lines", "states")).alias("at", "l")).select("page_no", "paper_id", "page_index", (F.col("at") + 1).alias("line_no"), F.col("l.lines").alias("line"), F.col("l.states").alias("state"))
     order = Window.partitionBy("page_no").orderBy("line_no")
     ended = F.lag(F.col("state").isin(BREAK, HEADING)).over(order)
     kept = lines.where(F.col("state").isin(BODY, BREAK, HEADING)).withColumn("opens", F.coalesce(ended, F.lit(False)) & (F.col("state") == BODY)).where(F.col("state") == BODY)
@@ -427,19 +584,22 @@ def paragraphs(pages: DataFrame) -> DataFrame:
     per_page = local.groupBy("page_no", "paper_id", "page_index").agg(low, F.max("part").alias("parts"), F.min("part").alias("least"))
     heads = hyphens.where(F.col("at_page") != F.col("page_no")).select(F.col("at_page").alias("page_no"), F.lit(True).alias("divided")).distinct()
     per_page = per_page.join(heads, "page_no", "left").withColumn("goes_on", F.col("goes_on") | F.coalesce("divided", F.lit(False)))
-    chain = Window.partitionBy("paper_id", F.floor(F.col("page_index") / FOLLOWED_PAGES)).orderBy("page_index", "page_no")
-    follows = F.col("goes_on") & F.col("paper_id").isNotNull() & F.coalesce(F.lag("page_index").over(chain) == F.col("page_index") - 1, F.lit(False))
+    before = per_page.where("paper_id is not null").select("paper_id", (F.col("page_index") + 1).alias("page_index"), F.lit(True).alias("has_before")).distinct()
+    per_page = cut_lineage(per_page.join(before, ["paper_id", "page_index"], "left").withColumn("follows", F.col("goes_on") & F.coalesce("has_before", F.lit(False))).withColumn("range", F.floor(F.col("page_index") / RANGE)))
     begins = F.when(~F.col("follows") | (F.col("parts") > F.col("least")), F.struct("page_no", "parts"))
-    linked = per_page.withColumn("follows", follows).withColumn("open", F.last(begins, True).over(chain.rowsBetween(Window.unboundedPreceding, -1)))
-    linked = linked.select("page_no", "follows", "open", F.col("least").alias("first_part"))
+    chain = Window.partitionBy("paper_id", "range", F.when(F.col("paper_id").isNull(), F.col("page_no"))).orderBy("page_index", "page_no")
+    ranges = per_page.where("paper_id is not null").groupBy("paper_id", "range").agg(F.max_by(begins, F.when(begins.isNotNull(), F.struct("page_index", "page_no"))).alias("last"))
+    carried = ranges.withColumn("carried", F.last("last", True).over(Window.partitionBy("paper_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1))).where("carried is not null").select("paper_id", "range", "carried")
+    linked = per_page.withColumn("open", F.last(begins, True).over(chain.rowsBetween(Window.unboundedPreceding, -1))).join(carried, ["paper_id", "range"], "left")
+    linked = linked.select("page_no", "follows", F.coalesce("open", "carried").alias("open"), F.col("least").alias("first_part"))
     named = local.join(linked, "page_no").withColumn("joins", F.col("follows") & (F.col("part") == F.col("first_part")) & F.col("open").isNotNull())
     named = named.withColumn("first_page_no", F.when(F.col("joins"), F.col("open.page_no")).otherwise(F.col("page_no"))).withColumn("paragraph", F.when(F.col("joins"), F.col("open.parts")).otherwise(F.col("part")))
     repaired = named.join(hyphens.select("page_no", "line_no", F.lit(True).alias("cut")), ["page_no", "line_no"], "left").join(wrong, ["page_no", "line_no"], "left")
-    mended = F.aggregate(
-        F.coalesce("wrong", F.array().cast("array<struct<word:string,meant:string>>")),
-        F.col("line"),
-        lambda t, x: F.replace(F.replace(t, x["word"], x["meant"]), F.concat(F.upper(F.substring(x["word"], 1, 1)), F.substring(x["word"], 2, 1000)), F.concat(F.upper(F.substring(x["meant"], 1, 1)), F.substring(x["meant"], 2, 1000))),
-    )
+
+    def capital(x: Column) -> Column:
+        return F.concat(F.upper(F.substring(x, 1, 1)), F.substr(x, F.lit(2)))
+
+    mended = F.aggregate(F.coalesce("wrong", F.array().cast("array<struct<word:string,meant:string>>")), F.col("line"), lambda t, x: F.replace(F.replace(t, x["word"], x["meant"]), capital(x["word"]), capital(x["meant"])))
     ends_open = F.col("line").rlike(rf"\w[{MARKS}]\s*$")
     text = F.when(F.coalesce("cut", F.lit(False)), F.regexp_replace(mended, rf"[{MARKS}]\s*$", "")).when(ends_open, mended).otherwise(F.concat(mended, F.lit(" ")))
     pieces = repaired.select("paper_id", "first_page_no", "paragraph", "page_index", "page_no", "line_no", text.alias("t"))

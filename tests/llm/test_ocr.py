@@ -69,8 +69,48 @@ def test_planted_lines_are_found(planted):
         assert len(a & b) > 0.9 * len(a) and len(a & b) > 0.9 * len(b), kind
 
 
+def test_the_model_decides_lines_it_was_not_trained_on(spark):
+    (learnt_from, _), (rows, truth) = book(seed=5), book(seed=8)
+    watched = []
+    for some in (learnt_from, rows):
+        parsed = ocr.page_lines(ocr.readable_pages(spark.createDataFrame(some, SCHEMA)))
+        watched.append(parsed.join(ocr._told(parsed), "page_no", "left"))
+    model = ocr.LineModel(ocr.train(watched[0]))
+    for state, kind in ((ocr.RUNNING, "running_line"), (ocr.NUMBER, "page_number")):
+        got = set()
+        for r in watched[1].collect():
+            told = {t["line_no"]: t for t in r["told"] or []}
+            labels = model.best([ocr.features(a, b, r["page_index"], told.get(i)) for i, (a, b) in enumerate(zip(r["regions"], r["shapes"]), 1)])
+            got |= {(r["page_no"], i, kind) for i, s in enumerate(labels, 1) if s == state}
+        want = {t for t in truth if t[2] == kind}
+        assert len(want & got) >= 0.98 * len(want) and len(want & got) >= 0.98 * len(got), kind
+
+
+def test_an_interior_line_may_be_a_running_line():
+    """No rule settles a line: what the counts say decides, inside a page as at its edge."""
+    counts = {("place", ocr.RUNNING, "M"): 50, ("look", ocr.RUNNING, "title 3 yes"): 50, ("number", ocr.RUNNING, "-"): 50, ("heads", ocr.RUNNING, "-"): 50, ("place", ocr.BODY, "M"): 50, ("look", ocr.BODY, "low 1 -"): 50, ("number", ocr.BODY, "-"): 50, ("heads", ocr.BODY, "-"): 50}
+    model = ocr.LineModel(counts)
+    assert model.best([("M", "low 1 -", "-", "-"), ("M", "title 3 yes", "-", "-"), ("-", "blank 1 -", "-", "-")]) == [ocr.BODY, ocr.RUNNING, ocr.BREAK]
+
+
+def test_confusions_are_learnt_and_likenesses_are_not(spark):
+    right = {w: 4000 for w in ("planner", "reader", "network", "kernel", "memory", "signal", "reward", "context", "dinner", "manner")}
+    read = {w.replace("e", "ε", 1): 3 for w in right if "e" in w}
+    counts = {**right, **read, "dimmer": 40, "manned": 300, "Fεnjorgor": 1, "résumé": 5}
+    got = {r["word"]: r["meant"] for r in ocr.misread_words(spark.createDataFrame(list(counts.items()), "word string, n long")).collect()}
+    assert {w for w, m in got.items() if m} == set(read) and all(got[w] == w.replace("ε", "e") for w in read)
+
+
+def test_paragraphs_go_on_over_every_page(spark, monkeypatch):
+    monkeypatch.setattr(ocr, "RANGE", 3)
+    rows = [(i, "a", i, True, f"word{i} goes on and every line ends without a stop here\nin small letters that never end and go", "") for i in range(11)]
+    rows = [(n, p, i, s, t if i == 0 else "and " + t, x) for n, p, i, s, t, x in rows]
+    got = paragraphs(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(got) == 1 and all(f"word{i} " in got[0]["text"] for i in range(11))
+
+
 def test_many_misread_words_are_joined_by_shuffle(spark, planted, monkeypatch):
-    monkeypatch.setattr(ocr, "BROADCAST_WORDS", 0)
+    monkeypatch.setattr(ocr, "BROADCAST_BYTES", -1)
     assert {tuple(r) for r in lines_to_repair(spark.createDataFrame(planted[0], SCHEMA)).collect()} == planted[2]
 
 
