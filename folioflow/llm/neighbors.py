@@ -1,13 +1,14 @@
 """Most similar vectors for every vector, with a permutation index (problem 2).
 
 Every vector is represented by its nearest pivots in order (its permutation). It is posted in the inverted files of its first pivots; in an
-inverted file the other members are ranked by the footrule distance of the permutations, and the best of them are reranked by the exact
-cosine. The pivots are a bounded sample of the different directions, so that copies of one vector don't take the places of others; every
-usable vector is posted.
+inverted file the others are ranked by the footrule distance of the permutations, and the cosine is taken of the best of them only. The pivots
+are a bounded sample of the different directions, so that copies of one vector don't take the places of others; every usable vector is posted.
 
 At scale: vectors equal in every number are one distinct vector, which carries its smallest ids, so a group of copies is never paired with
-itself. Postings carry the vector in a lossless compact form, so reranking needs no join back. The number of pivots follows the number
-of vectors, so inverted files keep their size; one that is still too large is cut by its members' next pivots.
+itself. Postings carry the vector in a lossless compact form, so reranking needs no join back. Neighbouring pivots form a cell, which is
+searched by one task, so a vector travels once for each cell of its first pivots and not once for each of them. As pivots are drawn from the vectors
+they are dense where these are dense. A cell that is large all the same is searched by several tasks, each with its own part of the
+queries, which its members pass by in chunks: memory stays bounded, nothing is left out, and what is found doesn't depend on the size.
 """
 
 from __future__ import annotations
@@ -15,9 +16,11 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,23 +30,32 @@ from folioflow.session import cut_lineage
 
 @dataclass(frozen=True)
 class PermutationIndex:
-    """Parameters; ``vectors_per_pivot`` with the two bounds gives the number of pivots per dimension, all of them sampled vectors."""
+    """Parameters; ``vectors_per_pivot`` with the bounds gives the number of pivots per dimension, all of them sampled vectors.
+
+    ``reranked`` is how many of a file's vectors are compared by cosine, for each query and each ``chunk`` of the file.
+    """
 
     prefix: int = 8
     postings: int = 5
     vectors_per_pivot: int = 128
     least_pivots: int = 64
-    most_pivots: int = 4096
     reranked: int = 192
-    largest_file: int = 16_384
+    chunk: int = 16_384
+
+    def pivots(self, sizes: dict[int, int]) -> dict[int, int]:
+        """The number of pivots of each dimension; ``PIVOT_BYTES`` are shared out in proportion to the vectors."""
+        every = max(sum(sizes.values()), 1)
+        most = {d: min(MOST_PIVOTS, PIVOT_BYTES * n // every // (4 * d)) for d, n in sizes.items()}
+        return {d: max(self.least_pivots, min(n // self.vectors_per_pivot, most[d])) for d, n in sizes.items()}
 
-    def pivots(self, vectors: int, dimension: int) -> int:
-        most = max(self.least_pivots, min(self.most_pivots, PIVOT_BYTES // (4 * dimension)))
-        return int(min(max(vectors // self.vectors_per_pivot, self.least_pivots), most))
+    def cells(self, pivots: int, vectors: int) -> int:
+        """How many cells the pivots are put into, so that a cell has a few thousand members and at least one pivot."""
+        members_per_pivot = max(1, vectors * self.postings // pivots)
+        return max(1, pivots // max(1, min(32, self.chunk // (2 * members_per_pivot))))
 
 
-#: Versions that may come to the driver, and bytes of pivots of one dimension that are broadcast.
-VERSIONS, PIVOT_BYTES = 1_000, 16_000_000
+#: Versions that may come to the driver, bytes of pivots of all dimensions that are broadcast, and the largest number a permutation can hold.
+VERSIONS, PIVOT_BYTES, MOST_PIVOTS = 1_000, 32_000_000, 65_535
 #: Steps from cosine 0 to 1 in the order of pivots; coarser than the noise of single precision.
 STEPS = 2**18
 
@@ -99,43 +111,48 @@ def unpack_vectors(packed: pa.Array) -> np.ndarray:
 
 def nearest_pivots(unit: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     """The numbers of the ``prefix`` nearest pivots in order; cosines that are equal in steps of ``1 / STEPS`` by the pivot's number."""
-    out, numbers = np.empty((len(unit), prefix), np.int16), np.arange(len(pivots))
+    out, numbers = np.empty((len(unit), prefix), np.uint16), np.arange(len(pivots))
     kind = np.int32 if STEPS * (len(pivots) + 1) < 2**31 else np.int64
-    for at in range(0, len(unit), 2048):
+    rows = max(1, 8_000_000 // max(len(pivots), 1))
+    for at in range(0, len(unit), rows):
         # One number for the step of the cosine and the pivot: no two are equal, so a tie can't be cut anywhere.
-        ranked = np.rint((unit[at : at + 2048] @ pivots.T) * -STEPS).astype(kind) * kind(len(pivots)) + numbers.astype(kind)
-        out[at : at + 2048] = np.sort(np.partition(ranked, prefix - 1, axis=1)[:, :prefix], axis=1) % len(pivots)
+        ranked = np.rint((unit[at : at + rows] @ pivots.T) * -STEPS).astype(kind) * kind(len(pivots)) + numbers.astype(kind)
+        out[at : at + rows] = np.sort(np.partition(ranked, prefix - 1, axis=1)[:, :prefix], axis=1) % len(pivots)
     return out
 
 
-def file_neighbors(permutations: np.ndarray, vectors: np.ndarray, least: float, reranked: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Within one inverted file: (row, other row, cosine rounded to 9 decimals) of the others with at least ``least``.
+def file_neighbors(queries: np.ndarray, members: np.ndarray, query_rows: np.ndarray, member_rows: np.ndarray, units: np.ndarray, least: float, reranked: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Within one inverted file: (query row, other row, cosine rounded to 9 decimals) of the others with at least ``least``.
 
-    The others are ranked by footrule distance: for prefixes of equal length it falls as the sum, over shared pivots, of the smaller of
-    the two weights grows, where a pivot's weight is the prefix length minus its position. All others that reach the distance of the
-    ``reranked``-th are reranked by the cosine.
+    ``queries`` and ``members`` are the permutations of the rows ``query_rows`` and ``member_rows`` of ``units``. The members are ranked by
+    footrule distance: for prefixes of equal length it falls as the sum, over shared pivots, of the smaller of the two weights
+    grows, where a pivot's weight is the prefix length minus its position. The cosine is taken of those that reach the distance of the ``reranked``-th.
     """
-    size, prefix = permutations.shape
-    unit = vectors / np.sqrt((vectors * vectors).sum(1))[:, None]
-    names, local = np.unique(permutations, return_inverse=True)
-    local = local.reshape(permutations.shape)
-    weight = np.zeros((len(names), size), np.uint8)
+    size, prefix = members.shape
+    names, local = np.unique(members, return_inverse=True)
+    local = local.reshape(members.shape)
+    weight = np.zeros((len(names) + 1, size), np.uint8)
     for i in range(prefix):
         weight[local[:, i], np.arange(size)] = prefix - i
+    place = np.searchsorted(names, queries)
+    asked = np.where(names[np.minimum(place, len(names) - 1)] == queries, place, len(names))
     step, out = max(1, min(512, 4_000_000 // size)), []
-    for at in range(0, size, step):
-        rows = np.arange(at, min(at + step, size))
+    for at in range(0, len(queries), step):
+        rows = asked[at : at + step]
         near = np.zeros((len(rows), size), np.uint8)
         for i in range(prefix):
-            near += np.minimum(weight[local[rows, i]], np.uint8(prefix - i))
-        near[np.arange(len(rows)), rows] = 0
+            near += np.minimum(weight[rows[:, i]], np.uint8(prefix - i))
+        near[query_rows[at : at + step, None] == member_rows[None, :]] = 0
         cut = np.maximum(np.partition(near, size - reranked, axis=1)[:, size - reranked], 1)[:, None] if size > reranked + 1 else np.uint8(1)
-        cosine = unit[rows] @ unit.T
-        a, b = np.nonzero((near >= cut) & (cosine >= least - 1e-8))
-        exact = np.round(np.minimum(cosine[a, b], 1.0), 9)
-        keep = exact >= least
-        out.append((rows[a[keep]], b[keep], exact[keep]))
-    return tuple(np.concatenate(x) for x in zip(*out))
+        a, b = np.nonzero(near >= cut)
+        a, b = query_rows[at + a], member_rows[b]
+        for part in range(0, len(a), 65_536):
+            x, y = a[part : part + 65_536], b[part : part + 65_536]
+            cosine = np.einsum("ij,ij->i", units[x], units[y])
+            exact = np.round(np.minimum(cosine, 1.0), 9)
+            keep = exact >= least
+            out.append((x[keep], y[keep], exact[keep]))
+    return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
 
 
 def directions(vectors: np.ndarray) -> np.ndarray:
@@ -182,11 +199,24 @@ def _distinct_directions(df: DataFrame, most: dict[int, int]) -> dict[int, np.nd
     return {d: np.array(v, float) for d, v in out.items()}
 
 
-def _encoded(df: DataFrame, sizes: dict[int, int], index: PermutationIndex) -> DataFrame:
-    """``embedding_no, version, key, packed, permutation`` of usable vectors; ``key`` is equal for equal vectors of a version."""
-    chosen = _distinct_directions(df, {d: index.pivots(count, d) for d, count in sizes.items()})
+def cells_of(pivots: np.ndarray, cells: int) -> np.ndarray:
+    """The cell of each pivot: the nearest of the first ``cells`` pivots, which are as random as any."""
+    out = np.empty(len(pivots), np.int32)
+    for at in range(0, len(pivots), 4096):
+        out[at : at + 4096] = (pivots[at : at + 4096] @ pivots[:cells].T).argmax(1)
+    return out
+
+
+def _encoded(df: DataFrame, sizes: dict[int, int], index: PermutationIndex) -> tuple[DataFrame, Broadcast]:
+    """``embedding_no, version, key, packed, permutation, cells`` of usable vectors, and by dimension the cell of each pivot.
+
+    ``key`` is equal for equal vectors of a version, ``permutation`` holds numbers of two bytes, ``cells`` are those of the first pivots.
+    """
+    chosen = _distinct_directions(df, index.pivots(sizes))
     pivots = {d: (v / np.sqrt((v * v).sum(1))[:, None]).astype(np.float32) for d, v in chosen.items()}
-    shared = df.sparkSession.sparkContext.broadcast(pivots)
+    cells = {d: cells_of(v, min(len(v), index.cells(len(v), sizes[d]))) for d, v in pivots.items()}
+    context = df.sparkSession.sparkContext
+    shared, cell_of = context.broadcast(pivots), context.broadcast(cells)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,27 +227,25 @@ def _encoded(df: DataFrame, sizes: dict[int, int], index: PermutationIndex) -> D
                 version = versions.take(pa.array(rows))
                 packed = [pack_vector(v) for v in values]
                 keys = [hashlib.blake2b(p, digest_size=16, key=b"%d" % v).digest() for p, v in zip(packed, version.to_pylist())]
-                columns = [ids.take(pa.array(rows)), version, pa.array(keys, pa.binary()), pa.array(packed, pa.binary())]
-                permutation = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * order.shape[1]), pa.array(order.ravel()))
-                yield pa.RecordBatch.from_arrays([*columns, permutation], names=["embedding_no", "version", "key", "packed", "permutation"])
-
-    return df.mapInArrow(encode, "embedding_no bigint, version int, key binary, packed binary, permutation array<smallint>")
-
-
-def _inverted_files(distinct: DataFrame, index: PermutationIndex) -> DataFrame:
-    """``distinct`` once for each of its first pivots, with ``file``: the pivot and, where its file is too large, the next pivots in order."""
-    names = distinct.select("*", F.explode(F.slice("permutation", 1, index.postings)).alias("pivot"))
-    others = F.array_remove(F.col("permutation"), F.col("pivot"))
-    posted = names.withColumn("file", F.array("pivot"))
-    large = None
-    for depth in range(1, index.prefix):
-        sizes = posted.groupBy("version", "file").count().where(F.col("count") > index.largest_file)
-        large = cut_lineage(sizes.select(F.col("version").alias("v"), F.col("file").alias("f")))
-        if not large.limit(1).count():
-            break
-        cut = posted.join(large, (posted["version"].eqNullSafe(large["v"])) & (posted["file"] == large["f"]), "left")
-        posted = cut.withColumn("file", F.when(F.col("f").isNotNull(), F.concat(F.array("pivot"), F.slice(others, 1, depth))).otherwise(F.col("file"))).drop("v", "f")
-    return posted.drop("pivot")
+                among = cell_of.value[dimension][order[:, : index.postings]]
+                columns = [ids.take(pa.array(rows)), version, pa.array(keys, pa.binary()), pa.array(packed, pa.binary()), pa.array([x.tobytes() for x in order], pa.binary()), pa.array([sorted(set(x)) for x in among.tolist()], pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["embedding_no", "version", "key", "packed", "permutation", "cells"])
+
+    return df.mapInArrow(encode, "embedding_no bigint, version int, key binary, packed binary, permutation binary, cells array<int>"), cell_of
+
+
+def _posted(distinct: DataFrame, index: PermutationIndex) -> DataFrame:
+    """``version, cell, block, asks, ids, packed, permutation``: ``distinct`` once for each of its cells, and of a large cell for each of its blocks.
+
+    In exactly one of the blocks a row is a query (``asks``); in all it is a member.
+    """
+    each = distinct.select("version", F.explode("cells").alias("cell"), "ids", "packed", "permutation")
+    sizes = distinct.select("version", F.explode("cells").alias("cell")).groupBy("version", "cell").agg(F.count(F.lit(1)).alias("c"))
+    large = sizes.where(F.col("c") > index.chunk).select("version", "cell", F.ceil(F.col("c") / index.chunk).cast("int").alias("blocks"))
+    divided = each.join(large, ["version", "cell"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own = F.pmod(F.xxhash64(F.col("ids")[0]), F.col("blocks")).cast("int")
+    rows = divided.select("version", "cell", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "ids", "packed", "permutation")
+    return rows.select("version", "cell", "block", (F.col("own") == F.col("block")).alias("asks"), "ids", "packed", "permutation")
 
 
 def most_similar(df: DataFrame, k: int = 5, least: float = 0.85, index: PermutationIndex = PermutationIndex()) -> DataFrame:
@@ -228,18 +256,20 @@ def most_similar(df: DataFrame, k: int = 5, least: float = 0.85, index: Permutat
     Of what the index finds everything is exact; it may miss a neighbour that shares none of the first pivots.
     """
     usable, sizes = usable_vectors(df)
-    encoded = cut_lineage(_encoded(usable, sizes, index))
+    rows, cell_of = _encoded(usable, sizes, index)
+    encoded = cut_lineage(rows)
     smallest = encoded.withColumn("place", F.dense_rank().over(Window.partitionBy("key").orderBy("embedding_no"))).where(F.col("place") <= k + 1)
     grouped = smallest.groupBy("key").agg(
-        F.array_sort(F.collect_set("embedding_no")).alias("ids"), F.first("version").alias("version"), F.first("packed").alias("packed"), F.first("permutation").alias("permutation")
+        F.array_sort(F.collect_set("embedding_no")).alias("ids"), F.first("version").alias("version"), F.first("packed").alias("packed"), F.first("permutation").alias("permutation"), F.first("cells").alias("cells")
     )
     distinct = cut_lineage(grouped)
-    files = _inverted_files(distinct.select("version", "ids", "packed", "permutation"), index)
-    rows = files.withColumn("run", F.xxhash64("version", "file")).repartition("run").sortWithinPartitions("run", "version", F.col("ids")[0]).select("version", "run", "ids", "packed", "permutation")
+    posted = _posted(distinct.select("version", "ids", "packed", "permutation", "cells"), index)
+    run = F.xxhash64("version", "cell", "block")
+    rows = posted.repartition(run).sortWithinPartitions("version", "cell", "block", F.desc("asks"), F.col("ids")[0])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for members in _runs(batches):
-            yield from _best_of_file(members, k, least, index.reranked)
+        for group in _groups(batches, index.chunk):
+            yield from _best_of_cell(group, cell_of.value, k, least, index)
 
     found = rows.mapInArrow(search, "a bigint, b bigint, cosine double")
     near = F.struct((-F.col("cosine")).alias("d"), F.col("b").alias("id"))
@@ -262,41 +292,87 @@ def similar_pairs(df: DataFrame, k: int = 5, least: float = 0.85, index: Permuta
     return near.select(F.least("embedding_no", "other").alias("embedding_no_a"), F.greatest("embedding_no", "other").alias("embedding_no_b")).distinct()
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The members of one inverted file after the other; they arrive sorted by the file's hash and the version."""
-    waiting, last = [], None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        run, version = batch.column(1).to_numpy(), batch.column(0).to_numpy()
-        starts = np.concatenate([[0], np.flatnonzero((run[1:] != run[:-1]) | (version[1:] != version[:-1])) + 1, [len(run)]])
-        for start, end in zip(starts, starts[1:]):
-            name = int(run[start]), int(version[start])
-            if waiting and name != last:
-                yield pa.Table.from_batches(waiting)
-                waiting = []
-            last = name
-            waiting.append(batch.slice(int(start), int(end - start)))
-    if waiting:
-        yield pa.Table.from_batches(waiting)
-
-
-def _best_of_file(members: pa.Table, k: int, least: float, reranked: int) -> Iterator[pa.RecordBatch]:
-    if members.num_rows < 2:
-        return
-    ids, packed, permutations = (members.column(c).combine_chunks() for c in (2, 3, 4))
-    vectors = unpack_vectors(packed)
-    copies = np.diff(ids.offsets.to_numpy())
-    flat, start = ids.flatten().to_numpy(), np.cumsum(copies) - copies
-    permutations = permutations.flatten().to_numpy().reshape(members.num_rows, -1)
-    row, other, cosine = file_neighbors(permutations, vectors, least, reranked)
-    often = copies[other]
-    row, cosine, at = np.repeat(row, often), np.repeat(cosine, often), np.repeat(start[other], often)
-    other = flat[at + np.arange(len(at)) - np.repeat(np.cumsum(often) - often, often)]
+def _groups(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[Iterator[pa.Table]]:
+    """For each block of a cell in turn its rows, first the queries in one table, then the other members in tables of up to ``chunk`` rows.
+
+    Rows arrive sorted by version, cell and block, the queries of a block first.
+    """
+
+    def pieces() -> Iterator[tuple[tuple[int, int, int, bool], pa.RecordBatch]]:
+        for batch in batches:
+            if batch.num_rows:
+                names = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]).astype(np.int64)
+                starts = np.concatenate([[0], np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1, [len(names)]])
+                for start, end in zip(starts, starts[1:]):
+                    for at in range(start, end, chunk):
+                        yield tuple(names[start]), batch.slice(at, min(at + chunk, end) - at)
+
+    def tables(parts: Iterator) -> Iterator[pa.Table]:
+        for asks, run in groupby(parts, key=lambda x: x[0][3]):
+            waiting: list[pa.RecordBatch] = []
+            for _, piece in run:
+                if not asks and waiting and sum(map(len, waiting)) + len(piece) > chunk:
+                    yield pa.Table.from_batches(waiting)
+                    waiting = []
+                waiting.append(piece)
+            yield pa.Table.from_batches(waiting)
+
+    for _, parts in groupby(pieces(), key=lambda x: x[0][:3]):
+        yield tables(parts)
+
+
+def _best_of_cell(tables: Iterator[pa.Table], cell_of: dict[int, np.ndarray], k: int, least: float, index: PermutationIndex) -> Iterator[pa.RecordBatch]:
+    """``a, b, cosine`` for one block of a cell: of each query the ``k`` best that the inverted files of the cell's pivots hold."""
+    queries, best = None, []
+    for table in tables:
+        if queries is None and not table.column("asks")[0].as_py():
+            return
+        ids, packed, permutations = (table.column(c).combine_chunks() for c in ("ids", "packed", "permutation"))
+        vectors = unpack_vectors(packed)
+        units = vectors / np.sqrt((vectors * vectors).sum(1))[:, None]
+        orders = np.frombuffer(permutations.buffers()[2], np.uint8)
+        first, last = (np.frombuffer(permutations.buffers()[1], np.int32)[permutations.offset + i] for i in (0, len(permutations)))
+        orders = np.ascontiguousarray(orders[first:last]).view("<u2").reshape(len(permutations), -1)
+        copies = np.diff(ids.offsets.to_numpy())
+        flat, start = ids.flatten().to_numpy(), np.cumsum(copies) - copies
+        asking = queries is None
+        if asking:
+            queries = (orders, units, flat[start], int(table.column("cell")[0].as_py()))
+        at = 0 if asking else len(queries[0])
+        every = units if asking else np.vstack([queries[1], units])
+        mine = cell_of[units.shape[1]] == queries[3]
+        asked, posted = (_by_pivot(x[:, : index.postings], mine) for x in (queries[0], orders))
+        for pivot, members in posted.items():
+            rows = asked.get(pivot)
+            if rows is None or (asking and len(rows) < 2):
+                continue
+            row, other, cosine = file_neighbors(queries[0][rows], orders[members], rows, members + at, every, least, index.reranked)
+            other = other - at
+            often = copies[other]
+            row, cosine, place = np.repeat(row, often), np.repeat(cosine, often), np.repeat(start[other], often)
+            best.append((row, flat[place + np.arange(len(place)) - np.repeat(np.cumsum(often) - often, often)], cosine))
+        best = [_top(best, k)] if best else []
+    if best and len(best[0][0]):
+        row, other, cosine = best[0]
+        yield pa.RecordBatch.from_arrays([pa.array(queries[2][row]), pa.array(other), pa.array(cosine)], names=["a", "b", "cosine"])
+
+
+def _by_pivot(orders: np.ndarray, mine: np.ndarray) -> dict[int, np.ndarray]:
+    """The rows posted under each pivot of the cell."""
+    rows, places = np.nonzero(mine[orders])
+    names = orders[rows, places]
+    order = np.argsort(names, kind="stable")
+    pivots, starts = np.unique(names[order], return_index=True)
+    return dict(zip(pivots.tolist(), np.split(rows[order], starts[1:])))
+
+
+def _top(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row its ``k`` best others, each once; among equal cosines the smaller id."""
+    row, other, cosine = (np.concatenate(x) for x in zip(*found))
     order = np.lexsort((other, -cosine, row))
     row, other, cosine = row[order], other[order], cosine[order]
-    place = np.arange(len(row)) - np.searchsorted(row, row)
-    keep = place < k
-    if keep.any():
-        columns = [pa.array(flat[start[row[keep]]]), pa.array(other[keep]), pa.array(cosine[keep])]
-        yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "cosine"])
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (other[1:] != other[:-1])
+    row, other, cosine = row[new], other[new], cosine[new]
+    keep = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[keep], other[keep], cosine[keep]

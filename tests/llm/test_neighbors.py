@@ -68,11 +68,19 @@ def test_unusable_rows_and_empty_table(spark):
     assert similar_pairs(frame(spark, [])).collect() == [] and similar_pairs(frame(spark, bad[:3])).collect() == []
 
 
-def test_large_files_are_cut_by_the_next_pivots(spark):
+@pytest.mark.parametrize("chunk", [7, 50, 16_384])
+def test_large_cells_are_searched_in_blocks_without_loss(spark, chunk):
     rows = clustered(3, 40, 16, 10, 0.15)
-    got = {tuple(r) for r in similar_pairs(frame(spark, rows), index=PermutationIndex(least_pivots=16, largest_file=60)).collect()}
+    got = {tuple(r) for r in similar_pairs(frame(spark, rows), index=PermutationIndex(least_pivots=16, chunk=chunk)).collect()}
     want = brute(rows)
-    assert len(want & got) >= 0.9 * len(want)
+    assert len(want & got) >= 0.98 * len(want)
+
+
+def test_one_cell_holds_nearly_all(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, "v", 8, (np.ones(8) + 0.01 * rng.normal(size=8)).round(6).tolist()) for i in range(300)] + [(1000 + i, "v", 8, rng.normal(size=8).round(3).tolist()) for i in range(30)]
+    small = {tuple(r) for r in similar_pairs(frame(spark, rows), index=PermutationIndex(least_pivots=4, chunk=20)).collect()}
+    assert len(brute(rows) & small) >= 0.98 * len(brute(rows))
 
 
 def test_recall_beside_a_vector_with_a_third_of_the_rows(spark):
@@ -101,8 +109,11 @@ def test_packed_vectors_come_back_whole(values):
     assert unpack_vectors(mixed).tolist() == [[0.5, 1.0], [1 / 3, 1.0], [0.25, 1.0]]
 
 
-def test_number_of_pivots_is_bounded():
+def test_number_of_pivots_is_bounded_for_all_dimensions_together():
     index = PermutationIndex()
-    assert index.pivots(10, 64) == 64 and index.pivots(10**9, 64) == 4096 and index.pivots(10**9, 8192) * 8192 * 4 <= neighbors.PIVOT_BYTES
+    assert index.pivots({64: 10}) == {64: 64} and index.pivots({2: 10**9}) == {2: neighbors.MOST_PIVOTS}
+    many = index.pivots({d: 10**9 // d for d in range(64, 4096, 64)})
+    assert sum(4 * d * n for d, n in many.items()) <= neighbors.PIVOT_BYTES + sum(4 * d * index.least_pivots for d in many)
+    assert index.cells(1000, 128_000) > 1 and index.cells(1000, 10**9) == 1000
     with pytest.raises(AttributeError):
         index.prefix = 3
