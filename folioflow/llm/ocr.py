@@ -31,7 +31,7 @@ RUNNING, NUMBER, BODY, HEADING, FIGURES, BREAK = range(6)
 #: Lines from the top and from the bottom of a page that count as its edges.
 EDGE = 3
 #: Rounds of re-estimation, the count added to every feature value and transition, and how far below the best state (in logarithms) a state is still followed.
-ROUNDS, SMOOTH, BEAM = 2, 0.05, 25.0
+ROUNDS, SMOOTH, BEAM = 1, 0.05, 15.0
 #: Occurrences that say where a line of the corpus stands, and the share of them at page edges from which it is known as one of edges.
 SEEN, AT_EDGE = 5, 0.8
 #: Bytes of misread words that are broadcast; more are joined by a shuffle.
