@@ -56,6 +56,8 @@ class PermutationIndex:
 
 #: Versions that may come to the driver, bytes of pivots of all dimensions that are broadcast, and the largest number a permutation can hold.
 VERSIONS, PIVOT_BYTES, MOST_PIVOTS = 1_000, 32_000_000, 65_535
+#: Tasks of the search at most; there are as many as chunks of postings.
+MOST_TASKS = 20_000
 #: Steps from cosine 0 to 1 in the order of pivots; coarser than the noise of single precision.
 STEPS = 2**18
 
@@ -121,14 +123,18 @@ def nearest_pivots(unit: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndar
     return out
 
 
-def file_neighbors(queries: np.ndarray, members: np.ndarray, query_rows: np.ndarray, member_rows: np.ndarray, units: np.ndarray, least: float, reranked: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Within one inverted file: (query row, other row, cosine rounded to 9 decimals) of the others with at least ``least``.
+def file_neighbors(pivot: int, queries: np.ndarray, members: np.ndarray, query_rows: np.ndarray, member_rows: np.ndarray, vectors: tuple[np.ndarray, np.ndarray], least: float, index: PermutationIndex) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Within the inverted file of ``pivot``: (query row, other row, cosine rounded to 9 decimals) of the others with at least ``least``.
 
-    ``queries`` and ``members`` are the permutations of the rows ``query_rows`` and ``member_rows`` of ``units``. The members are ranked by
+    ``queries`` and ``members`` are the permutations of the rows ``query_rows`` and ``member_rows`` of ``vectors``, which are of unit length, in
+    double and in single precision. The members are ranked by
     footrule distance: for prefixes of equal length it falls as the sum, over shared pivots, of the smaller of the two weights
-    grows, where a pivot's weight is the prefix length minus its position. The cosine is taken of those that reach the distance of the ``reranked``-th.
+    grows, where a pivot's weight is the prefix length minus its position. The cosine is taken of those that reach the distance of the ``reranked``-th;
+    those whom the query also meets in the file of a nearer pivot are left to that file.
     """
-    size, prefix = members.shape
+    (size, prefix), reranked = members.shape, index.reranked
+    (units, single), posted = vectors, prefix - index.postings
+    nearer = (queries == pivot).argmax(1)
     names, local = np.unique(members, return_inverse=True)
     local = local.reshape(members.shape)
     weight = np.zeros((len(names) + 1, size), np.uint8)
@@ -143,13 +149,17 @@ def file_neighbors(queries: np.ndarray, members: np.ndarray, query_rows: np.ndar
         for i in range(prefix):
             near += np.minimum(weight[rows[:, i]], np.uint8(prefix - i))
         near[query_rows[at : at + step, None] == member_rows[None, :]] = 0
+        for i in range(int(nearer[at : at + step].max())):
+            asking = np.flatnonzero(nearer[at : at + step] > i)
+            near[asking] *= weight[rows[asking, i]] <= max(posted, 0)
         cut = np.maximum(np.partition(near, size - reranked, axis=1)[:, size - reranked], 1)[:, None] if size > reranked + 1 else np.uint8(1)
         a, b = np.nonzero(near >= cut)
         a, b = query_rows[at + a], member_rows[b]
         for part in range(0, len(a), 65_536):
             x, y = a[part : part + 65_536], b[part : part + 65_536]
-            cosine = np.einsum("ij,ij->i", units[x], units[y])
-            exact = np.round(np.minimum(cosine, 1.0), 9)
+            close = np.flatnonzero(np.einsum("ij,ij->i", single[x], single[y]) >= least - 1e-5)
+            x, y = x[close], y[close]
+            exact = np.round(np.minimum(np.einsum("ij,ij->i", units[x], units[y]), 1.0), 9)
             keep = exact >= least
             out.append((x[keep], y[keep], exact[keep]))
     return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
@@ -234,18 +244,55 @@ def _encoded(df: DataFrame, sizes: dict[int, int], index: PermutationIndex) -> t
     return df.mapInArrow(encode, "embedding_no bigint, version int, key binary, packed binary, permutation binary, cells array<int>"), cell_of
 
 
+def _distinct(encoded: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
+    """Equal vectors once, as ``version, ids, packed, permutation, cells`` with their ``k + 1`` smallest ids, and ``key, ids`` of those that came more than once.
+
+    Only keys and ids are sorted; the vectors that came once stay where they are while the others' keys are few enough to be sent to all.
+    """
+    place = F.dense_rank().over(Window.partitionBy("key").orderBy("embedding_no"))
+    counted = encoded.select("key", "embedding_no").withColumn("place", place).where(F.col("place") <= k + 1)
+    several = cut_lineage(counted.groupBy("key").agg(F.array_sort(F.collect_set("embedding_no")).alias("ids"), F.count(F.lit(1)).alias("c")).where("c > 1").select("key", "ids"))
+    known = encoded.join(several, "key", "left")
+    once = known.where("ids is null").select("version", F.array("embedding_no").alias("ids"), "packed", "permutation", "cells")
+    rest = known.where(F.col("embedding_no") == F.col("ids")[0]).groupBy("key", "version").agg(*[F.first(c).alias(c) for c in ("ids", "packed", "permutation", "cells")])
+    return cut_lineage(once.unionByName(rest.drop("key"))), several
+
+
+#: Bits of a row's place in the search: the version, the cell and the block, and the last bit for rows that are members only.
+BLOCK_BITS, CELL_BITS = 24, 17
+
+
 def _posted(distinct: DataFrame, index: PermutationIndex) -> DataFrame:
-    """``version, cell, block, asks, ids, packed, permutation``: ``distinct`` once for each of its cells, and of a large cell for each of its blocks.
+    """``place, member``: ``distinct`` once for each of its cells, and of a large cell for each of its blocks.
 
-    In exactly one of the blocks a row is a query (``asks``); in all it is a member.
+    In exactly one of the blocks a row is a query; in all it is a member. ``place`` tells version, cell, block and, last, whether it is
+    only a member; ``member`` holds the permutation's length, ids, permutation and vector in one stretch of bytes.
     """
-    each = distinct.select("version", F.explode("cells").alias("cell"), "ids", "packed", "permutation")
-    sizes = distinct.select("version", F.explode("cells").alias("cell")).groupBy("version", "cell").agg(F.count(F.lit(1)).alias("c"))
-    large = sizes.where(F.col("c") > index.chunk).select("version", "cell", F.ceil(F.col("c") / index.chunk).cast("int").alias("blocks"))
-    divided = each.join(large, ["version", "cell"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    own = F.pmod(F.xxhash64(F.col("ids")[0]), F.col("blocks")).cast("int")
-    rows = divided.select("version", "cell", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "ids", "packed", "permutation")
-    return rows.select("version", "cell", "block", (F.col("own") == F.col("block")).alias("asks"), "ids", "packed", "permutation")
+    number = F.shiftleft(F.col("version").cast("bigint"), CELL_BITS) + F.col("cell")
+    ids = F.aggregate("ids", F.lit(b""), lambda t, x: F.concat(t, F.unhex(F.lpad(F.hex(x), 16, "0"))))
+    head = F.unhex(F.lpad(F.hex(F.length("permutation") * 256 + F.size("ids")), 4, "0"))
+    whole = distinct.select("version", "cells", F.col("ids")[0].alias("id"), F.concat(head, ids, "permutation", "packed").alias("member"))
+    each = whole.select("version", F.explode("cells").alias("cell"), "id", "member").select(number.alias("number"), "id", "member")
+    sizes = distinct.select("version", F.explode("cells").alias("cell")).groupBy(number.alias("number")).agg(F.count(F.lit(1)).alias("c"))
+    large = sizes.where(F.col("c") > index.chunk).select("number", F.ceil(F.col("c") / index.chunk).cast("int").alias("blocks"))
+    divided = each.join(large, "number", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    rows = divided.select("number", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "member")
+    block = F.shiftleft(F.col("number"), BLOCK_BITS) + F.col("block")
+    return rows.select((F.shiftleft(block, 1) + (F.col("own") != F.col("block")).cast("int")).alias("place"), "member")
+
+
+def _taken_apart(members: pa.Array) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """The permutations, ids and unit vectors of ``member`` values of one cell."""
+    ids, orders, vectors = [], [], []
+    for raw in members.to_pylist():
+        prefix, n = raw[0], raw[1]
+        at = 2 + 8 * n
+        ids.append(np.frombuffer(raw, ">i8", n, 2))
+        orders.append(raw[at : at + prefix])
+        vectors.append(raw[at + prefix :])
+    table = unpack_vectors(pa.array(vectors, pa.binary()))
+    return np.frombuffer(b"".join(orders), "<u2").reshape(len(orders), -1), ids, table / np.sqrt((table * table).sum(1))[:, None]
 
 
 def most_similar(df: DataFrame, k: int = 5, least: float = 0.85, index: PermutationIndex = PermutationIndex()) -> DataFrame:
@@ -258,25 +305,19 @@ def most_similar(df: DataFrame, k: int = 5, least: float = 0.85, index: Permutat
     usable, sizes = usable_vectors(df)
     rows, cell_of = _encoded(usable, sizes, index)
     encoded = cut_lineage(rows)
-    smallest = encoded.withColumn("place", F.dense_rank().over(Window.partitionBy("key").orderBy("embedding_no"))).where(F.col("place") <= k + 1)
-    grouped = smallest.groupBy("key").agg(
-        F.array_sort(F.collect_set("embedding_no")).alias("ids"), F.first("version").alias("version"), F.first("packed").alias("packed"), F.first("permutation").alias("permutation"), F.first("cells").alias("cells")
-    )
-    distinct = cut_lineage(grouped)
-    posted = _posted(distinct.select("version", "ids", "packed", "permutation", "cells"), index)
-    run = F.xxhash64("version", "cell", "block")
-    rows = posted.repartition(run).sortWithinPartitions("version", "cell", "block", F.desc("asks"), F.col("ids")[0])
+    distinct, several = _distinct(encoded, k)
+    tasks = max(1, min(MOST_TASKS, sum(sizes.values()) * index.postings // index.chunk))
+    rows = _posted(distinct, index).repartition(tasks, F.shiftright("place", 1)).sortWithinPartitions("place")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, index.chunk):
-            yield from _best_of_cell(group, cell_of.value, k, least, index)
+        for block, parts in _groups(batches, index.chunk):
+            yield from _best_of_cell(block, parts, cell_of.value, k, least, index)
 
     found = rows.mapInArrow(search, "a bigint, b bigint, cosine double")
     near = F.struct((-F.col("cosine")).alias("d"), F.col("b").alias("id"))
     best = found.groupBy("a").agg(F.slice(F.array_sort(F.collect_set(near)), 1, k).alias("near"))
 
-    copies = distinct.where(F.size("ids") > 1).select("key", F.col("ids")[0].alias("a"), F.transform("ids", lambda x: F.struct(F.lit(-1.0).alias("d"), x.alias("id"))).alias("own"))
-    copies = cut_lineage(copies)
+    copies = several.where(F.size("ids") > 1).select("key", F.col("ids")[0].alias("a"), F.transform("ids", lambda x: F.struct(F.lit(-1.0).alias("d"), x.alias("id"))).alias("own"))
     members = encoded.select("key", F.col("embedding_no").alias("member")).join(copies.select("key", "a"), "key").select("a", "member").distinct()
     lists = best.join(copies.select("a", "own"), "a", "full")
     nothing = F.array().cast("array<struct<d:double,id:bigint>>")
@@ -292,61 +333,54 @@ def similar_pairs(df: DataFrame, k: int = 5, least: float = 0.85, index: Permuta
     return near.select(F.least("embedding_no", "other").alias("embedding_no_a"), F.greatest("embedding_no", "other").alias("embedding_no_b")).distinct()
 
 
-def _groups(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[Iterator[pa.Table]]:
-    """For each block of a cell in turn its rows, first the queries in one table, then the other members in tables of up to ``chunk`` rows.
-
-    Rows arrive sorted by version, cell and block, the queries of a block first.
-    """
+def _groups(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[tuple[int, Iterator[tuple[bool, pa.Array]]]]:
+    """For each block of a cell in turn its number and its members: first the queries, whole, then the others in chunks. Rows arrive sorted."""
 
-    def pieces() -> Iterator[tuple[tuple[int, int, int, bool], pa.RecordBatch]]:
+    def pieces() -> Iterator[tuple[int, pa.Array]]:
         for batch in batches:
             if batch.num_rows:
-                names = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]).astype(np.int64)
-                starts = np.concatenate([[0], np.flatnonzero((names[1:] != names[:-1]).any(1)) + 1, [len(names)]])
+                places = batch.column(0).to_numpy()
+                starts = np.concatenate([[0], np.flatnonzero(places[1:] != places[:-1]) + 1, [len(places)]])
                 for start, end in zip(starts, starts[1:]):
                     for at in range(start, end, chunk):
-                        yield tuple(names[start]), batch.slice(at, min(at + chunk, end) - at)
+                        yield int(places[start]), batch.column(1).slice(at, min(at + chunk, end) - at)
 
-    def tables(parts: Iterator) -> Iterator[pa.Table]:
-        for asks, run in groupby(parts, key=lambda x: x[0][3]):
-            waiting: list[pa.RecordBatch] = []
+    def arrays(parts: Iterator) -> Iterator[tuple[bool, pa.Array]]:
+        for place, run in groupby(parts, key=lambda x: x[0]):
+            asks, waiting = place % 2 == 0, []
             for _, piece in run:
                 if not asks and waiting and sum(map(len, waiting)) + len(piece) > chunk:
-                    yield pa.Table.from_batches(waiting)
+                    yield asks, pa.concat_arrays(waiting)
                     waiting = []
                 waiting.append(piece)
-            yield pa.Table.from_batches(waiting)
+            yield asks, pa.concat_arrays(waiting)
 
-    for _, parts in groupby(pieces(), key=lambda x: x[0][:3]):
-        yield tables(parts)
+    for block, parts in groupby(pieces(), key=lambda x: x[0] >> 1):
+        yield block, arrays(parts)
 
 
-def _best_of_cell(tables: Iterator[pa.Table], cell_of: dict[int, np.ndarray], k: int, least: float, index: PermutationIndex) -> Iterator[pa.RecordBatch]:
+def _best_of_cell(block: int, parts: Iterator[tuple[bool, pa.Array]], cell_of: dict[int, np.ndarray], k: int, least: float, index: PermutationIndex) -> Iterator[pa.RecordBatch]:
     """``a, b, cosine`` for one block of a cell: of each query the ``k`` best that the inverted files of the cell's pivots hold."""
     queries, best = None, []
-    for table in tables:
-        if queries is None and not table.column("asks")[0].as_py():
+    cell = (block >> BLOCK_BITS) & ((1 << CELL_BITS) - 1)
+    for asking, members in parts:
+        if queries is None and not asking:
             return
-        ids, packed, permutations = (table.column(c).combine_chunks() for c in ("ids", "packed", "permutation"))
-        vectors = unpack_vectors(packed)
-        units = vectors / np.sqrt((vectors * vectors).sum(1))[:, None]
-        orders = np.frombuffer(permutations.buffers()[2], np.uint8)
-        first, last = (np.frombuffer(permutations.buffers()[1], np.int32)[permutations.offset + i] for i in (0, len(permutations)))
-        orders = np.ascontiguousarray(orders[first:last]).view("<u2").reshape(len(permutations), -1)
-        copies = np.diff(ids.offsets.to_numpy())
-        flat, start = ids.flatten().to_numpy(), np.cumsum(copies) - copies
-        asking = queries is None
+        orders, ids, units = _taken_apart(members)
+        copies = np.array([len(x) for x in ids])
+        flat, start = np.concatenate(ids).astype(np.int64), np.cumsum(copies) - copies
         if asking:
-            queries = (orders, units, flat[start], int(table.column("cell")[0].as_py()))
+            queries = (orders, units, flat[start])
         at = 0 if asking else len(queries[0])
         every = units if asking else np.vstack([queries[1], units])
-        mine = cell_of[units.shape[1]] == queries[3]
+        single = every.astype(np.float32)
+        mine = cell_of[units.shape[1]] == cell
         asked, posted = (_by_pivot(x[:, : index.postings], mine) for x in (queries[0], orders))
-        for pivot, members in posted.items():
+        for pivot, held in posted.items():
             rows = asked.get(pivot)
             if rows is None or (asking and len(rows) < 2):
                 continue
-            row, other, cosine = file_neighbors(queries[0][rows], orders[members], rows, members + at, every, least, index.reranked)
+            row, other, cosine = file_neighbors(pivot, queries[0][rows], orders[held], rows, held + at, (every, single), least, index)
             other = other - at
             often = copies[other]
             row, cosine, place = np.repeat(row, often), np.repeat(cosine, often), np.repeat(start[other], often)
