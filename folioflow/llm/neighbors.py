@@ -135,30 +135,35 @@ def file_neighbors(pivot: int, queries: np.ndarray, members: np.ndarray, query_r
     (size, prefix), reranked = members.shape, index.reranked
     (units, single), posted = vectors, prefix - index.postings
     nearer = (queries == pivot).argmax(1)
+    order = np.argsort(-nearer, kind="stable")
+    queries, query_rows, nearer = queries[order], query_rows[order], nearer[order]
     names, local = np.unique(members, return_inverse=True)
     local = local.reshape(members.shape)
     weight = np.zeros((len(names) + 1, size), np.uint8)
     for i in range(prefix):
         weight[local[:, i], np.arange(size)] = prefix - i
+    capped = [np.minimum(weight, np.uint8(prefix - i)) for i in range(prefix)]
     place = np.searchsorted(names, queries)
     asked = np.where(names[np.minimum(place, len(names) - 1)] == queries, place, len(names))
-    step, out = max(1, min(512, 4_000_000 // size)), []
+    itself = np.minimum(np.searchsorted(member_rows, query_rows), size - 1)
+    is_member = np.flatnonzero(member_rows[itself] == query_rows)
+    near_by, step, out = single[member_rows], max(1, min(256, 1_000_000 // size)), []
     for at in range(0, len(queries), step):
         rows = asked[at : at + step]
-        near = np.zeros((len(rows), size), np.uint8)
-        for i in range(prefix):
-            near += np.minimum(weight[rows[:, i]], np.uint8(prefix - i))
-        near[query_rows[at : at + step, None] == member_rows[None, :]] = 0
-        for i in range(int(nearer[at : at + step].max())):
-            asking = np.flatnonzero(nearer[at : at + step] > i)
-            near[asking] *= weight[rows[asking, i]] <= max(posted, 0)
+        near = capped[0][rows[:, 0]]
+        for i in range(1, prefix):
+            near += capped[i][rows[:, i]]
+        for i in range(int(nearer[at])):
+            asking = int(np.searchsorted(-nearer[at : at + step], -i))
+            near[:asking] *= weight[rows[:asking, i]] <= max(posted, 0)
+        own = is_member[(is_member >= at) & (is_member < at + step)]
+        near[own - at, itself[own]] = 0
         cut = np.maximum(np.partition(near, size - reranked, axis=1)[:, size - reranked], 1)[:, None] if size > reranked + 1 else np.uint8(1)
-        a, b = np.nonzero(near >= cut)
-        a, b = query_rows[at + a], member_rows[b]
-        for part in range(0, len(a), 65_536):
-            x, y = a[part : part + 65_536], b[part : part + 65_536]
-            close = np.flatnonzero(np.einsum("ij,ij->i", single[x], single[y]) >= least - 1e-5)
-            x, y = x[close], y[close]
+        a, b = np.divmod(np.flatnonzero(near >= cut), size)
+        for part in range(0, len(a), 8192):
+            x, y = query_rows[at + a[part : part + 8192]], b[part : part + 8192]
+            close = np.flatnonzero(np.einsum("ij,ij->i", single[x], near_by[y]) >= least - 1e-5)
+            x, y = x[close], member_rows[y[close]]
             exact = np.round(np.minimum(np.einsum("ij,ij->i", units[x], units[y]), 1.0), 9)
             keep = exact >= least
             out.append((x[keep], y[keep], exact[keep]))
@@ -255,7 +260,7 @@ def _distinct(encoded: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     known = encoded.join(several, "key", "left")
     once = known.where("ids is null").select("version", F.array("embedding_no").alias("ids"), "packed", "permutation", "cells")
     rest = known.where(F.col("embedding_no") == F.col("ids")[0]).groupBy("key", "version").agg(*[F.first(c).alias(c) for c in ("ids", "packed", "permutation", "cells")])
-    return cut_lineage(once.unionByName(rest.drop("key"))), several
+    return once.unionByName(rest.drop("key")), several
 
 
 #: Bits of a row's place in the search: the version, the cell and the block, and the last bit for rows that are members only.
