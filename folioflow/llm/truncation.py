@@ -2,8 +2,8 @@
 
 Method: a backward character n-gram model. For the final context of a text, read backwards from its end, the model compares how often that
 context ends a text with how often the text goes on after it, over all positions of the whole corpus, interpolated from short to long
-contexts. The log-odds are held against a threshold per language and column, which lies in the gap between the two groups that the
-scores of the language form. A context is read within its line; how the line begins (a keyword list, a reference, a table row) is part of
+contexts. The log-odds are held against a threshold per language and column, which lies in the valley between the two groups that the
+scores of the language form; what a language has too few texts to show is filled in from all texts. A context is read within its line; how the line begins (a keyword list, a reference, a table row) is part of
 it, so that ends without a full stop are learnt as well.
 
 Counting is by distinct word: a task counts its words, the words' counts are summed over the corpus, and only then do contexts arise.
@@ -11,11 +11,12 @@ Counting is by distinct word: a task counts its words, the words' counts are sum
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,17 +34,16 @@ WORD = 40
 SHORT = 4
 #: Distinct words a task keeps before it passes on what it has counted.
 WORDS_KEPT = 1_000_000
-#: A threshold lies between these shares of ends among a context's occurrences; a language with fewer texts than ``FEW`` takes that of all.
-LEAST_SHARE, MOST_SHARE, FEW = 0.0015, 0.0085, 500
-#: Languages that may come to the driver with their thresholds, the most frequent first; any others take the threshold of all texts.
-LANGUAGES = 500
+#: Bins of log-odds a unit, texts of the whole corpus that are added to a language's own, and how much higher than a valley its lower bank must be.
+BINS, BORROWED, BANK = 4, 200, 2.0
 
 # Marks that say that more followed, and what transfers put behind a text.
-MARK = re.compile(r"(?:…|\.{3,}|\[\s*(?:\.{2,}|…)\s*\]|[\[(]\s*(?:truncated|cut|continued|shortened|snip|more)\s*[\])]|(?:read|show|see) (?:more|full text)|continue reading|�)\s*$", re.IGNORECASE)
-TRAILER = re.compile(r"(?:\[end of (?:page|text|document|file)\]|[\"'][}\]]+|</?\w{1,10}/?>|&nbsp;)$", re.IGNORECASE)
+MARK = re.compile(r"(?:…|\.{3}|(?:read|show|see) (?:more|full text)|continue reading|�)$", re.IGNORECASE)
+IN_BRACKETS = re.compile(r"\.{2,}|…|truncated|cut|continued|shortened|snip|more", re.IGNORECASE)
+TRAILER = re.compile(r"(?:\[end of (?:page|text|document|file)\]|</?\w{1,10}/?>|&nbsp;)$", re.IGNORECASE)
 BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u200b\u2028\u2029\u202f\u205f\u3000\ufeff\x00"
-#: Characters at a text's end among which a mark or one item of a trailer is looked for.
-TAIL = 80
+#: No mark or trailer of the two patterns above is longer than this; those of any length are looked for without a pattern.
+LONGEST = 32
 TAGGED = re.compile(r"[^\W\d_][^:\n]{0,22}:|\[\d+\]|\d{1,3}[.)]|[^\w\s]{1,3}")
 DIGIT = re.compile(r"\d")
 
@@ -57,12 +57,19 @@ def line_tag(line: str) -> str:
 def ending(text: str | None) -> tuple[str, str, bool] | None:
     """(tag of the last line, its final context of up to ``ORDER`` characters, whether a mark says that more followed); None for a blank text."""
     end = (text or "").rstrip(BLANKS)
-    while found := TRAILER.search(end[-TAIL:]):
-        end = end[: len(end) - len(found.group())].rstrip(BLANKS)
+    while end:
+        if (found := TRAILER.search(end[-LONGEST:])) and end[-1] in "]>;":
+            end = end[: len(end) - len(found.group())].rstrip(BLANKS)
+        elif end[-1] in "]}" and (bare := end.rstrip("]}"))[-1:] in ("'", '"'):
+            end = bare[:-1].rstrip(BLANKS)
+        else:
+            break
     if not end:
         return None
-    if mark := MARK.search(end[-TAIL:]):
-        return "", end[: len(end) - len(mark.group())][-ORDER:], True
+    if mark := MARK.search(end[-LONGEST:]):
+        return "", end[: len(end) - len(mark.group())].rstrip(".")[-ORDER:], True
+    if end[-1] in "])" and (at := max(end.rfind("["), end.rfind("("))) >= 0 and IN_BRACKETS.fullmatch(end[at + 1 : -1].strip()):
+        return "", end[:at][-ORDER:], True
     head, _, line = end.rpartition("\n")
     inside = head.count("```") % 2 == 1
     before, _, word = line.rpartition(" ")
@@ -159,9 +166,11 @@ def end_log_odds(ends: DataFrame, counts: DataFrame) -> DataFrame:
     places = counts.select("tag", "stretch", "n", F.explode(F.sequence("start", F.length("stretch"))).alias("i"))
     windows = places.select("tag", "n", F.expr(f"substring(stretch, greatest(1, i - {ORDER - 1}), least(i, {ORDER}))").alias("window")).groupBy("tag", "window").agg(F.sum("n").alias("n"))
     seen = windows.select("tag", "n", F.explode(_suffixes(F.col("window"))).alias("c")).groupBy("tag", "c").agg(F.sum("n").alias("met"))
-    known = ended.join(seen, ["tag", "c"], "left").select("tag", "c", "ended_here", F.greatest(F.coalesce("met", F.lit(0)), F.col("ended_here")).alias("met"))
+    known = cut_lineage(ended.join(seen, ["tag", "c"], "left").select("tag", "c", "ended_here", F.greatest(F.coalesce("met", F.lit(0)), F.col("ended_here")).alias("met")))
     together = orders.join(known, ["tag", "c"]).groupBy("tag", "context").agg(F.first("ended").alias("ended"), F.array_sort(F.collect_list(F.struct(F.length("c").alias("k"), "ended_here", "met"))).alias("all"))
-    start = F.struct(F.lit(LEAST_SHARE).cast("double").alias("q"), F.lit(1 << 62).alias("met"))
+    everywhere = known.where(F.length("c") == 1).agg((F.sum("ended_here") / F.sum("met")).alias("q"))
+    together = together.withColumn("everywhere", F.coalesce(everywhere.scalar(), F.lit(0.0)).cast("double"))
+    start = F.struct(F.col("everywhere").alias("q"), F.lit(1 << 62).alias("met"))
     share = F.aggregate(
         "all",
         start,
@@ -171,25 +180,50 @@ def end_log_odds(ends: DataFrame, counts: DataFrame) -> DataFrame:
         ).otherwise(a),
         lambda a: a["q"],
     )
-    return together.select("tag", "context", "ended", F.log(share / (1 - F.least(share, F.lit(0.999999)))).alias("score"))
+    return together.select("tag", "context", "ended", F.log(F.greatest(share, F.lit(1e-300)) / (1 - F.least(share, F.lit(0.999999)))).alias("score"))
 
 
-def thresholds(scored: DataFrame) -> tuple[dict[str, float], float]:
-    """The threshold of each language and that of all texts: within the allowed range, the quarter of log-odds that holds the fewest texts.
+def valley(counts: dict[int, float]) -> float | None:
+    """The bin between the main group, that of most texts, and a group below it: where the higher place below stands out most; the middle of the best.
 
-    ``scored`` has ``language`` and ``score``. Of several such quarters the one nearest to the middle counts.
+    None if there is no group below. Heights are sums over a unit of log-odds, each with one text more, so that a few texts make no group.
     """
-    low, high = (math.log(x / (1 - x)) for x in (LEAST_SHARE, MOST_SHARE))
-    steps = range(math.floor(low * 4), math.ceil(high * 4) + 1)
-    quarter = F.round(F.col("score") * 4).cast("int")
-    per = scored.where("score is not null").groupBy("language").agg(F.count(F.lit(1)).alias("texts"), *[F.count_if(quarter == q).alias(f"q{q - steps[0]}") for q in steps])
-    pooled = per.agg(F.sum("texts"), *[F.sum(f"q{i}") for i in range(len(steps))]).first()
-    rows = per.where((F.col("texts") >= FEW) & F.col("language").isNotNull()).orderBy(F.desc("texts"), "language").limit(LANGUAGES).collect()
+    if not counts:
+        return None
+    low, high = min(counts) - BINS, max(counts) + BINS
+    bins = [float(counts.get(b, 0.0)) for b in range(low, high + 1)]
+    smooth = [1.0 + sum(bins[max(0, i - BINS // 2) : i + BINS // 2 + 1]) for i in range(len(bins))]
+    main = smooth.index(max(smooth))
+    stand = [a / h for a, h in zip(accumulate(smooth[: main + 1], max), smooth)]
+    best = max(stand)
+    if best < BANK:
+        return None
+    at = [i for i, x in enumerate(stand) if x > best * 0.999]
+    return low + at[len(at) // 2]
+
+
+def thresholds(scored: DataFrame) -> tuple[DataFrame, float]:
+    """``language, threshold`` of every language, and the threshold of all texts, from ``language, score``.
+
+    A language's own texts are joined by ``BORROWED`` that are spread as those of all languages are, so a rare language comes near
+    the threshold of all and a frequent one has its own, without a size at which that changes. Without a second group nothing is below.
+    """
+    bins = scored.where("score is not null").groupBy("language", F.round(F.col("score") * BINS).cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    bins = cut_lineage(bins)
+    every = {r["bin"]: r["n"] for r in bins.groupBy("bin").agg(F.sum("n").alias("n")).collect()}
+    total = sum(every.values())
+    pooled = valley(every)
 
-    def best(counts) -> float:
-        return min(steps, key=lambda q: (counts[q - steps[0]] or 0, abs(q - (steps[0] + steps[-1]) / 2))) / 4
+    def own(rows: pd.DataFrame) -> pd.DataFrame:
+        counts = {b: BORROWED * n / total for b, n in every.items()}
+        for b, n in zip(rows["bin"], rows["n"]):
+            counts[b] += n
+        at = valley(counts)
+        at = pooled if at is None else at
+        return pd.DataFrame({"language": rows["language"].iloc[:1], "threshold": [float("-inf") if at is None else at / BINS]})
 
-    return {r["language"]: best(r[2:]) for r in rows}, best(pooled[1:])
+    per = bins.where("language is not null").groupBy("language").applyInPandas(own, "language string, threshold double")
+    return per, float("-inf") if pooled is None else pooled / BINS
 
 
 def cut_texts(df: DataFrame, text: str, key: str, language: Column, source: Column) -> DataFrame:
@@ -201,14 +235,14 @@ def cut_texts(df: DataFrame, text: str, key: str, language: Column, source: Colu
     empty table gives no rows; other columns are ignored. Very long texts are read whole.
     """
     ends = cut_lineage(final_contexts(df, text, F.col(f"`{key}`"), language, source))
+    judged = F.col("context").isNotNull() & ~F.col("marked")
     scores = end_log_odds(ends, word_counts(df, text))
-    scored = cut_lineage(ends.join(scores.select("tag", "context", "score"), ["tag", "context"], "left"))
-    own, general = thresholds(scored.select("language", F.when(~F.col("marked"), F.col("score")).alias("score")))
-    limit = F.lit(general)
-    if own:
-        limit = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in sorted(own.items()) for x in pair]), F.col("language")), limit)
-    cut = F.coalesce(F.col("marked"), F.lit(False)) | F.coalesce(F.col("score") < limit, F.lit(False))
-    return scored.select(F.col("key").alias(key), "source", "language", F.when(~F.col("marked"), F.col("score")).alias("score"), cut.alias("truncated"))
+    scored = cut_lineage(ends.where(judged).join(scores.select("tag", "context", "score"), ["tag", "context"]).select("key", "source", "language", "score"))
+    own, general = thresholds(scored)
+    limit = F.coalesce("threshold", F.lit(general))
+    found = scored.join(own, "language", "left").select("key", "source", "language", "score", (F.col("score") < limit).alias("truncated"))
+    rest = ends.where(~F.coalesce(judged, F.lit(False))).select("key", "source", "language", F.lit(None).cast("double").alias("score"), F.coalesce("marked", F.lit(False)).alias("truncated"))
+    return found.unionByName(rest).withColumnRenamed("key", key)
 
 
 def truncation_by_source(judged: DataFrame) -> DataFrame:

@@ -66,6 +66,26 @@ def test_endings(text, tag, context, marked):
     assert (got[0], got[2]) == (tag, marked) and (marked or got[1].strip() in context or context in got[1])
 
 
+@pytest.mark.parametrize("gap", ["", " " * 300, "\n" * 5000])
+def test_marks_and_trailers_of_any_length(gap):
+    assert ending(f"More to come [{gap}...{gap}]{gap}")[2] and ending(f"More to come ({gap}truncated{gap})")[2] and ending("More to come" + "." * 500)[2]
+    assert ending('One more word"' + "]}" * 400)[:2] == ("", "re word"[-4:] and " word"[-8:]) or ending('One more word"' + "]}" * 400)[1].endswith(" word")
+    assert not ending("As shown in (Fig. 3)")[2] and ending("x" + "</p>" * 300)[1].endswith("x")
+
+
+def test_the_valley_lies_between_two_groups():
+    two = {b: 100.0 for b in range(-40, -30)} | {b: 5000.0 for b in range(-12, -8)} | {-20: 3.0, -5: 40.0}
+    assert -30 <= truncation.valley(two) <= -12 and truncation.valley({-10: 500.0, -9: 400.0}) is None and truncation.valley({}) is None
+    assert truncation.valley({b: n * 1000 for b, n in two.items()}) == truncation.valley(two) or -30 <= truncation.valley({b: n * 1000 for b, n in two.items()}) <= -12
+
+
+def test_each_language_has_its_threshold_and_rare_ones_borrow(spark):
+    rows = [("a", -3.0)] * 900 + [("a", -9.0)] * 80 + [("b", -8.0)] * 4000 + [("b", -16.0)] * 500 + [("rare", -3.0)] * 2 + [(None, -9.0)] * 3
+    own, general = truncation.thresholds(spark.createDataFrame(rows, "language string, score double"))
+    got = {r["language"]: r["threshold"] for r in own.collect()}
+    assert -9 < got["a"] < -3 and -16 < got["b"] < -8 and set(got) == {"a", "b", "rare"} and general > -16
+
+
 def test_flushing_counts_changes_nothing(spark, monkeypatch):
     rows = corpus(200)
     df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(1)
