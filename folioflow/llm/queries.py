@@ -75,7 +75,18 @@ def p7_ids(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def p8_containers(spark: SparkSession, directory: str) -> DataFrame:
-    return packing.fill_containers(table(spark, directory, "documents"), "doc_id", "text")
+    """A text's first line asks and bears no loss, the rest answers; a text of one line bears loss throughout. At most 24 texts and 2,032 loss-bearing tokens a container."""
+    documents = table(spark, directory, "documents")
+    asks = F.instr("text", "\n")
+    rest = F.when(asks > 0, encoding.token_counts(spark)(F.substr("text", asks + 1)))
+    return packing.fill_containers(documents, "doc_id", "text", loss=rest, max_segments=24, max_loss=2032)
+
+
+def p8_fill(spark: SparkSession, directory: str) -> DataFrame:
+    """One row: how full the containers of p8_containers are, and how many of them each limit keeps from taking more."""
+    placed = p8_containers(spark, directory)
+    each = placed.groupBy("container").agg(F.sum(F.col("token_end") - F.col("token_start")).alias("tokens"), F.count(F.lit(1)).alias("segments"), F.sum("loss").alias("loss"))
+    return each.agg(F.count(F.lit(1)).alias("containers"), F.sum("tokens").alias("tokens"), F.round(F.avg(F.col("tokens") / 2048), 4).alias("mean_fill"), F.max("tokens").alias("most_tokens"), F.count_if(F.col("segments") == 24).alias("full_of_segments"), F.count_if(F.col("loss") >= 2032).alias("full_of_loss"))
 
 
 def _judged(spark: SparkSession, directory: str) -> DataFrame:
@@ -91,7 +102,7 @@ def p9_share_by_source(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p1_surviving_records": p1_surviving_records, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_matches": p4_matches, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p7_ids": p7_ids, "p8_containers": p8_containers, "p9_found": p9_found, "p9_share_by_source": p9_share_by_source}
+    return {"p1_found": p1_found, "p1_surviving_records": p1_surviving_records, "p2_found": p2_found, "p3_found": p3_found, "p4_found": p4_found, "p4_matches": p4_matches, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_paragraphs": p6_paragraphs, "p7_ids": p7_ids, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p9_share_by_source": p9_share_by_source}
 
 
 P1_RECORDS = r"""

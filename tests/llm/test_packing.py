@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from folioflow.llm import encoding
 from folioflow.llm.packing import fill_containers, pack, segments_of
@@ -21,15 +22,24 @@ def test_pack_keeps_every_limit_and_every_row(rows, segments):
     assert all((sizes[c].sum(0) <= limits).all() for c in containers)
 
 
-@given(st.integers(0, 500), st.one_of(st.none(), st.integers(-3, 600)), st.integers(1, 90), st.integers(1, 90))
-def test_segments_cover_the_text_within_the_limits(tokens, loss, capacity, most):
-    parts = segments_of(tokens, loss, capacity, most)
+@given(st.integers(0, 500), st.one_of(st.none(), st.integers(-3, 600)), st.integers(1, 90))
+def test_segments_cover_the_text_and_only_oversized_ones_are_cut(tokens, loss, capacity):
+    parts = segments_of(tokens, loss, capacity)
     assert parts[0][0] == 0 and parts[-1][1] == tokens and all(a[1] == b[0] for a, b in zip(parts, parts[1:]))
-    assert all(e - s <= capacity and x <= most for s, e, x in parts)
+    assert all(e - s <= capacity and 0 <= x <= e - s for s, e, x in parts) and (len(parts) == 1) == (tokens <= capacity)
     if loss is not None:
         assert sum(x for *_, x in parts) == min(max(loss, 0), tokens)
 
 
+def test_every_limit_can_bind():
+    rng = np.random.default_rng(2)
+    tokens = rng.integers(5, 60, 3000)
+    sizes = np.column_stack([tokens, np.ones(3000, int), tokens // 2])
+    for limits, column in (([1000, 10**6, 10**6], 0), ([10**6, 7, 10**6], 1), ([10**6, 10**6, 300], 2)):
+        containers = pack(sizes, np.array(limits))
+        assert max(sizes[c].sum(0)[column] for c in containers) == limits[column] and len(containers) >= sizes[:, column].sum() / limits[column]
+
+
 def test_little_room_is_left():
     rng = np.random.default_rng(1)
     tokens = np.minimum(rng.lognormal(5, 1, 5000).astype(int) + 1, 2048)
@@ -37,6 +47,18 @@ def test_little_room_is_left():
     assert tokens.sum() / (2048 * len(containers)) > 0.98
 
 
+@needs_vocabulary
+def test_containers_do_not_depend_on_the_partitions(spark):
+    df = spark.createDataFrame([(i, "word " * (i * 37 % 900), i % 9) for i in range(400)], "doc_id long, text string, own int")
+    loss = F.when(F.col("own") < 5, F.col("own") * 40)
+    runs = [{tuple(r) for r in fill_containers(x, "doc_id", "text", loss=loss, max_loss=1500, max_segments=9).collect()} for x in (df.repartition(5), df.orderBy(F.desc("doc_id")).coalesce(1))]
+    assert runs[0] == runs[1]
+    loss_of = defaultdict(int)
+    for key, _, start, end, bears, container, _ in runs[0]:
+        loss_of[container] += min(bears, 1500)
+    assert max(loss_of.values()) <= 1500
+
+
 @needs_vocabulary
 @pytest.mark.parametrize("block", [7, 65536])
 def test_texts(spark, block):
