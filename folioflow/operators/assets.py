@@ -32,13 +32,14 @@ def chunk_reasons(chunks: DataFrame) -> DataFrame:
 
 def embedding_audit(embeddings: DataFrame) -> DataFrame:
     """One row: totals, distinct papers and chunks, sub-chunks, duplicates, longest offset, unusable sizes."""
-    once = embeddings.dropDuplicates(["embedding_no"])
+    wrong = F.coalesce(F.size("vector") != F.col("embedding_dimension"), F.lit(True)).alias("wrong")
     m = "metadata"
+    once = embeddings.select("embedding_no", "paper_id", "embedding_id", m, wrong).dropDuplicates(["embedding_no"])
     return once.agg(
         F.count(F.lit(1)).alias("embeddings"), F.count_distinct("paper_id").alias("papers"), F.count_distinct("embedding_id").alias("distinct_ids"),
         (F.count(F.lit(1)) - F.count_distinct("embedding_id")).alias("duplicate_ids"), F.count_if(f"{m}.is_subchunk").alias("subchunk_embeddings"),
         F.count_distinct(F.when(F.col(f"{m}.is_subchunk"), F.col(f"{m}.source_chunk_id"))).alias("split_chunks"), F.max(f"{m}.subchunk_count").alias("most_subchunks"),
-        F.max(f"{m}.char_end").alias("longest_offset"), F.count_if(F.coalesce(F.size("vector") != F.col("embedding_dimension"), F.lit(True))).alias("wrong_dimension"),
+        F.max(f"{m}.char_end").alias("longest_offset"), F.count_if("wrong").alias("wrong_dimension"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.operators.search import numbered, steady
+from folioflow.operators.search import numbered, numbered_all, steady
 
 
 def segments(df: DataFrame, text: str, max_chars: int = 3200, overlap_chars: int = 200, skip_blank: bool = False) -> DataFrame:
@@ -40,7 +40,7 @@ def reranked_papers(scored: DataFrame, top_chunks: int = 3) -> DataFrame:
     best = numbered(scored, [steady("score"), F.desc("segment_id")], ["paper_id", "chunk_id"], "p").where("p = 1")
     top = numbered(best.drop("p"), [steady("score"), F.asc("segment_id")], ["paper_id"], "p").where(F.col("p") <= top_chunks)
     papers = top.groupBy("paper_id").agg(F.avg("score").alias("score"), F.count(F.lit(1)).alias("chunks"))
-    return numbered(papers, [steady("score"), F.asc("paper_id")]).select("rank", "paper_id", "score", "chunks")
+    return numbered_all(papers, [steady("score"), F.asc("paper_id")]).select("rank", "paper_id", "score", "chunks")
 
 
 def merged_evidence(evidence: DataFrame) -> DataFrame:

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.functions.text import query_terms, section_weighted_tokens
+from folioflow.functions.text import query_terms
 from folioflow.functions.vector import cosine_with, is_usable
 from folioflow.operators import evaluate, fusion
-from folioflow.operators.search import Bm25, numbered, steady
+from folioflow.operators.search import Bm25, numbered, steady, term_counts
 
 #: Cases whose terms or vectors become literals of one plan.
 MOST_CASES = 1000
@@ -20,15 +20,15 @@ def bm25_cases(chunks: DataFrame, cases: Sequence[tuple[str, str]], limit: int =
     """``case_id, rank, paper_id, chunk_index, chunk_id, score, coverage`` for (case_id, query) pairs.
 
     With ``candidates`` (``case_id, paper_id``) each case sees, in statistics and hits, only the chunks of its own papers. The tokens of a chunk are
-    compared with the terms of all cases at once; only those that some case asks for leave the scan. Repeated rows count once.
+    compared with the terms of all cases at once, in one scan. Repeated rows count once.
     """
     if len(cases) > MOST_CASES:
         raise ValueError(f"more than {MOST_CASES} cases")
     asked = [(c, t, i, len(terms)) for c, q in cases for terms in (query_terms(q),) for i, t in enumerate(terms)]
-    tokens = section_weighted_tokens(F.col("text"), F.col("section_path"), config.section_multiplier)
     wanted = sorted({t for _, t, _, _ in asked})
-    rows = chunks.select("paper_id", "chunk_index", "chunk_id", tokens.alias("tokens")).select("paper_id", "chunk_index", "chunk_id", F.size("tokens").alias("length"), F.filter("tokens", lambda t: t.isin(*wanted)).alias("hits")).dropDuplicates(["chunk_id"])
-    counts = rows.select("paper_id", "chunk_index", "chunk_id", "length", F.explode("hits").alias("term")).groupBy("paper_id", "chunk_index", "chunk_id", "length", "term").agg(F.count(F.lit(1)).alias("tf"))
+    rows = term_counts(chunks, wanted, config)
+    some = F.explode(F.filter(F.transform("tf", lambda n, i: F.struct(F.element_at(F.array(*[F.lit(t) for t in wanted]), i + 1).alias("term"), n.alias("tf"))), lambda x: x["tf"] > 0)).alias("x")
+    counts = rows.select("paper_id", "chunk_index", "chunk_id", "length", some).select("paper_id", "chunk_index", "chunk_id", "length", "x.term", "x.tf")
     terms = chunks.sparkSession.createDataFrame(asked, "case_id string, term string, o int, terms int")
     matched = counts.join(terms, "term")
     if candidates is not None:
@@ -53,27 +53,28 @@ def vector_cases(embeddings: DataFrame, queries: Sequence[tuple[str, Sequence[fl
     size = len(queries[0][1])
     fitting = embeddings.where((F.size("vector") == size) & is_usable(F.col("vector")))
     scores = F.array(*[F.struct(F.lit(c).alias("case_id"), cosine_with(F.col("vector"), v).alias("score")) for c, v in queries])
-    rows = fitting.select("paper_id", id_column, F.explode(scores).alias("s")).select("s.case_id", "paper_id", id_column, "s.score")
+    rows = fitting.select("paper_id", id_column, scores.alias("all")).dropDuplicates([id_column]).select("paper_id", id_column, F.explode("all").alias("s")).select("s.case_id", "paper_id", id_column, "s.score")
     if candidates is not None:
         rows = rows.join(candidates.select("case_id", "paper_id").distinct(), ["case_id", "paper_id"], "left_semi")
     ways = [steady("score"), F.desc("paper_id"), F.desc(id_column)]
     return numbered(rows, ways, ["case_id"]).where(F.col("rank") <= top_k).select("case_id", "rank", "paper_id", id_column, "score")
 
 
-def papers_of_cases(hits: DataFrame, limit: int, top: int, best_weight: float, mean_weight: float, coverage_weight: float = 0.0, descending_ids: bool = False) -> DataFrame:
+def papers_of_cases(hits: DataFrame, limit: int | None, top: int, best_weight: float, mean_weight: float, coverage_weight: float = 0.0, descending_ids: bool = False) -> DataFrame:
     """``case_id, rank, paper_id, score`` from chunk hits of all cases; coverage is the largest among a paper's top chunks."""
     placed = numbered(hits, [steady("score"), F.asc("rank")], ["case_id", "paper_id"], "place").where(F.col("place") <= top)
     coverage = F.max("coverage") if coverage_weight else F.lit(0.0)
     papers = placed.groupBy("case_id", "paper_id").agg((best_weight * F.max("score") + mean_weight * F.avg("score") + coverage_weight * coverage).alias("score"))
     ways = [steady("score"), F.desc("paper_id") if descending_ids else F.asc("paper_id")]
-    return numbered(papers, ways, ["case_id"]).where(F.col("rank") <= limit).select("case_id", "rank", "paper_id", "score")
+    ranked = numbered(papers, ways, ["case_id"])
+    return (ranked if limit is None else ranked.where(F.col("rank") <= limit)).select("case_id", "rank", "paper_id", "score")
 
 
 def hybrid_suite(chunks: DataFrame, embeddings: DataFrame, cases: Sequence[tuple[str, str]], queries: Sequence[tuple[str, Sequence[float]]], judgments: DataFrame, ks: Sequence[int] = (1, 3, 5, 10), limit: int = 10, minimum_relevance: int = 1, id_column: str = "chunk_id") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Fused rankings, their metrics and the macro summary of a suite; the candidates of a case are its judged papers."""
     own = judgments.select("case_id", "paper_id")
-    lexical = papers_of_cases(bm25_cases(chunks, cases, candidates=own), 1_000_000, 3, 1.0, 0.5, 0.5)
-    near = papers_of_cases(vector_cases(embeddings, queries, id_column=id_column, candidates=own), 1_000_000, 3, 0.7, 0.3, descending_ids=True)
+    lexical = papers_of_cases(bm25_cases(chunks, cases, candidates=own), None, 3, 1.0, 0.5, 0.5)
+    near = papers_of_cases(vector_cases(embeddings, queries, id_column=id_column, candidates=own), None, 3, 0.7, 0.3, descending_ids=True)
     fused = fusion.fuse(lexical, near, 0.7, 0.3, limit, ("case_id",))
     metrics = evaluate.ranking_metrics(fused, judgments, ks, minimum_relevance)
     return fused, metrics, evaluate.macro_summary(metrics, 5 if 5 in ks else ks[0])
