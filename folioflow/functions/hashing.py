@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -32,15 +30,10 @@ def embedding_id(chunk_id: Column, model: Column, version: Column, dimension: Co
 
 
 def fingerprint(fields: dict[str, Column], digits: int = 16) -> Column:
+    """The first digits of the record id."""
     return F.substring(record_id(fields), 1, digits)
 
 
-def constant_json(values: dict[str, int]) -> Column:
-    import json
-
-    return F.lit(json.dumps(values, sort_keys=True, separators=(",", ":")))
-
-
-def lines_sha256(lines: Column, order: Sequence[str] = ()) -> Column:
-    """SHA-256 of an array of lines, each ended by a line feed."""
-    return F.sha2(F.concat(F.array_join(lines, "\n"), F.lit("\n")), 256)
+def sorted_map(values: Column) -> Column:
+    """A map with its keys in order, as canonical JSON needs it; null stays null."""
+    return F.map_from_entries(F.array_sort(F.map_entries(values)))

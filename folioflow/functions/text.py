@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # Words that a retrieval query and a topic query leave out.
 RETRIEVAL_STOPWORDS = ("a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on", "or", "that", "the", "this", "to", "was", "were", "with")
-TOPIC_STOPWORDS = ("a", "an", "and", "for", "from", "in", "of", "on", "or", "the", "to", "using", "with")
+TOPIC_STOPWORDS = ("a", "an", "and", "are", "for", "from", "in", "of", "on", "or", "the", "to", "with")
 TOKEN = r"[a-z0-9]+(?:'[a-z0-9]+)?"
 
 
@@ -72,7 +72,7 @@ def accept_type(venue: Column) -> Column:
     """The kind of acceptance that a venue text names, else its last word capitalised; empty for null and blank."""
     text = F.trim(F.coalesce(venue, F.lit("")))
     last = F.lower(F.element_at(F.split(text, r"\s+"), -1))
-    out = F.concat(F.upper(F.substring(last, 1, 1)), F.substring(last, 2, 1000))
+    out = F.concat(F.upper(F.substring(last, 1, 1)), F.substr(last, F.lit(2)))
     for pattern, name in reversed(ACCEPT_TYPES):
         out = F.when(F.lower(text).contains(pattern), name).otherwise(out)
     return out

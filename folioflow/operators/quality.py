@@ -100,3 +100,12 @@ def parse_reports(pages: DataFrame) -> DataFrame:
     good = F.size(F.filter("pages", lambda p: p["success"]))
     status = F.when(good == F.size("pages"), "success").when(good > 0, "partial").otherwise("failed")
     return rows.select("paper_id", F.struct(status.alias("status"), F.size("pages").alias("page_count"), "pages").alias("report"))
+
+
+def backend_statistics(pages: DataFrame) -> DataFrame:
+    """One row for each ``backend_name``: pages, successes, errors, papers, characters, seconds, last page index. Repeated pages count once."""
+    facts = pages.select("page_no", "backend_name", "paper_id", "page_index", "duration_seconds", F.coalesce("success", F.lit(False)).alias("fine"), (F.coalesce("error_note", F.lit("")) != "").alias("failed"), F.coalesce(F.length("text"), F.lit(0)).alias("size"))
+    return facts.dropDuplicates(["page_no"]).groupBy("backend_name").agg(
+        F.count(F.lit(1)).alias("pages"), F.count_if("fine").alias("successful"), F.count_if("failed").alias("with_error"), F.count_distinct("paper_id").alias("papers"), F.sum("size").alias("characters"),
+        F.sum(F.coalesce("duration_seconds", F.lit(0.0))).alias("seconds"), F.max("page_index").alias("last_page"),
+    )

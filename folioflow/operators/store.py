@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions.lookup import literal_lookup
 from folioflow.functions.text import is_empty
+from folioflow.operators.search import numbered
 
 
 def field(df: DataFrame, path: str) -> tuple[Column, str]:
@@ -81,21 +82,27 @@ def set_add(array: Column, value: Column) -> Column:
     return F.when(F.array_contains(F.coalesce(array, F.array().cast("array<string>")), value), array).otherwise(F.array_append(F.coalesce(array, F.array().cast("array<string>")), value))
 
 
-def first_candidates(urls: Column, keys: Sequence[str]) -> Column:
-    """Of a map, the trimmed http(s) addresses under the keys, in the keys' order, each address once."""
-    found = F.array(*[F.trim(F.try_element_at(urls, F.lit(k))) for k in keys])
-    return F.array_distinct(F.filter(found, lambda u: u.isNotNull() & (u != "")))
+def url_candidates(df: DataFrame, sources: dict[str, Sequence[str]]) -> Column:
+    """An array of ``url, source, field``: the trimmed values under dotted paths, in the order given, each address once where it came first.
+
+    ``sources`` names for each source its paths, which may lead into maps and nested fields; nulls and blanks are left out.
+    """
+    found = [F.struct(F.trim(field(df, p)[0]).alias("url"), F.lit(s).alias("source"), F.lit(p).alias("field")) for s, paths in sources.items() for p in paths]
+    some = F.filter(F.array(*found), lambda c: c["url"].isNotNull() & (c["url"] != ""))
+    urls = F.transform(some, lambda c: c["url"])
+    return F.filter(some, lambda c, i: F.array_position(urls, c["url"]) == i + 1)
 
 
 def backfilled(candidates: DataFrame, states: DataFrame, key: str, rank: str, usable: Column, limit: int) -> DataFrame:
-    """The first ``limit`` candidates whose joined state is usable, renumbered by ``rank``; a candidate without a state has nulls."""
-    return candidates.join(states, key, "left").where(usable).orderBy(rank).limit(limit)
+    """The first ``limit`` candidates whose joined state is usable, with ``place`` from 1 by ``rank``, so that those behind fill up; a candidate without a state has nulls."""
+    return numbered(candidates.join(states, key, "left").where(usable).orderBy(rank).limit(limit), [F.asc(rank)], name="place")
 
 
-def case_config(df: DataFrame, config: DataFrame, key: str, value: str, default: str) -> Column:
-    """The configured value of each row's key while the table is small; see ``literal_lookup``."""
+def configured(df: DataFrame, config: DataFrame, key: str, value: str, default: str) -> DataFrame:
+    """``df`` with ``value``: the configured one of each row's key, or the default. A small table becomes a literal map, a larger one is joined."""
     lookup = literal_lookup(config, F.col(key), F.col(value))
-    if lookup is None:
-        raise ValueError("the configuration is too large for a literal map; join it")
-    return F.coalesce(lookup(df[key]), F.lit(default))
+    if lookup is not None:
+        return df.withColumn(value, F.coalesce(lookup(F.col(key)), F.lit(default)))
+    known = config.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(value).alias(value))
+    return df.join(known, key, "left").withColumn(value, F.coalesce(value, F.lit(default)))
 

@@ -15,11 +15,13 @@ from folioflow.functions.ids import canonical_paper_id, normalized_title, paper_
 from folioflow.operators import assets, dossier, evaluate, fusion, lexical, markdown, merge, quality, rerank, search, store, suites
 from folioflow.session import table
 from folioflow.sources import html, records
+from folioflow.streaming import ingest
 
 QUERY = "retrieval of passages with uncertain agents and long documents"
 TOPIC = "retrieval-augmented planning"
+SECOND_TOPIC = "agents that are using memory"
 TOPIC_FIELDS = (lexical.TopicField("title", 4.0, 12.0), lexical.TopicField("abstract", 1.5, 6.0), lexical.TopicField("seen_in_categories", 2.5, is_array=True))
-URL_KEYS = ("acl_anthology_pdf_url", "pmlr_pdf_url", "openreview_pdf_url", "official_pdf_url", "arxiv_pdf_url", "arxiv_url")
+URL_SOURCES = {"acl": ["base_urls.acl_anthology_pdf_url"], "pmlr": ["base_urls.pmlr_pdf_url"], "openreview": ["base_urls.openreview_pdf_url"], "official": ["base_urls.official_pdf_url"], "arxiv": ["base_urls.arxiv_pdf_url", "base_urls.arxiv_url"]}
 CASES = (("c1", "relevance of cautious rankers"), ("c2", "memory and agents under private data"), ("c3", "translation of long documents"))
 
 
@@ -34,7 +36,7 @@ def _papers(spark, directory):
 
 
 def _vectors(spark, directory):
-    rows = table(spark, directory, "chunk_embeddings").dropDuplicates(["embedding_no"])
+    rows = table(spark, directory, "chunk_embeddings")
     return rows.where((F.col("embedding_model_version") == "openai-compatible-64") & (F.size("vector") == 64))
 
 
@@ -82,8 +84,9 @@ def hybrid_papers(spark, directory):
 
 
 def vector_norms(spark, directory):
-    rows = table(spark, directory, "chunk_embeddings").dropDuplicates(["embedding_no"]).where(vector.is_usable(F.col("vector")))
-    return rows.select("embedding_no", F.size("vector").alias("size"), F.round(vector.norm(F.col("vector")), 6).alias("norm"), F.round(vector.norm(vector.normalized(F.col("vector"))), 6).alias("unit"))
+    rows = table(spark, directory, "chunk_embeddings").where(vector.is_usable(F.col("vector")))
+    measured = rows.select("embedding_no", F.size("vector").alias("size"), F.round(vector.norm(F.col("vector")), 6).alias("norm"), F.round(vector.norm(vector.normalized(F.col("vector"))), 6).alias("unit"))
+    return measured.dropDuplicates(["embedding_no"])
 
 
 def segments(spark, directory):
@@ -137,11 +140,11 @@ def _case_vectors():
 
 
 def suite_chunks(spark, directory):
-    """Lexical hits of three cases, each over its own candidates: the papers whose id begins with certain digits."""
-    chunks = table(spark, directory, "chunks")
-    sets = F.explode(F.array(*[F.struct(F.lit(c).alias("case_id"), F.col("paper_id").rlike(f"^[{d}]").alias("own")) for (c, _), d in zip(CASES, ("0-7", "4-b", "8-f"))]))
-    candidates = chunks.select("paper_id").distinct().select("paper_id", sets.alias("s")).where("s.own").select("s.case_id", "paper_id")
-    return suites.bm25_cases(chunks, CASES, 100, candidates).select("case_id", "rank", "paper_id", "chunk_id", F.round("score", 6).alias("score"), F.round("coverage", 6).alias("coverage"))
+    """Lexical hits of three cases, each over its own candidates: the papers that the text retriever, the vector retriever or any of them has hit."""
+    hits = table(spark, directory, "chunk_hits").where("paper_id is not null").select("retriever_name", "paper_id").distinct()
+    case = F.explode(F.array(F.when(F.col("retriever_name") == "bm25_fulltext", CASES[0][0]), F.when(F.col("retriever_name") == "vector", CASES[1][0]), F.lit(CASES[2][0])))
+    candidates = hits.select(case.alias("case_id"), "paper_id").where("case_id is not null")
+    return suites.bm25_cases(table(spark, directory, "chunks"), CASES, 100, candidates).select("case_id", "rank", "paper_id", "chunk_id", F.round("score", 6).alias("score"), F.round("coverage", 6).alias("coverage"))
 
 
 def suite_vectors(spark, directory):
@@ -171,12 +174,8 @@ def venue_counts(spark, directory):
 
 
 def source_statistics(spark, directory):
-    """OCR pages by backend: counts, failures, characters, durations."""
-    pages = table(spark, directory, "ocr_pages").dropDuplicates(["page_no"])
-    return pages.groupBy("backend_name").agg(
-        F.count(F.lit(1)).alias("pages"), F.count_if("success").alias("successful"), F.count_if(F.coalesce("error_note", F.lit("")) != "").alias("with_error"), F.count_distinct("paper_id").alias("papers"),
-        F.sum(F.coalesce(F.length("text"), F.lit(0))).alias("characters"), F.round(F.sum(F.coalesce("duration_seconds", F.lit(0.0))), 3).alias("seconds"), F.max("page_index").alias("last_page"),
-    )
+    rows = quality.backend_statistics(table(spark, directory, "ocr_pages"))
+    return rows.withColumn("seconds", F.round("seconds", 3))
 
 
 def field_completeness(spark, directory):
@@ -190,9 +189,11 @@ def complete_records(spark, directory):
 
 
 def pdf_candidates(spark, directory):
-    papers = table(spark, directory, "papers").dropDuplicates(["record_no"])
-    found = store.first_candidates(F.col("base_urls"), URL_KEYS)
-    return papers.select("record_no", F.size(found).alias("candidates"), F.get(found, 0).alias("preferred"), text.hostname(F.get(found, 0)).alias("host"), text.domain_policy(text.hostname(F.get(found, 0)), (("arxiv.example", "slow"), ("example", "normal")), "none").alias("policy"))
+    papers = table(spark, directory, "papers")
+    found = store.url_candidates(papers, URL_SOURCES)
+    first = F.get(found, 0)
+    rows = papers.select("record_no", F.size(found).alias("candidates"), first["url"].alias("preferred"), first["source"].alias("source"), first["field"].alias("field"), text.hostname(first["url"]).alias("host"))
+    return rows.withColumn("policy", text.domain_policy(F.col("host"), (("arxiv.example", "slow"), ("example", "normal")), "none")).dropDuplicates(["record_no"])
 
 
 def hits_in_known_papers(spark, directory):
@@ -215,29 +216,38 @@ def embedding_audit(spark, directory):
 
 
 def embedding_distribution(spark, directory):
-    return assets.distribution(table(spark, directory, "chunk_embeddings").dropDuplicates(["embedding_no"]).withColumn("size", F.size("vector")), ["embedding_model", "embedding_model_version", "embedding_dimension", "size"])
+    columns = ["embedding_model", "embedding_model_version", "embedding_dimension", "size"]
+    rows = table(spark, directory, "chunk_embeddings").withColumn("size", F.size("vector")).select("embedding_no", *columns)
+    return assets.distribution(rows.dropDuplicates(["embedding_no"]), columns)
 
 
 def embedding_ids(spark, directory):
-    rows = table(spark, directory, "chunk_embeddings").dropDuplicates(["embedding_no"]).where("source_chunk_sha256 is not null and embedding_dimension is not null")
+    rows = table(spark, directory, "chunk_embeddings").where("source_chunk_sha256 is not null and embedding_dimension is not null")
     made = hashing.embedding_id(F.col("chunk_id"), F.col("embedding_model"), F.col("embedding_model_version"), F.col("embedding_dimension"), F.col("source_chunk_sha256"))
-    return rows.select("embedding_no", made.alias("made_id"), hashing.looks_like_sha256(F.col("source_chunk_sha256")).alias("sound_hash"))
+    return rows.select("embedding_no", made.alias("made_id"), hashing.looks_like_sha256(F.col("source_chunk_sha256")).alias("sound_hash")).dropDuplicates(["embedding_no"])
 
 
 def splitter_fingerprints(spark, directory):
-    chunks = _chunks(spark, directory)
-    options = F.array_join(F.transform(F.array_sort(F.map_entries("splitter_options")), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"].cast("string"))), ",")
-    payload = F.concat(F.lit('{"splitter_name":"'), "splitter_name", F.lit('","splitter_options":{'), options, F.lit('},"splitter_version":"'), "splitter_version", F.lit('"}'))
-    folder = F.concat_ws("/", F.lit("chunks"), F.substring("paper_id", 1, 2), F.substring("paper_id", 3, 2), "paper_id", text.safe_path_component(F.col("splitter_name")), F.concat(text.safe_path_component(F.col("splitter_version")), F.lit("-"), F.substring(F.sha2(payload, 256), 1, 16)))
-    return chunks.groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("n"))
+    made = hashing.fingerprint({"splitter_name": F.col("splitter_name"), "splitter_version": F.col("splitter_version"), "splitter_options": hashing.sorted_map(F.col("splitter_options"))})
+    folder = F.concat_ws("/", F.lit("chunks"), F.substring("paper_id", 1, 2), F.substring("paper_id", 3, 2), "paper_id", text.safe_path_component(F.col("splitter_name")), F.concat(text.safe_path_component(F.col("splitter_version")), F.lit("-"), made))
+    return table(spark, directory, "chunks").select("chunk_id", folder.alias("folder")).dropDuplicates(["chunk_id"]).groupBy("folder").agg(F.count(F.lit(1)).alias("n"))
 
 
-def topic_recall(spark, directory):
+def _topic(spark, directory, topic):
     rows = _papers(spark, directory).groupBy("key").agg(F.min(F.struct("record_no", "title", "abstract", "seen_in_categories")).alias("r")).select("key", "r.*")
-    found = lexical.topic_recall(rows, TOPIC, TOPIC_FIELDS, 50, key="key")
+    found = lexical.topic_recall(rows, topic, TOPIC_FIELDS, 50, key="key")
     return found.select("rank", "key", "title", F.round("score", 6).alias("score"), F.array_join("matched_fields", ",").alias("matched"))
 
 
+def topic_recall(spark, directory):
+    return _topic(spark, directory, TOPIC)
+
+
+def topic_recall_stopwords(spark, directory):
+    """A topic with words that only one of the two lists of stopwords has."""
+    return _topic(spark, directory, SECOND_TOPIC)
+
+
 def fuzzy_titles(spark, directory):
     rows = _papers(spark, directory).groupBy("key").agg(F.min("title").alias("title"))
     return lexical.fuzzy_titles(rows, "a study of federated paramters in industrial navigtion", 20, 0.65, key="key").select("key", F.round("score", 6).alias("score"))
@@ -320,8 +330,8 @@ def html_articles(spark, directory):
 
 
 def daily_events(spark, directory):
-    events = table(spark, directory, "events").withColumn("at", F.col("ts").cast("timestamp"))
-    return events.groupBy(F.date_format(F.window("at", "1 day")["start"], "yyyy-MM-dd").alias("day"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total"))
+    counts = ingest.event_counts(table(spark, directory, "events"))
+    return counts.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
 def flagship(spark: SparkSession, directory: str) -> DataFrame:
@@ -331,7 +341,7 @@ def flagship(spark: SparkSession, directory: str) -> DataFrame:
 NAMES = (
     title_keys, chunk_tokens, bm25_chunks, bm25_papers, vector_chunks, vector_papers, hybrid_papers, vector_norms, segments, reranked_papers, ranking_metrics, macro_summary, suite_fusion, suite_chunks, suite_vectors, suite_hybrid, preprint_records, venue_counts,
     source_statistics, field_completeness, complete_records, pdf_candidates, hits_in_known_papers, chunk_manifests, chunk_reasons, embedding_audit, embedding_distribution, embedding_ids, splitter_fingerprints,
-    topic_recall, fuzzy_titles, merged_papers, migrated_papers, set_operations, title_functions, size_texts, page_markdown, document_quality, markdown_blocks, markdown_chunks, token_hash_embeddings, dossier_lines,
+    topic_recall, topic_recall_stopwords, fuzzy_titles, merged_papers, migrated_papers, set_operations, title_functions, size_texts, page_markdown, document_quality, markdown_blocks, markdown_chunks, token_hash_embeddings, dossier_lines,
     html_articles, daily_events,
 )
 

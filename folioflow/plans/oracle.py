@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-from folioflow.functions import text
-from folioflow.functions.text import RETRIEVAL_STOPWORDS, query_terms
-
-CASES = (("c1", "relevance of cautious rankers"), ("c2", "memory and agents under private data"), ("c3", "translation of long documents"))
-
-QUERY = "retrieval of passages with uncertain agents and long documents"
+# Fixed values, written out here on their own: words that a retrieval query leaves out, the terms of the queries, and what a venue text calls an acceptance.
+STOPWORDS = "a an and are as at be by for from in is it of on or that the this to was were with".split()
+QUERY_TERMS = ["retrieval", "passages", "uncertain", "agents", "long", "documents"]
+CASE_TERMS = {"c1": ["relevance", "cautious", "rankers"], "c2": ["memory", "agents", "under", "private", "data"], "c3": ["translation", "long", "documents"]}
+ACCEPTANCES = (("notable top 25%", "Notable Top 25%"), ("notable top 5%", "Notable Top 5%"), ("spotlight", "Spotlight"), ("oral", "Oral"), ("poster", "Poster"))
 
 
 def _values(items) -> str:
     return ", ".join(f"('{x}', {i})" for i, x in enumerate(items, 1))
 
 
-STOPS = "[" + ", ".join(f"'{w}'" for w in RETRIEVAL_STOPWORDS) + "]"
+STOPS = "[" + ", ".join(f"'{w}'" for w in STOPWORDS) + "]"
 RECORDS = r"""
 records AS (
   SELECT DISTINCT ON (record_no) *, trim(regexp_replace(regexp_replace(lower(title), '[^a-z0-9]', ' ', 'g'), ' +', ' ', 'g')) AS normalized FROM papers ORDER BY record_no),
@@ -35,7 +34,7 @@ weighted AS (SELECT paper_id, chunk_index, chunk_id, list_concat(list_concat(bod
 """
 BM25 = rf"""
 {TOKENS},
-terms(term, o) AS (VALUES {_values(query_terms(QUERY))}),
+terms(term, o) AS (VALUES {_values(QUERY_TERMS)}),
 totals AS (SELECT count(*) AS n, avg(len(tokens)) AS average FROM weighted),
 counts AS (
   SELECT paper_id, chunk_index, chunk_id, len(tokens) AS length, term, o, len(list_filter(tokens, lambda x: x = term)) AS tf
@@ -44,12 +43,12 @@ matched AS (SELECT * FROM counts WHERE tf > 0),
 df AS (SELECT term, count(*) AS df FROM matched GROUP BY term),
 scored AS (
   SELECT paper_id, chunk_index, chunk_id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * length / average))) AS score,
-    count(*) / {len(query_terms(QUERY))}.0 AS coverage, string_agg(term, ' ' ORDER BY o) AS terms, list(term) AS met
+    count(*) / {len(QUERY_TERMS)}.0 AS coverage, string_agg(term, ' ' ORDER BY o) AS terms, list(term) AS met
   FROM matched JOIN df USING (term) CROSS JOIN totals GROUP BY ALL),
 hits AS (SELECT row_number() OVER (ORDER BY round(score, 9) DESC, coverage DESC, paper_id, chunk_index, chunk_id) AS rank, * FROM scored QUALIFY rank <= 300),
 placed AS (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY score DESC, rank) AS place FROM hits),
 by_paper AS (
-  SELECT paper_id, max(score) AS best, avg(score) AS mean_top, count(*) AS scoring_chunks, len(list_distinct(flatten(list(met)))) / {len(query_terms(QUERY))}.0 AS coverage
+  SELECT paper_id, max(score) AS best, avg(score) AS mean_top, count(*) AS scoring_chunks, len(list_distinct(flatten(list(met)))) / {len(QUERY_TERMS)}.0 AS coverage
   FROM placed WHERE place <= 3 GROUP BY paper_id),
 bm25_papers AS (
   SELECT row_number() OVER (ORDER BY round(best + 0.5 * mean_top + 0.5 * coverage, 9) DESC, paper_id) AS rank, *, best + 0.5 * mean_top + 0.5 * coverage AS score
@@ -126,7 +125,7 @@ ORACLE = {
       each AS (SELECT *, unnest(range(n)) AS i FROM cut),
       tokens AS (SELECT *, regexp_extract_all(lower(substring(text, i * 350 + 1, 400)), '[a-z0-9]+(?:''[a-z0-9]+)?') AS t FROM each),
       scored AS (SELECT paper_id, chunk_id, CASE WHEN n = 1 THEN chunk_id ELSE chunk_id || '::rerank-segment-' || lpad(i::VARCHAR, 4, '0') END AS segment_id,
-        len(list_intersect(t, [{", ".join(f"'{t}'" for t in query_terms(QUERY))}])) / {len(query_terms(QUERY))}.0 AS score FROM tokens),
+        len(list_intersect(t, [{", ".join(f"'{t}'" for t in QUERY_TERMS)}])) / {len(QUERY_TERMS)}.0 AS score FROM tokens),
       best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY paper_id, chunk_id ORDER BY score DESC, segment_id DESC) = 1),
       top AS (SELECT * FROM best QUALIFY row_number() OVER (PARTITION BY paper_id ORDER BY score DESC, segment_id) <= 3),
       averaged AS (SELECT paper_id, avg(score) AS score, count(*) AS chunks FROM top GROUP BY paper_id)
@@ -157,9 +156,10 @@ ORACLE = {
     "complete_records": f"""WITH {RECORDS} SELECT record_no, len(authors) AS authors FROM records
       WHERE title <> '' AND abstract <> '' AND len(authors) > 0 AND coalesce(base_urls['arxiv_pdf_url'], '') <> '' AND list_contains(seen_in_categories, 'cs.CL')""",
     "pdf_candidates": f"""WITH {RECORDS},
-      listed AS (SELECT record_no, list_filter([trim(base_urls[k], ' ') FOR k IN ['acl_anthology_pdf_url', 'pmlr_pdf_url', 'openreview_pdf_url', 'official_pdf_url', 'arxiv_pdf_url', 'arxiv_url']], lambda x: x <> '') AS found FROM records),
-      first AS (SELECT record_no, len(list_distinct(found)) AS candidates, found[1] AS preferred, lower(nullif(regexp_extract(found[1], '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '')) AS host FROM listed)
-      SELECT record_no, coalesce(candidates, 0) AS candidates, preferred, host,
+      listed AS (SELECT record_no, list_filter([{{'u': trim(base_urls[k], ' '), 'k': k}} FOR k IN ['acl_anthology_pdf_url', 'pmlr_pdf_url', 'openreview_pdf_url', 'official_pdf_url', 'arxiv_pdf_url', 'arxiv_url']], lambda x: x.u <> '') AS found FROM records),
+      first AS (SELECT record_no, len(list_distinct(list_transform(found, lambda x: x.u))) AS candidates, found[1].u AS preferred, found[1].k AS k,
+        lower(nullif(regexp_extract(found[1].u, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)', 1), '')) AS host FROM listed)
+      SELECT record_no, coalesce(candidates, 0) AS candidates, preferred, split_part(k, '_', 1) AS source, 'base_urls.' || k AS field, host,
         CASE WHEN host = 'arxiv.example' OR ends_with(host, '.arxiv.example') THEN 'slow' WHEN host = 'example' OR ends_with(host, '.example') THEN 'normal' ELSE 'none' END AS policy FROM first""",
     "hits_in_known_papers": """WITH hits AS (SELECT DISTINCT ON (hit_no) * FROM chunk_hits ORDER BY hit_no)
       SELECT 'known' AS part, count(*) AS n, count(DISTINCT paper_id) AS papers FROM hits WHERE chunk_id IN (SELECT chunk_id FROM chunks)
@@ -185,21 +185,6 @@ ORACLE = {
         array_to_string(list_transform(list_sort(map_entries(splitter_options)), lambda e: '"' || e.key || '":' || e.value), ',') || '},"splitter_version":"' || splitter_version || '"}' AS payload FROM once)
       SELECT concat_ws('/', 'chunks', substring(paper_id, 1, 2), substring(paper_id, 3, 2), paper_id, trim(regexp_replace(splitter_name, '[^A-Za-z0-9._-]+', '-', 'g'), '.-_'),
         trim(regexp_replace(splitter_version, '[^A-Za-z0-9._-]+', '-', 'g'), '.-_') || '-' || substring(sha256(payload), 1, 16)) AS folder, count(*) AS n FROM made GROUP BY 1""",
-    "topic_recall": rf"""WITH {RECORDS},
-      docs AS (SELECT DISTINCT ON (key) key, title, coalesce(abstract, '') AS abstract, coalesce(array_to_string(seen_in_categories, ' '), '') AS cats FROM keyed WHERE key IS NOT NULL ORDER BY key, record_no),
-      found AS (SELECT *, lower(title || ' ' || abstract || ' ' || cats) AS whole FROM docs),
-      strict AS (SELECT * FROM found WHERE contains(whole, 'retrieval') AND contains(whole, 'augmented') AND contains(whole, 'planning') ORDER BY key LIMIT 1000),
-      loose AS (SELECT * FROM found WHERE (contains(whole, 'retrieval') OR contains(whole, 'augmented') OR contains(whole, 'planning')) AND (SELECT count(*) FROM strict) < 50
-        ORDER BY key LIMIT (SELECT 1000 - count(*) FROM strict)),
-      pool AS (SELECT * FROM strict UNION ALL SELECT * FROM loose WHERE key NOT IN (SELECT key FROM strict)),
-      flat AS (SELECT *, {{t}} AS t, {{a}} AS a, {{c}} AS c FROM pool),
-      scored AS (SELECT key, trim(title, ' ') AS title,
-        4.0 * (contains(t, 'retrieval')::INT + contains(t, 'augmented')::INT + contains(t, 'planning')::INT) + 1.5 * (contains(a, 'retrieval')::INT + contains(a, 'augmented')::INT + contains(a, 'planning')::INT)
-        + 2.5 * (contains(c, 'retrieval')::INT + contains(c, 'augmented')::INT + contains(c, 'planning')::INT) + 12.0 * contains(t, 'retrieval augmented planning')::INT + 6.0 * contains(a, 'retrieval augmented planning')::INT
-        + 5.0 / 3 * ((contains(t, 'retrieval') OR contains(a, 'retrieval') OR contains(c, 'retrieval'))::INT + (contains(t, 'augmented') OR contains(a, 'augmented') OR contains(c, 'augmented'))::INT + (contains(t, 'planning') OR contains(a, 'planning') OR contains(c, 'planning'))::INT) AS score,
-        concat_ws(',', CASE WHEN regexp_matches(a, 'retrieval|augmented|planning') THEN 'abstract' END, CASE WHEN regexp_matches(c, 'retrieval|augmented|planning') THEN 'seen_in_categories' END,
-          CASE WHEN regexp_matches(t, 'retrieval|augmented|planning') THEN 'title' END) AS matched FROM flat)
-      SELECT row_number() OVER (ORDER BY round(score, 9) DESC, lower(title), key) AS rank, key, title, round(score, 6) AS score, matched FROM scored WHERE score > 0 AND title <> '' QUALIFY rank <= 50""",
     "merged_papers": f"""WITH {RECORDS},
       seq AS (SELECT *, lower(trim(regexp_replace(source_name, '\\s+', ' ', 'g'), ' ')) AS source, row_number() OVER (PARTITION BY key ORDER BY ingested_at, record_no) AS o FROM keyed WHERE key IS NOT NULL),
       marked AS (SELECT *, row_number() OVER (PARTITION BY key, source ORDER BY o) = 1 AS new_source FROM seq),
@@ -227,7 +212,29 @@ ORACLE = {
     "daily_events": "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
 }
 _FLAT = "trim(regexp_replace(regexp_replace(lower({0}), '[^a-z0-9]', ' ', 'g'), ' +', ' ', 'g'))"
-ORACLE["topic_recall"] = ORACLE["topic_recall"].replace("{t}", _FLAT.format("title")).replace("{a}", _FLAT.format("abstract")).replace("{c}", _FLAT.format("cats"))
+
+
+def _topic(terms: list[str], phrase: str) -> str:
+    def met(column: str) -> str:
+        return " + ".join(f"contains({column}, '{t}')::INT" for t in terms)
+
+    return rf"""WITH {RECORDS},
+      docs AS (SELECT DISTINCT ON (key) key, title, coalesce(abstract, '') AS abstract, coalesce(array_to_string(seen_in_categories, ' '), '') AS cats FROM keyed WHERE key IS NOT NULL ORDER BY key, record_no),
+      found AS (SELECT *, lower(coalesce(title, '') || chr(1) || abstract || chr(1) || cats) AS whole FROM docs),
+      strict AS (SELECT * FROM found WHERE {" AND ".join(f"contains(whole, '{t}')" for t in terms)} ORDER BY key LIMIT 1000),
+      loose AS (SELECT * FROM found WHERE ({" OR ".join(f"contains(whole, '{t}')" for t in terms)}) AND (SELECT count(*) FROM strict) < 50 ORDER BY key LIMIT (SELECT 1000 - count(*) FROM strict)),
+      pool AS (SELECT * FROM strict UNION ALL SELECT * FROM loose WHERE key NOT IN (SELECT key FROM strict)),
+      flat AS (SELECT *, {_FLAT.format("coalesce(title, '')")} AS t, {_FLAT.format("abstract")} AS a, {_FLAT.format("cats")} AS c FROM pool),
+      scored AS (SELECT key, trim(title, ' ') AS title,
+        4.0 * ({met("t")}) + 1.5 * ({met("a")}) + 2.5 * ({met("c")}) + 12.0 * contains(t, '{phrase}')::INT + 6.0 * contains(a, '{phrase}')::INT
+        + 5.0 / {len(terms)} * ({" + ".join(f"(contains(t, '{t}') OR contains(a, '{t}') OR contains(c, '{t}'))::INT" for t in terms)}) AS score,
+        concat_ws(',', CASE WHEN regexp_matches(a, '{"|".join(terms)}') THEN 'abstract' END, CASE WHEN regexp_matches(c, '{"|".join(terms)}') THEN 'seen_in_categories' END,
+          CASE WHEN regexp_matches(t, '{"|".join(terms)}') THEN 'title' END) AS matched FROM flat)
+      SELECT row_number() OVER (ORDER BY round(score, 9) DESC, lower(title), key) AS rank, key, title, round(score, 6) AS score, matched FROM scored WHERE score > 0 AND title <> '' QUALIFY rank <= 50"""
+
+
+ORACLE["topic_recall"] = _topic(["retrieval", "augmented", "planning"], "retrieval augmented planning")
+ORACLE["topic_recall_stopwords"] = _topic(["agents", "that", "using", "memory"], "agents that are using memory")
 _ORDERED = TRIMMED.format("coalesce(seen_in_sources, [])")
 ORACLE["set_operations"] = f"""WITH {RECORDS},
   raw AS (SELECT record_no, {_ORDERED} AS l, coalesce(seen_in_categories, []) AS cats FROM records),
@@ -239,15 +246,15 @@ ORACLE["title_functions"] = f"""WITH {RECORDS}, flat AS (SELECT *, {_SHORT} AS f
   SELECT record_no, CASE WHEN length(f) > 40 THEN substring(f, 1, 40) ELSE f END AS short, CASE WHEN length(f) > 40 THEN rtrim(substring(f, 1, 40), ' ') || '...' ELSE f END AS dotted,
     trim(replace(replace(coalesce(title, ''), '|', '\\|'), chr(10), ' '), ' ') AS cell, nullif(trim(regexp_replace(title, '[^A-Za-z0-9._-]+', '-', 'g'), '.-_'), '') AS component,
     translate(trim(title, ' '), '/\\: -', '_____') AS safe, round(CASE WHEN len(regexp_extract_all(coalesce(title, ''), '\\p{{L}}')) > 0 THEN len(regexp_extract_all(title, '\\p{{Lu}}')) / len(regexp_extract_all(title, '\\p{{L}}')) ELSE 0.0 END, 6) AS uppercase,
-    CASE {" ".join(f"WHEN contains(lower(v), '{p}') THEN '{n}'" for p, n in text.ACCEPT_TYPES)}
+    CASE {" ".join(f"WHEN contains(lower(v), '{p}') THEN '{n}'" for p, n in ACCEPTANCES)}
       ELSE upper(substring(regexp_extract(lower(v), '(\\S*)$', 1), 1, 1)) || substring(regexp_extract(lower(v), '(\\S*)$', 1), 2) END AS accept_type,
     coalesce(strftime(crawled_at, '%Y-%m-%d'), '') AS day, strftime(crawled_at + INTERVAL 8 HOUR, '%Y-%m-%dT%H:%M:%S') || '+08:00' AS local FROM flat"""
 
-_ASKED = ", ".join(f"('{c}', '{t}', {len(query_terms(q))})" for c, q in CASES for t in query_terms(q))
+_ASKED = ", ".join(f"('{c}', '{t}', {len(terms)})" for c, terms in CASE_TERMS.items() for t in terms)
 ORACLE["suite_chunks"] = f"""WITH {TOKENS},
   terms(case_id, term, terms) AS (VALUES {_ASKED}),
-  sets(case_id, pattern) AS (VALUES ('c1', '^[0-7]'), ('c2', '^[4-b]'), ('c3', '^[8-f]')),
-  own AS (SELECT s.case_id, w.* FROM weighted w JOIN sets s ON regexp_matches(w.paper_id, s.pattern)),
+  sets AS (SELECT DISTINCT CASE retriever_name WHEN 'bm25_fulltext' THEN 'c1' WHEN 'vector' THEN 'c2' END AS case_id, paper_id FROM chunk_hits WHERE retriever_name IN ('bm25_fulltext', 'vector') UNION SELECT 'c3', paper_id FROM chunk_hits),
+  own AS (SELECT s.case_id, w.* FROM weighted w JOIN sets s ON w.paper_id = s.paper_id),
   totals AS (SELECT case_id, count(*) AS n, avg(len(tokens)) AS average FROM own GROUP BY case_id),
   counts AS (SELECT o.case_id, paper_id, chunk_index, chunk_id, len(tokens) AS length, term, terms, len(list_filter(tokens, lambda x: x = term)) AS tf FROM own o JOIN terms t ON t.case_id = o.case_id),
   matched AS (SELECT * FROM counts WHERE tf > 0),

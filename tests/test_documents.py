@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioflow.functions import hashing, ids, lookup, text, vector
-from folioflow.operators import assets, dossier, lexical, markdown, merge, quality, store
+from folioflow.operators import assets, dossier, lexical, markdown, merge, quality, search, store
 from folioflow.operators.markdown import ChunkSizes, blocks_of, chunks_of, heading_of
 
 DOCUMENT = """<!-- page: 1 -->
@@ -48,7 +48,7 @@ def test_blocks_carry_kind_page_and_section():
 )
 def test_headings(line, level):
     found = heading_of(line)
-    assert (found and found[1]) == level
+    assert (found and found.level) == level
 
 
 def test_chunks_respect_sizes_and_repeat():
@@ -112,6 +112,28 @@ def test_backfill_skips_unusable(spark):
     candidates = spark.createDataFrame([(i, f"p{i}") for i in range(1, 6)], "rank int, paper_id string")
     states = spark.createDataFrame([("p1", "ok"), ("p2", None), ("p4", "ok"), ("p5", "ok")], "paper_id string, url string")
     assert [r["paper_id"] for r in store.backfilled(candidates, states, "paper_id", "rank", F.col("url").isNotNull(), 3).collect()] == ["p1", "p4", "p5"]
+    assert [r["place"] for r in store.backfilled(candidates, states, "paper_id", "rank", F.col("url").isNotNull(), 3).collect()] == [1, 2, 3]
+
+
+@pytest.mark.parametrize("literal", [0, 512])
+def test_configured_values(spark, literal, monkeypatch):
+    monkeypatch.setattr(lookup.literal_lookup, "__defaults__", (literal,))
+    config = spark.createDataFrame([("a", "slow"), ("a", "fast"), (None, "x")], "host string, speed string")
+    got = store.configured(spark.createDataFrame([("a",), ("b",), (None,)], "host string"), config, "host", "speed", "normal").collect()
+    assert {(r["host"], r["speed"]) for r in got} == {("a", "slow"), ("b", "normal"), (None, "normal")}
+
+
+def test_url_candidates_keep_where_they_came_from(spark):
+    df = spark.createDataFrame([({"x": " u1 ", "y": "u1", "z": ""}, ("u2",))], "m map<string,string>, s struct<deep: string>")
+    got = df.select(store.url_candidates(df, {"one": ["m.y", "m.z", "m.none"], "two": ["m.x", "s.deep"]}).alias("c")).first()["c"]
+    assert [tuple(c) for c in got] == [("u1", "one", "m.y"), ("u2", "two", "s.deep")]
+
+
+def test_numbers_over_all_rows(spark):
+    df = spark.range(1000).select(F.col("id"), (F.col("id") * 37 % 101).alias("v")).repartition(7)
+    got = search.numbered_all(df, [F.desc("v"), F.asc("id")]).orderBy("rank").collect()
+    assert [r["rank"] for r in got] == list(range(1, 1001)) and [(-r["v"], r["id"]) for r in got] == sorted((-r["v"], r["id"]) for r in got)
+    assert search.numbered_all(df.limit(0), [F.asc("id")]).count() == 0
 
 
 def test_topic_recall_strict_then_loose(spark):

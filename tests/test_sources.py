@@ -85,7 +85,9 @@ def test_merge_stream_and_event_counts(spark, tmp_path):
     run()
     spark.createDataFrame([("a", 0, "Late", "z"), ("b", 3, "C", "filled"), ("c", 1, "N", None)], schema).write.parquet(f"{source}/2")
     run()
-    assert {tuple(r) for r in ingest.merged_table(spark, folder).collect()} == {("a", "T", "x"), ("b", "B", "filled"), ("c", "N", None)}
+    assert {tuple(r) for r in ingest.merged_table(spark, folder).collect()} == {("a", "Late", "z"), ("b", "B", "filled"), ("c", "N", None)}
+    ingest.compact(spark, folder, f"{folder}-2")
+    assert {tuple(r) for r in ingest.merged_table(spark, f"{folder}-2").collect()} == {("a", "Late", "z"), ("b", "B", "filled"), ("c", "N", None)}
     events = spark.sql("select timestamp_ntz'2026-01-01 10:00:00' ts, 'a' event_type, 1.0D value union all select timestamp_ntz'2026-01-01 23:00:00', 'a', 2.0D")
     row = ingest.event_counts(events).first()
     assert (row["n"], row["total"]) == (2, 3.0)
