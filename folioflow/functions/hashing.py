@@ -19,6 +19,31 @@ def canonical_json(fields: dict[str, Column]) -> Column:
     return F.to_json(F.struct(*[fields[k].alias(k) for k in sorted(fields)]), {"ignoreNullFields": "false"})
 
 
+#: Control characters whose escapes have letters, which JSON allows in both cases.
+LETTERED = [f"{c:04X}" for c in (*range(0x0B, 0x10), *range(0x1A, 0x20)) if chr(c) not in "\f\r"]
+
+
+def lower_escapes(json: Column) -> Column:
+    """JSON with its control characters escaped in lower-case hexadecimal."""
+    for code in LETTERED:
+        json = F.regexp_replace(json, rf"(?<!\\)((?:\\\\)*)\\u{code}", rf"$1\\u{code.lower()}")
+    return json
+
+
+# The fields that identify a chunk.
+CHUNK_FIELDS = (
+    "chunk_index", "content_sha256", "page_end", "page_start", "paper_id", "schema_version", "section_path", "source_markdown_sha256", "source_parser_name", "source_parser_version", "source_pdf_sha256", "splitter_name",
+    "splitter_options", "splitter_version",
+)
+
+
+def chunk_id(schema_version: int = 1, prefix: str = "") -> Column:
+    """The id of a chunk from its fields: SHA-256 of their canonical JSON, with the options' keys in order; ``prefix`` leads to a struct that holds them."""
+    fields = {f: F.col(prefix + f) for f in CHUNK_FIELDS if f != "schema_version"}
+    fields["splitter_options"] = sorted_map(fields["splitter_options"])
+    return F.sha2(lower_escapes(canonical_json({**fields, "schema_version": F.lit(schema_version)})), 256)
+
+
 def record_id(fields: dict[str, Column]) -> Column:
     """SHA-256 of the canonical JSON."""
     return F.sha2(canonical_json(fields), 256)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folioflow.functions.hashing import looks_like_sha256, text_sha256
+from folioflow.functions.hashing import looks_like_sha256, sorted_map, text_sha256
 
 
 def manifests(chunks: DataFrame) -> DataFrame:
@@ -47,10 +47,40 @@ def distribution(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n"))
 
 
-def with_source_chunks(hits: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Hits with their source chunk's text; a hit whose chunk is missing is left out (``hits_without_chunk`` has those)."""
-    return hits.join(chunks.dropDuplicates(["chunk_id"]).select("chunk_id", "text", "section_path", "page_start", "page_end"), "chunk_id")
+def lines_sha256(chunks: DataFrame) -> DataFrame:
+    """``paper_id, lines_sha256``: the hash of the hashes of a paper's chunk lines, in order of chunk_index; no texts are gathered."""
+    line = F.sha2(F.to_json(F.struct("chunk_id", "chunk_index", "content_sha256")), 256)
+    each = chunks.select("paper_id", "chunk_id", "chunk_index", line.alias("h")).dropDuplicates(["paper_id", "chunk_id"])
+    ordered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "chunk_id", "h"))), lambda x: x["h"]), "")
+    return each.groupBy("paper_id").agg(F.sha2(ordered, 256).alias("lines_sha256"))
 
 
-def hits_without_chunk(hits: DataFrame, chunks: DataFrame) -> DataFrame:
-    return hits.join(chunks.select("chunk_id"), "chunk_id", "left_anti")
+def manifest_reasons(manifest: DataFrame, chunks: DataFrame, expected: DataFrame) -> DataFrame:
+    """``folder, reason``: the first check that a paper's manifest fails against its chunks, null if none.
+
+    ``manifest`` has ``folder`` (the paper whose asset it is), ``paper_id, splitter_name, splitter_version, splitter_options, chunks_path, chunk_count, chunk_ids,
+    lines_sha256, source_markdown_sha256, source_pdf_sha256, source_parser_name, source_parser_version``; ``expected`` has ``folder`` and what the first five of
+    these must be, as ``e_...``; ``chunks`` has ``folder`` beside the fields of chunks. Eight checks of the manifest come before five of its chunks: paper,
+    running index, source text, source file, parser. Repeated chunks count once.
+    """
+    own = ("paper_id", "chunk_index", "source_markdown_sha256", "source_pdf_sha256", "source_parser_name", "source_parser_version")
+    once = chunks.select("folder", "chunk_id", "content_sha256", *own).dropDuplicates(["folder", "chunk_id"])
+    hashes = lines_sha256(once.select(F.col("folder").alias("paper_id"), "chunk_id", "chunk_index", "content_sha256")).select(F.col("paper_id").alias("folder"), F.col("lines_sha256").alias("actual_sha256"))
+    missing = [F.count_if(F.col(c).isNull()).alias(f"no_{c}") for c in own]
+    ids = F.transform(F.array_sort(F.collect_list(F.struct("chunk_index", "chunk_id"))), lambda x: x["chunk_id"])
+    ranges = [f(c).alias(f"{n}_{c}") for c in own for n, f in (("low", F.min), ("high", F.max))]
+    facts = once.groupBy("folder").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("chunk_index").alias("places"), ids.alias("ids"), *ranges, *missing)
+    both = manifest.join(expected, "folder").join(facts, "folder", "left").join(hashes, "folder", "left")
+
+    def same(column: str) -> Column:
+        return F.col(f"low_{column}").eqNullSafe(F.col(column)) & F.col(f"high_{column}").eqNullSafe(F.col(column)) & ((F.col(f"no_{column}") == 0) | F.col(column).isNull())
+
+    checks = {
+        "paper_id": F.col("paper_id").eqNullSafe(F.col("e_paper_id")), "splitter_name": F.col("splitter_name").eqNullSafe(F.col("e_splitter_name")), "splitter_version": F.col("splitter_version").eqNullSafe(F.col("e_splitter_version")),
+        "splitter_options": F.to_json(sorted_map(F.col("splitter_options"))).eqNullSafe(F.to_json(sorted_map(F.col("e_splitter_options")))), "chunks_path": F.col("chunks_path").eqNullSafe(F.col("e_chunks_path")),
+        "chunk_count": F.col("chunk_count") == F.coalesce("n", F.lit(0)), "chunk_ids": F.col("chunk_ids").eqNullSafe(F.coalesce("ids", F.array().cast("array<string>"))), "chunks_sha256": F.col("lines_sha256").eqNullSafe(F.col("actual_sha256")),
+        "chunk_paper_id": same("paper_id"), "chunk_index": (F.col("low_chunk_index") == 0) & (F.col("high_chunk_index") == F.col("n") - 1) & (F.col("places") == F.col("n")),
+        "chunk_markdown_sha256": same("source_markdown_sha256"), "chunk_pdf_sha256": same("source_pdf_sha256"), "chunk_parser": same("source_parser_name") & same("source_parser_version"),
+    }
+    reason = F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks.items()])
+    return both.select("folder", reason.alias("reason"))

@@ -44,9 +44,38 @@ def reranked_papers(scored: DataFrame, top_chunks: int = 3) -> DataFrame:
 
 
 def merged_evidence(evidence: DataFrame) -> DataFrame:
-    """``paper_id, chunk_id, text, sources`` from rows with ``paper_id, chunk_id, text, source``: each chunk once, its sources in order of name.
+    """``paper_id, chunk_id, text, sources, conflict`` from ``paper_id, chunk_id, text, source, place``: each chunk of a paper once.
 
-    A chunk with different texts is a conflict: ``conflict`` is true and the smaller text stays.
+    ``sources`` are in order of their first ``place``, then of name. A chunk with different texts is a conflict, and the smaller text stays. Rows
+    without a paper, a chunk or a text are left out.
     """
-    merged = evidence.groupBy("paper_id", "chunk_id").agg(F.min("text").alias("text"), F.array_sort(F.collect_set("source")).alias("sources"), (F.min("text") != F.max("text")).alias("conflict"))
-    return merged.withColumn("conflict", F.coalesce("conflict", F.lit(False)))
+    rows = evidence.where((F.trim("paper_id") != "") & (F.trim("chunk_id") != "") & (F.col("text") != "") & F.col("source").isNotNull())
+    once = rows.groupBy("paper_id", "chunk_id", "source").agg(F.min("place").alias("place"), F.min("text").alias("low"), F.max("text").alias("high"))
+    sources = F.transform(F.array_sort(F.collect_list(F.struct("place", "source"))), lambda x: x["source"])
+    return once.groupBy("paper_id", "chunk_id").agg(F.min("low").alias("text"), sources.alias("sources"), (F.min("low") != F.max("high")).alias("conflict"))
+
+
+def rerank_segments(ranking: DataFrame, evidence: DataFrame, papers: int, max_chars: int = 3200, overlap_chars: int = 200) -> DataFrame:
+    """The segments of the first ``papers`` of a ranking (``rank, paper_id``), cut from their merged evidence.
+
+    ``original_rank, paper_id, chunk_id, sources, conflict, segment_id, segment_index, segment_count, char_start, char_end, segment``.
+    """
+    if papers < 1:
+        raise ValueError("the number of papers must be positive")
+    first = ranking.where(F.col("rank") <= papers).select("paper_id", F.col("rank").alias("original_rank"))
+    cut = segments(merged_evidence(evidence).join(first, "paper_id"), "text", max_chars, overlap_chars)
+    named = cut.withColumn("segment_id", segment_id(F.col("chunk_id"), F.col("segment_index"), F.col("segment_count")))
+    return named.select("original_rank", "paper_id", "chunk_id", "sources", "conflict", "segment_id", "segment_index", "segment_count", "char_start", "char_end", "segment")
+
+
+def with_original_rank(reranked: DataFrame, ranking: DataFrame) -> DataFrame:
+    """A reranked list with each paper's place in the ranking before it; 0 for a paper that wasn't there."""
+    before = ranking.groupBy("paper_id").agg(F.min("rank").alias("original_rank"))
+    return reranked.join(before, "paper_id", "left").withColumn("original_rank", F.coalesce("original_rank", F.lit(0)))
+
+
+def ranked_texts(scored: DataFrame, index: str, limit: int, score: str = "score") -> DataFrame:
+    """The first ``limit`` rows with ``rank``: score descending, then the text's place among those asked about. Scores that aren't finite are left out."""
+    sound = scored.where(F.col(score).isNotNull() & ~F.isnan(score) & (F.abs(score) < float("inf")))
+    ways = [F.desc(score), F.asc(index)]
+    return numbered(sound.orderBy(*ways).limit(limit), ways)

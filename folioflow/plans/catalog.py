@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions import hashing, text, vector
 from folioflow.functions.ids import canonical_paper_id, normalized_title, paper_id_from_title
-from folioflow.operators import assets, dossier, evaluate, fusion, lexical, markdown, merge, quality, rerank, search, store, suites
+from folioflow.operators import assets, dossier, embed, evaluate, fusion, lexical, markdown, merge, quality, rerank, search, store, suites
 from folioflow.session import table
 from folioflow.sources import html, records
 from folioflow.streaming import ingest
@@ -104,6 +104,79 @@ def reranked_papers(spark, directory):
     return rerank.reranked_papers(scored).select("rank", "paper_id", F.round("score", 6).alias("score"), "chunks")
 
 
+def _hybrid_evidence(spark, directory):
+    """The hybrid ranking of a query, and the chunks that its papers owe their places to: up to three of each retriever."""
+    chunks = table(spark, directory, "chunks")
+    texts = search.bm25_chunks(chunks, QUERY, 300)
+    near = search.vector_chunks(_vectors(spark, directory), _query_vector(), 300, "chunk_id")
+    papers = search.bm25_papers(texts, QUERY, 50), search.vector_papers(near, 50)
+    ranking = fusion.fuse(*[p.select("rank", "paper_id", "score") for p in papers], 0.7, 0.3, 60)
+    parts = []
+    for place, (name, hits) in enumerate((("bm25", texts), ("vector", near))):
+        best = search.numbered(hits, [F.asc("rank")], ["paper_id"], "p").where("p <= 3")
+        parts.append(best.select("paper_id", F.substring_index("chunk_id", "::", 1).alias("chunk_id"), F.lit(name).alias("source"), F.lit(place).alias("place")))
+    known = store.by_keys(chunks.select("chunk_id", "text"), "chunk_id", parts[0].unionByName(parts[1]).select("chunk_id")).dropDuplicates(["chunk_id"])
+    return ranking, parts[0].unionByName(parts[1]).distinct().join(known, "chunk_id")
+
+
+def rerank_segments(spark, directory):
+    ranking, evidence = _hybrid_evidence(spark, directory)
+    cut = rerank.rerank_segments(ranking, evidence, 40, 400, 50)
+    return cut.select("original_rank", "paper_id", "segment_id", "segment_count", "char_start", "char_end", "conflict", F.array_join("sources", "+").alias("sources"), F.sha2("segment", 256).alias("segment_hash"))
+
+
+def reranked_hybrid(spark, directory):
+    """The segments of a hybrid ranking scored by their share of query terms, aggregated to papers beside their places before."""
+    ranking, evidence = _hybrid_evidence(spark, directory)
+    terms = text.query_terms(QUERY)
+    hits = F.size(F.array_intersect(text.retrieval_tokens(F.col("segment")), F.array(*[F.lit(t) for t in terms])))
+    scored = rerank.rerank_segments(ranking, evidence, 40, 400, 50).withColumn("score", hits / len(terms))
+    return rerank.with_original_rank(rerank.reranked_papers(scored), ranking).select("rank", "original_rank", "paper_id", F.round("score", 6).alias("score"), "chunks")
+
+
+def reranked_texts(spark, directory):
+    """The hundred blocks with the largest share of the query's terms, ties in order of the blocks."""
+    terms = text.query_terms(QUERY)
+    hits = F.size(F.array_intersect(text.retrieval_tokens(F.col("text")), F.array(*[F.lit(t) for t in terms])))
+    rows = table(spark, directory, "md_blocks").select("block_no", (hits / len(terms)).alias("score")).distinct()
+    return rerank.ranked_texts(rows, "block_no", 100).select("rank", "block_no", F.round("score", 6).alias("score"))
+
+
+def chunk_ids(spark, directory):
+    rows = table(spark, directory, "chunks")
+    return rows.select("chunk_id", hashing.chunk_id().alias("made_id")).dropDuplicates(["chunk_id"])
+
+
+def subchunk_embeddings(spark, directory):
+    """Every chunk embedded by token hashing, in sub-chunks of 300 characters."""
+    made = embed.chunk_embeddings(table(spark, directory, "chunks"), lambda df, column: df.withColumn("vector", vector.token_hash_embedding(F.col(column), 128)), "token-hash", "v1", 128, 300, 40)
+    m = F.col("metadata")
+    return made.select("embedding_id", "chunk_id", m["source_chunk_id"].alias("source_chunk_id"), m["subchunk_index"].alias("subchunk_index"), m["subchunk_count"].alias("subchunk_count"), m["char_start"].alias("char_start"), m["char_end"].alias("char_end"), m["is_subchunk"].alias("is_subchunk"), F.size("vector").alias("size"), F.round(vector.norm(F.col("vector")), 6).alias("norm"))
+
+
+def manifest_reasons(spark, directory):
+    """Manifests of all papers with a fault in most, by the last two digits of the paper's id, checked against the chunks."""
+    chunks = table(spark, directory, "chunks").withColumn("folder", F.col("paper_id"))
+    fault = F.conv(F.substring("folder", -2, 2), 16, 10).cast("int") % 16
+    some = ("splitter_name", "splitter_version", "source_markdown_sha256", "source_pdf_sha256", "source_parser_name", "source_parser_version")
+    facts = chunks.groupBy("folder").agg(*[F.min(c).alias(c) for c in some], F.map_from_entries(F.min(F.array_sort(F.map_entries("splitter_options")))).alias("splitter_options"))
+    made = assets.manifests(chunks).select(F.col("paper_id").alias("folder"), "paper_id", "chunk_count", "chunk_ids").join(facts, "folder").join(assets.lines_sha256(chunks).withColumnRenamed("paper_id", "folder"), "folder")
+    made = made.withColumn("chunks_path", F.concat(F.lit("chunks/"), "folder"))
+    expected = made.select("folder", *[F.col(c).alias(f"e_{c}") for c in ("paper_id", "splitter_name", "splitter_version", "splitter_options", "chunks_path")])
+    wrong = {c: F.concat(F.coalesce(c, F.lit("")), F.lit("?")) for c in ("paper_id", "splitter_name", "splitter_version", "chunks_path", "lines_sha256", "source_markdown_sha256", "source_pdf_sha256", "source_parser_version")}
+    wrong |= {"splitter_options": F.map_from_arrays(F.array(F.lit("target")), F.array(F.lit(1).cast("bigint"))), "chunk_count": F.col("chunk_count") + 1, "chunk_ids": F.reverse(F.array_append("chunk_ids", F.lit("?")))}
+    order = ("paper_id", "splitter_name", "splitter_version", "splitter_options", "chunks_path", "chunk_count", "chunk_ids", "lines_sha256", "", "", "source_markdown_sha256", "source_pdf_sha256", "source_parser_version")
+    planted = made
+    for number, column in enumerate(order):
+        if column:
+            planted = planted.withColumn(column, F.when(fault == number, wrong[column]).otherwise(F.col(column)))
+    broken = chunks.withColumn("paper_id", F.when(fault == 8, F.lit("another")).otherwise(F.col("paper_id"))).withColumn("chunk_index", F.when((fault == 9) & (F.col("chunk_index") == 0), F.lit(-1)).otherwise(F.col("chunk_index")))
+    ids = planted.withColumn("lines_sha256", F.when(fault == 9, F.lit(None)).otherwise(F.col("lines_sha256")))
+    actual = assets.lines_sha256(broken.withColumn("paper_id", F.col("folder"))).select(F.col("paper_id").alias("folder"), F.col("lines_sha256").alias("renewed"))
+    ids = ids.join(actual, "folder").withColumn("lines_sha256", F.coalesce("lines_sha256", "renewed")).drop("renewed")
+    return assets.distribution(assets.manifest_reasons(ids, broken, expected).select(F.coalesce("reason", F.lit("sound")).alias("reason")), ["reason"])
+
+
 def _suite(spark, directory):
     """A ranking and judgments for each retriever and each paper-rich search: grades by the share of a hit's rank."""
     hits = table(spark, directory, "chunk_hits").dropDuplicates(["hit_no"]).where(F.col("paper_id").isNotNull() & F.col("score").isNotNull() & ~F.isnan("score"))
@@ -289,12 +362,22 @@ def page_markdown(spark, directory):
     return quality.page_markdown(pages).select("paper_id", "page_count", "char_count", F.sha2("markdown", 256).alias("markdown_hash"))
 
 
-def document_quality(spark, directory):
+def _checked(spark, directory):
     pages = table(spark, directory, "ocr_pages").dropDuplicates(["page_no"])
     titles = _papers(spark, directory).groupBy("key").agg(F.min("title").alias("title")).withColumnRenamed("key", "paper_id")
     documents = quality.page_markdown(pages).join(quality.parse_reports(pages), "paper_id").join(titles, "paper_id", "left")
-    checked = quality.quality_checks(documents, "paper_id")
-    return checked.select("paper_id", F.round("score", 6).alias("score"), "status", F.array_join(F.transform(F.filter("checks", lambda c: ~c["passed"]), lambda c: c["name"]), ",").alias("failed"))
+    return quality.quality_checks(documents, "paper_id")
+
+
+def document_quality(spark, directory):
+    failed = F.array_join(F.transform(F.filter("checks", lambda c: ~c["passed"]), lambda c: c["name"]), ",")
+    return _checked(spark, directory).select("paper_id", F.round("score", 6).alias("score"), "status", failed.alias("failed"))
+
+
+def document_checks(spark, directory):
+    """Every check of every document but that of its title, whose likeness SQL doesn't have."""
+    each = _checked(spark, directory).select("paper_id", F.explode("checks").alias("c")).where("c.name <> 'title_match'")
+    return each.select("paper_id", "c.name", "c.passed", F.round("c.score", 6).alias("score"), "c.weight", "c.critical")
 
 
 def _markdown(spark, directory):
@@ -310,8 +393,12 @@ def markdown_chunks(spark, directory):
 
 
 def token_hash_embeddings(spark, directory):
-    made = vector.token_hash_embedding(F.col("text"), 128)
-    return table(spark, directory, "chunks").select("chunk_id", made.alias("v")).dropDuplicates(["chunk_id"]).select("chunk_id", F.size("v").alias("size"), F.round(vector.norm(F.col("v")), 6).alias("norm"), F.transform(F.slice("v", 1, 4), lambda x: F.round(x, 6)).alias("first"))
+    """The embedding of every chunk by its size, length, four numbers, and the sum of all numbers by their places."""
+    made = table(spark, directory, "chunks").select("chunk_id", vector.token_hash_embedding(F.col("text"), 128).alias("v"))
+    v = F.col("v")
+    whole = F.aggregate(F.transform(v, lambda x, i: x * (i + 1)), F.lit(0.0), lambda t, x: t + x)
+    rows = made.select("chunk_id", F.size("v").alias("size"), F.round(vector.norm(v), 6).alias("norm"), *[F.round(v[i], 6).alias(f"v{i}") for i in (0, 1, 64, 127)], F.round(whole, 4).alias("by_place"))
+    return rows.dropDuplicates(["chunk_id"])
 
 
 def dossier_lines(spark, directory):
@@ -339,9 +426,9 @@ def flagship(spark: SparkSession, directory: str) -> DataFrame:
 
 
 NAMES = (
-    title_keys, chunk_tokens, bm25_chunks, bm25_papers, vector_chunks, vector_papers, hybrid_papers, vector_norms, segments, reranked_papers, ranking_metrics, macro_summary, suite_fusion, suite_chunks, suite_vectors, suite_hybrid, preprint_records, venue_counts,
+    title_keys, chunk_tokens, bm25_chunks, bm25_papers, vector_chunks, vector_papers, hybrid_papers, vector_norms, segments, reranked_papers, rerank_segments, reranked_hybrid, reranked_texts, chunk_ids, subchunk_embeddings, manifest_reasons, ranking_metrics, macro_summary, suite_fusion, suite_chunks, suite_vectors, suite_hybrid, preprint_records, venue_counts,
     source_statistics, field_completeness, complete_records, pdf_candidates, hits_in_known_papers, chunk_manifests, chunk_reasons, embedding_audit, embedding_distribution, embedding_ids, splitter_fingerprints,
-    topic_recall, topic_recall_stopwords, fuzzy_titles, merged_papers, migrated_papers, set_operations, title_functions, size_texts, page_markdown, document_quality, markdown_blocks, markdown_chunks, token_hash_embeddings, dossier_lines,
+    topic_recall, topic_recall_stopwords, fuzzy_titles, merged_papers, migrated_papers, set_operations, title_functions, size_texts, page_markdown, document_quality, document_checks, markdown_blocks, markdown_chunks, token_hash_embeddings, dossier_lines,
     html_articles, daily_events,
 )
 

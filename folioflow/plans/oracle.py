@@ -270,3 +270,99 @@ ORACLE["suite_vectors"] = f"""WITH {VECTORS},
 ORACLE["preprint_records"] = f"""WITH {RECORDS}
   SELECT title_id AS paper_id, count(*) AS n, max(len(list_filter(coalesce(authors, []), lambda a: trim(a.name, ' ') <> ''))) AS authors, max(length(trim(regexp_replace(coalesce(abstract, ''), '\\s+', ' ', 'g'), ' '))) AS longest,
     max('https://arxiv.org/pdf/' || regexp_extract(coalesce(base_urls['arxiv_url'], ''), '/abs/(.+)$', 1)) AS pdf FROM keyed WHERE title_id IS NOT NULL GROUP BY title_id"""
+
+_SEGMENTED = rf"""
+fused AS (SELECT coalesce(p.paper_id, s.paper_id) AS paper_id, 0.7 * coalesce(p.relative, 0.0) + 0.3 * coalesce(s.relative, 0.0) AS score, 0.7 * coalesce(p.rank_score, 0.0) + 0.3 * coalesce(s.rank_score, 0.0) AS rank_score
+  FROM p FULL JOIN s ON p.paper_id = s.paper_id),
+hybrid AS (SELECT row_number() OVER (ORDER BY round(score, 9) DESC, round(rank_score, 9) DESC, paper_id DESC) AS rank, paper_id FROM fused QUALIFY rank <= 60),
+near_chunks AS (
+  SELECT DISTINCT ON (e.embedding_no) c.paper_id, c.score, e.chunk_id FROM compared c JOIN chunk_embeddings e ON e.embedding_id = c.embedding_id),
+near_ranked AS (SELECT row_number() OVER (ORDER BY round(score, 12) DESC, paper_id DESC, chunk_id DESC) AS rank, * FROM near_chunks QUALIFY rank <= 300),
+evidence AS (
+  SELECT paper_id, chunk_id, 'bm25' AS source FROM (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY rank) AS p FROM hits) WHERE p <= 3
+  UNION SELECT paper_id, split_part(chunk_id, '::', 1), 'vector' FROM (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY rank) AS p FROM near_ranked) WHERE p <= 3),
+merged AS (SELECT e.paper_id, e.chunk_id, string_agg(DISTINCT source, '+' ORDER BY source) AS sources, any_value(c.text) AS text FROM evidence e JOIN once c ON c.chunk_id = e.chunk_id WHERE length(c.text) > 0 GROUP BY ALL),
+cut AS (SELECT h.rank AS original_rank, m.*, CASE WHEN length(text) <= 400 THEN 1 ELSE ((length(text) - 400 + 349) // 350) + 1 END AS n FROM merged m JOIN hybrid h ON h.paper_id = m.paper_id WHERE h.rank <= 40),
+each AS (SELECT *, unnest(range(n)) AS i FROM cut),
+segmented AS (SELECT original_rank, paper_id, chunk_id, CASE WHEN n = 1 THEN chunk_id ELSE chunk_id || '::rerank-segment-' || lpad(i::VARCHAR, 4, '0') END AS segment_id, n AS segment_count, i * 350 AS char_start,
+  least(i * 350 + 400, length(text)) AS char_end, sources, substring(text, i * 350 + 1, 400) AS segment FROM each)
+"""
+_HYBRID = f"""{BM25}, {VECTORS}, {_normalized("p", "bm25_papers")}, {_normalized("s", "vector_papers")}, {_SEGMENTED}"""
+_TERM_LIST = "[" + ", ".join(f"'{t}'" for t in QUERY_TERMS) + "]"
+ORACLE["rerank_segments"] = f"WITH {_HYBRID} SELECT original_rank, paper_id, segment_id, segment_count, char_start, char_end, false AS conflict, sources, sha256(segment) AS segment_hash FROM segmented"
+ORACLE["reranked_hybrid"] = f"""WITH {_HYBRID},
+  weighed AS (SELECT *, len(list_intersect(regexp_extract_all(lower(segment), '[a-z0-9]+(?:''[a-z0-9]+)?'), {_TERM_LIST})) / {len(QUERY_TERMS)}.0 AS score FROM segmented),
+  best_segments AS (SELECT * FROM weighed QUALIFY row_number() OVER (PARTITION BY paper_id, chunk_id ORDER BY score DESC, segment_id DESC) = 1),
+  top_segments AS (SELECT * FROM best_segments QUALIFY row_number() OVER (PARTITION BY paper_id ORDER BY score DESC, segment_id) <= 3),
+  averaged AS (SELECT paper_id, any_value(original_rank) AS original_rank, avg(score) AS score, count(*) AS chunks FROM top_segments GROUP BY paper_id)
+  SELECT row_number() OVER (ORDER BY round(score, 12) DESC, paper_id) AS rank, original_rank, paper_id, round(score, 6) AS score, chunks FROM averaged"""
+ORACLE["reranked_texts"] = f"""WITH blocks AS (SELECT DISTINCT block_no, len(list_intersect(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+(?:''[a-z0-9]+)?'), {_TERM_LIST})) / {len(QUERY_TERMS)}.0 AS score FROM md_blocks)
+  SELECT row_number() OVER (ORDER BY score DESC, block_no) AS rank, block_no, round(score, 6) AS score FROM blocks QUALIFY rank <= 100"""
+ORACLE["chunk_ids"] = r"""WITH once AS (SELECT DISTINCT ON (chunk_id) * FROM chunks ORDER BY chunk_id)
+  SELECT chunk_id, sha256('{"chunk_index":' || chunk_index || ',"content_sha256":"' || content_sha256 || '","page_end":' || page_end || ',"page_start":' || page_start || ',"paper_id":"' || paper_id || '","schema_version":1,"section_path":'
+    || to_json(section_path) || ',"source_markdown_sha256":"' || source_markdown_sha256 || '","source_parser_name":"' || source_parser_name || '","source_parser_version":"' || source_parser_version || '","source_pdf_sha256":"' || source_pdf_sha256
+    || '","splitter_name":"' || splitter_name || '","splitter_options":{' || array_to_string(list_transform(list_sort(map_entries(splitter_options)), lambda e: '"' || e.key || '":' || e.value), ',') || '},"splitter_version":"' || splitter_version || '"}') AS made_id FROM once"""
+ORACLE["subchunk_embeddings"] = r"""WITH once AS (SELECT DISTINCT ON (chunk_id) chunk_id, content_sha256, text FROM chunks WHERE length(text) > 0 ORDER BY chunk_id),
+  cut AS (SELECT *, CASE WHEN length(text) <= 300 THEN 1 ELSE ((length(text) - 300 + 259) // 260) + 1 END AS n FROM once),
+  pieces AS (SELECT *, unnest(range(n)) AS place FROM cut),
+  kept AS (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY place) - 1 AS i, count(*) OVER (PARTITION BY chunk_id) AS c FROM pieces WHERE n = 1 OR regexp_matches(substring(text, place * 260 + 1, 300), '\S')),
+  named AS (SELECT *, CASE WHEN c = 1 THEN chunk_id ELSE chunk_id || '::subchunk-' || lpad(i::VARCHAR, 4, '0') END AS own FROM kept)
+  SELECT sha256(own || chr(10) || 'token-hash' || chr(10) || 'v1' || chr(10) || '128' || chr(10) || content_sha256) AS embedding_id, own AS chunk_id, chunk_id AS source_chunk_id, i AS subchunk_index, c AS subchunk_count, place * 260 AS char_start,
+    least(place * 260 + 300, length(text)) AS char_end, c > 1 AS is_subchunk, 128 AS size, 1.0::DOUBLE AS norm FROM named"""
+ORACLE["manifest_reasons"] = """WITH papers_of AS (
+    SELECT paper_id, ('0x' || right(paper_id, 2))::INT % 16 AS fault, count(DISTINCT chunk_id) AS n, min(chunk_index) = 0 AND max(chunk_index) = count(DISTINCT chunk_id) - 1 AND count(DISTINCT chunk_index) = count(DISTINCT chunk_id) AS running,
+      count(DISTINCT source_markdown_sha256) = 1 AS one_markdown, count(DISTINCT source_pdf_sha256) = 1 AS one_pdf, count(DISTINCT source_parser_name) = 1 AND count(DISTINCT source_parser_version) = 1 AS one_parser FROM chunks GROUP BY paper_id)
+  SELECT CASE WHEN fault < 8 THEN ['paper_id', 'splitter_name', 'splitter_version', 'splitter_options', 'chunks_path', 'chunk_count', 'chunk_ids', 'chunks_sha256'][fault + 1] WHEN fault = 8 THEN 'chunk_paper_id'
+    WHEN fault = 9 OR NOT running THEN 'chunk_index' WHEN fault = 10 OR NOT one_markdown THEN 'chunk_markdown_sha256' WHEN fault = 11 OR NOT one_pdf THEN 'chunk_pdf_sha256' WHEN fault = 12 OR NOT one_parser THEN 'chunk_parser' ELSE 'sound' END AS reason,
+    count(*) AS n FROM papers_of GROUP BY 1"""
+ORACLE["token_hash_embeddings"] = r"""WITH once AS (SELECT DISTINCT ON (chunk_id) chunk_id, text FROM chunks ORDER BY chunk_id),
+  tokens AS (SELECT chunk_id, lower(unnest(regexp_extract_all(text, '[A-Za-z0-9_]+'))) AS t FROM once),
+  placed AS (SELECT chunk_id, ('0x' || substring(sha256(t), 1, 16))::UBIGINT % 128 AS b, CASE WHEN ('0x' || substring(sha256(t), 17, 2))::INT % 2 = 0 THEN 1.0 ELSE -1.0 END AS sign FROM tokens),
+  summed AS (SELECT chunk_id, b, sum(sign) AS x FROM placed GROUP BY ALL),
+  lengths AS (SELECT chunk_id, sqrt(sum(x * x)) AS l FROM summed GROUP BY chunk_id),
+  unit AS (SELECT chunk_id, b, x / l AS v FROM summed JOIN lengths USING (chunk_id))
+  SELECT chunk_id, 128 AS size, round(sqrt(sum(v * v)), 6) AS norm, round(coalesce(sum(v) FILTER (b = 0), 0.0), 6) AS v0, round(coalesce(sum(v) FILTER (b = 1), 0.0), 6) AS v1, round(coalesce(sum(v) FILTER (b = 64), 0.0), 6) AS v64,
+    round(coalesce(sum(v) FILTER (b = 127), 0.0), 6) AS v127, round(sum(v * (b::INT + 1)), 4) AS by_place FROM unit GROUP BY chunk_id"""
+ORACLE["document_checks"] = r"""WITH once AS (SELECT DISTINCT ON (page_no) *, trim(coalesce(text, ''), ' ' || chr(9) || chr(10) || chr(13)) AS t FROM ocr_pages ORDER BY page_no),
+  papers_of AS (SELECT paper_id, count(DISTINCT page_index) AS pages, sum(length(t)) AS chars, string_agg('<!-- page: ' || (page_index + 1) || ' -->' || chr(10) || chr(10) || t, chr(10) || chr(10) ORDER BY page_index) || chr(10) AS md,
+    count(*) AS rows_of, count(*) FILTER (success) AS good FROM once GROUP BY paper_id),
+  known AS (SELECT DISTINCT paper_id FROM papers_of),
+  measured AS (SELECT *, length(regexp_replace(regexp_replace(md, '<!--\s*page:\s*\d+\s*-->', '', 'g'), '^\s+|\s+$', '', 'g')) AS actual, len(regexp_extract_all(md, '<!--\s*page:\s*\d+\s*-->')) AS markers FROM papers_of),
+  rated AS (SELECT *, CASE WHEN greatest(chars, actual) = 0 THEN 1.0 ELSE least(chars, actual) / greatest(chars, actual) END AS ratio, actual / pages AS per_page FROM measured),
+  listed AS (SELECT paper_id, unnest([
+    {'name': 'markdown_exists', 'passed': true, 'score': 1.0::DOUBLE, 'weight': 2.0::DOUBLE, 'critical': true}, {'name': 'page_count_valid', 'passed': pages > 0, 'score': (pages > 0)::INT::DOUBLE, 'weight': 2.0::DOUBLE, 'critical': true},
+    {'name': 'page_markers_match', 'passed': markers = pages, 'score': least(markers / pages, 1.0)::DOUBLE, 'weight': 2.0::DOUBLE, 'critical': true}, {'name': 'markdown_non_empty', 'passed': actual > 0, 'score': (actual > 0)::INT::DOUBLE, 'weight': 2.0::DOUBLE, 'critical': true},
+    {'name': 'char_count_consistency', 'passed': ratio >= 0.95, 'score': ratio::DOUBLE, 'weight': 1.0::DOUBLE, 'critical': false}, {'name': 'average_chars_per_page', 'passed': per_page >= 100, 'score': least(per_page / 500, 1.0)::DOUBLE, 'weight': 1.0::DOUBLE, 'critical': false},
+    {'name': 'parse_report', 'passed': good = pages AND rows_of = pages, 'score': least(good / pages, 1.0)::DOUBLE, 'weight': 2.0::DOUBLE, 'critical': true}]) AS c FROM rated)
+  SELECT paper_id, c.name AS name, c.passed AS passed, round(c.score, 6) AS score, c.weight AS weight, c.critical AS critical FROM listed"""
+ORACLE["suite_hybrid"] = f"""WITH {TOKENS}, {VECTORS},
+  terms(case_id, term, terms) AS (VALUES {_ASKED}),
+  totals AS (SELECT count(*) AS n, avg(len(tokens)) AS average FROM weighted),
+  matched AS (SELECT * FROM (SELECT t.case_id, paper_id, chunk_index, chunk_id, len(tokens) AS length, term, terms, len(list_filter(tokens, lambda x: x = term)) AS tf FROM weighted CROSS JOIN terms t) WHERE tf > 0),
+  df AS (SELECT case_id, term, count(*) AS df FROM matched GROUP BY ALL),
+  scored AS (SELECT case_id, paper_id, chunk_index, chunk_id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * length / average))) AS score, count(*) / any_value(terms) AS coverage
+    FROM matched JOIN df USING (case_id, term) CROSS JOIN totals GROUP BY ALL),
+  lexical_hits AS (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY round(score, 9) DESC, coverage DESC, paper_id, chunk_index, chunk_id) AS rank FROM scored QUALIFY rank <= 300),
+  lexical_top AS (SELECT *, row_number() OVER (PARTITION BY case_id, paper_id ORDER BY round(score, 12) DESC, rank) AS place FROM lexical_hits QUALIFY place <= 3),
+  lexical AS (SELECT case_id, paper_id, score, row_number() OVER (PARTITION BY case_id ORDER BY round(score, 9) DESC, paper_id) AS rank FROM (
+    SELECT case_id, paper_id, max(score) + 0.5 * avg(score) + 0.5 * max(coverage) AS score FROM lexical_top GROUP BY ALL)),
+  turned AS (SELECT c AS case_id, list_concat(d[i + 1:], d[1:i])::DOUBLE[] AS q FROM (SELECT {DIRECTION} AS d), (VALUES ('c1', 0), ('c2', 1), ('c3', 2)) AS v(c, i)),
+  all_papers AS (SELECT DISTINCT paper_id FROM chunks),
+  vector_hits AS (SELECT case_id, paper_id, score, row_number() OVER (PARTITION BY case_id ORDER BY round(score, 12) DESC, paper_id DESC, embedding_id DESC) AS rank FROM (
+    SELECT case_id, paper_id, embedding_id, CASE WHEN list_sum(list_transform(vector, lambda x: x * x)) = 0 THEN 0.0 ELSE list_cosine_similarity(vector, q) END AS score FROM usable CROSS JOIN turned WHERE paper_id IN (SELECT paper_id FROM all_papers)) QUALIFY rank <= 300),
+  vector_top AS (SELECT *, row_number() OVER (PARTITION BY case_id, paper_id ORDER BY round(score, 12) DESC, rank) AS place FROM vector_hits QUALIFY place <= 3),
+  near_side AS (SELECT case_id, paper_id, score, row_number() OVER (PARTITION BY case_id ORDER BY round(score, 12) DESC, paper_id DESC) AS rank FROM (
+    SELECT case_id, paper_id, 0.7 * max(score) + 0.3 * avg(score) AS score FROM vector_top GROUP BY ALL)),
+  {_normalized("p", "lexical", "case_id")}, {_normalized("s", "near_side", "case_id")},
+  fused AS (SELECT coalesce(p.case_id, s.case_id) AS case_id, coalesce(p.paper_id, s.paper_id) AS paper_id, 0.7 * coalesce(p.relative, 0.0) + 0.3 * coalesce(s.relative, 0.0) AS score, 0.7 * coalesce(p.rank_score, 0.0) + 0.3 * coalesce(s.rank_score, 0.0) AS rank_score
+    FROM p FULL JOIN s ON p.case_id = s.case_id AND p.paper_id = s.paper_id),
+  ranking AS (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY round(score, 9) DESC, round(rank_score, 9) DESC, paper_id DESC) AS rank FROM fused QUALIFY rank <= 20),
+  judged AS (SELECT case_id, paper_id, ('0x' || substring(paper_id, i, 1))::INT % 4 AS grade FROM all_papers CROSS JOIN (VALUES ('c1', 1), ('c2', 2), ('c3', 3)) AS v(case_id, i)),
+  ideal AS (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY grade DESC, paper_id) AS place FROM judged),
+  ks AS (SELECT unnest([1, 5, 10]) AS k),
+  wide AS (SELECT case_id, k, count(*) FILTER (grade >= 2) AS relevant_count, sum(CASE WHEN place <= k THEN (pow(2, grade) - 1) / log2(place + 1) ELSE 0 END) AS ideal FROM ideal CROSS JOIN ks GROUP BY ALL),
+  met AS (SELECT r.case_id, r.rank, coalesce(grade, 0) AS grade, (coalesce(grade, 0) >= 2)::INT AS relevant, sum((coalesce(grade, 0) >= 2)::INT) OVER (PARTITION BY r.case_id ORDER BY r.rank) AS seen FROM ranking r LEFT JOIN judged j ON j.case_id = r.case_id AND j.paper_id = r.paper_id),
+  actual AS (SELECT case_id, k, count(*) AS retrieved_count, sum(CASE WHEN rank <= k THEN relevant ELSE 0 END) AS found, sum(CASE WHEN rank <= k THEN (pow(2, grade) - 1) / log2(rank + 1) ELSE 0 END) AS gain, min(CASE WHEN relevant = 1 THEN rank END) AS first,
+    sum(CASE WHEN relevant = 1 THEN seen / rank ELSE 0 END) AS precisions FROM met CROSS JOIN ks GROUP BY ALL)
+  SELECT case_id, k, round(found / k, 6) AS precision, round(CASE WHEN relevant_count > 0 THEN found / relevant_count ELSE 0.0 END, 6) AS recall, round(CASE WHEN ideal > 0 THEN gain / ideal ELSE 0.0 END, 6) AS ndcg, round(coalesce(1.0 / first, 0.0), 6) AS reciprocal_rank,
+    round(CASE WHEN relevant_count > 0 THEN precisions / relevant_count ELSE 0.0 END, 6) AS average_precision, relevant_count, retrieved_count FROM wide JOIN actual USING (case_id, k)"""

@@ -42,9 +42,25 @@ def paged_source(name: str, schema: str, parts: Sequence[str], fetch: Callable[[
 
 def scored(df: DataFrame, text: str, score: Callable[[list[str]], list[float]], batch: int = 16, name: str = "score") -> DataFrame:
     """``df`` with a score for each text, asked for in batches; a null text gets null, and an answer of another length is an error."""
+    return _asked(df, text, score, batch, name, None)
+
+
+def embedded(df: DataFrame, text: str, embed: Callable[[list[str]], list[Sequence[float]]], dimension: int, batch: int = 16, name: str = "vector") -> DataFrame:
+    """``df`` with a vector of ``dimension`` numbers for each text, asked for in batches; null for a null text, and an error for another answer."""
+    return _asked(df, text, embed, batch, name, dimension)
+
+
+def _asked(df: DataFrame, text: str, ask: Callable, batch: int, name: str, dimension: int | None) -> DataFrame:
     from pyspark.sql import types as T
 
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType())])
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.DoubleType() if dimension is None else T.ArrayType(T.DoubleType()))])
+
+    def made(answer):
+        if dimension is None:
+            return float(answer)
+        if len(answer) != dimension:
+            raise ValueError(f"a vector of {len(answer)} numbers, not {dimension}")
+        return [float(x) for x in answer]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -52,10 +68,10 @@ def scored(df: DataFrame, text: str, score: Callable[[list[str]], list[float]],
             known = frame.index[frame[text].notna()]
             for at in range(0, len(known), batch):
                 rows = known[at : at + batch]
-                answers = score(frame.loc[rows, text].tolist())
+                answers = ask(frame.loc[rows, text].tolist())
                 if len(answers) != len(rows):
-                    raise ValueError(f"{len(rows)} texts, but {len(answers)} scores")
-                out.loc[rows] = [float(x) for x in answers]
-            yield frame.assign(**{name: out.astype("float64")})
+                    raise ValueError(f"{len(rows)} texts, but {len(answers)} answers")
+                out.loc[rows] = pd.Series([made(x) for x in answers], index=rows, dtype="object")
+            yield frame.assign(**{name: out.astype("float64") if dimension is None else out})
 
     return df.mapInPandas(run, schema)
