@@ -116,16 +116,16 @@ records AS (
   FROM papers),
 ranked AS (
   SELECT r.*, g.trust,
-    CASE WHEN venue IS NULL OR regexp_matches(venue, '^([^\p{L}\p{N}]*|unknown|none|null|tbd|n/a)$')
-           OR regexp_matches(venue, 'submi|pending|review|withdr|reject') THEN NULL
-         WHEN contains(venue, 'arxiv') THEN 1 ELSE 2 END AS acceptance,
+    CASE WHEN venue IS NULL OR regexp_matches(venue, '^([^\p{L}\p{N}]*|unknown|none|null|nil|nan|tbd|tba|n ?/? ?a|n\. ?a\.?|not available|undefined|missing|todo|test)$')
+           OR regexp_matches(venue, '\b(submit\w*|submission\w*|pending|review|reviewed|withdraw\w*|withdrew|reject\w*|declined|retracted|unpublished)\b') OR NOT regexp_matches(venue, '\p{L}{2}') THEN NULL
+         WHEN regexp_matches(venue, 'arxiv|preprint|\bcorr\b') THEN 1 ELSE 2 END AS acceptance,
     list_sort(list_distinct(list_filter(list_transform(map_values(base_urls), lambda x: trim(x)), lambda x: regexp_matches(x, '^https?://[^/]+\.[^/.]')))) AS urls,
     list_sort(list_filter(list_distinct(list_transform(seen_in_sources, lambda x: lower(trim(regexp_replace(x, '\s+', ' ', 'g'))))),
       lambda x: list_contains(l.names, x))) AS sources
   FROM records r CROSS JOIN (SELECT list(name) AS names FROM registry) l LEFT JOIN registry g ON g.name = r.src
   WHERE pid IS NOT NULL),
 """
-P1_FOUND = (
+P1_BEST = (
     P1_RECORDS
     + """
 long AS (
@@ -133,10 +133,23 @@ long AS (
   UNION ALL SELECT pid, 'base_urls', record_no, nullif(len(urls), 0), trust, crawled_at FROM ranked
   UNION ALL SELECT pid, 'seen_in_sources', record_no, nullif(len(sources), 0), trust, crawled_at FROM ranked),
 best AS (
-  SELECT *, row_number() OVER (PARTITION BY pid, field_name ORDER BY score DESC, trust DESC NULLS LAST, crawled_at DESC NULLS LAST, record_no) AS rn
-  FROM long WHERE score IS NOT NULL)
+  SELECT * FROM long WHERE score IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY pid, field_name ORDER BY score DESC, trust DESC NULLS LAST, crawled_at DESC NULLS LAST, record_no) = 1)
+"""
+)
+P1_FOUND = (
+    P1_BEST
+    + """
 SELECT pid AS paper_id, field_name, record_no FROM best
-WHERE rn = 1 AND pid IN (SELECT pid FROM records GROUP BY pid HAVING count(DISTINCT record_no) > 1)
+WHERE pid IN (SELECT pid FROM records GROUP BY pid HAVING count(DISTINCT record_no) > 1)
+"""
+)
+P1_SURVIVING = (
+    P1_BEST
+    + """
+SELECT p.pid AS paper_id, max(trim(r.accepted_by, ' ')) FILTER (b.field_name = 'accepted_by') AS accepted_by, max(array_to_string(r.urls, ' ')) FILTER (b.field_name = 'base_urls') AS base_urls,
+  max(array_to_string(r.sources, '|')) FILTER (b.field_name = 'seen_in_sources') AS seen_in_sources
+FROM (SELECT DISTINCT pid FROM ranked) p LEFT JOIN best b ON b.pid = p.pid LEFT JOIN ranked r ON r.pid = b.pid AND r.record_no = b.record_no GROUP BY p.pid
 """
 )
 P3_FOUND = """
@@ -168,4 +181,4 @@ SELECT block_no FROM body WHERE n > 3200 AND NOT EXISTS (SELECT 1 FROM good WHER
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_FOUND, "p3_found": P3_FOUND, "p5_found": P5_FOUND}
+    return {"p1_found": P1_FOUND, "p1_surviving_records": P1_SURVIVING, "p3_found": P3_FOUND, "p5_found": P5_FOUND}

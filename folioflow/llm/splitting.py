@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioflow.functions.lookup import fresh_names
+from folioflow.session import cut_lineage
 
 # Every character that is white space by its Unicode property or by convention.
 WHITE = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -181,7 +182,7 @@ def pieces_to_make(blocks: DataFrame, audit: DataFrame, sizes: Pieces = Pieces()
 
     Repeated blocks count once; blocks without a number are left out.
     """
-    long = blocks.where(F.col("block_no").isNotNull() & (F.length(stripped(F.col("text"))) > sizes.limit)).dropDuplicates(["block_no"])
+    long = cut_lineage(blocks.where(F.col("block_no").isNotNull() & (F.length(stripped(F.col("text"))) > sizes.limit)).dropDuplicates(["block_no"]))
     lengths = long.select("block_no", F.length(stripped(F.col("text"))).alias("characters"))
     open_ = long.join(soundly_split(lengths, audit, sizes), "block_no", "left_anti")
     return split_texts(open_, "text", sizes)
