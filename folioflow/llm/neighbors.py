@@ -56,8 +56,8 @@ class PermutationIndex:
 
 #: Versions that may come to the driver, bytes of pivots of all dimensions that are broadcast, and the largest number a permutation can hold.
 VERSIONS, PIVOT_BYTES, MOST_PIVOTS = 1_000, 32_000_000, 65_535
-#: Tasks of the search at most; there are as many as chunks of postings.
-MOST_TASKS = 20_000
+#: Tasks of the search at most; there are as many as chunks of postings. Large cells up to this number are sent to all tasks; more are joined by a shuffle.
+MOST_TASKS, SENT_CELLS = 20_000, 500_000
 #: Steps from cosine 0 to 1 in the order of pivots; coarser than the noise of single precision.
 STEPS = 2**18
 
@@ -279,8 +279,12 @@ def _posted(distinct: DataFrame, index: PermutationIndex) -> DataFrame:
     whole = distinct.select("version", "cells", F.col("ids")[0].alias("id"), F.concat(head, ids, "permutation", "packed").alias("member"))
     each = whole.select("version", F.explode("cells").alias("cell"), "id", "member").select(number.alias("number"), "id", "member")
     sizes = distinct.select("version", F.explode("cells").alias("cell")).groupBy(number.alias("number")).agg(F.count(F.lit(1)).alias("c"))
-    large = sizes.where(F.col("c") > index.chunk).select("number", F.ceil(F.col("c") / index.chunk).cast("int").alias("blocks"))
-    divided = each.join(large, "number", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    large = cut_lineage(sizes.where(F.col("c") > index.chunk).select("number", F.ceil(F.col("c") / index.chunk).cast("int").alias("blocks")))
+    many = large.limit(SENT_CELLS + 1).count()
+    divided = each.withColumn("blocks", F.lit(1))
+    if many:
+        found = each.join(F.broadcast(large) if many <= SENT_CELLS else large, "number", "left")
+        divided = found.withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     rows = divided.select("number", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "member")
     block = F.shiftleft(F.col("number"), BLOCK_BITS) + F.col("block")
