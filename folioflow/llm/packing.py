@@ -65,25 +65,27 @@ def pack(sizes: np.ndarray, limits: np.ndarray) -> list[list[int]]:
 
 
 def fill_containers(
-    df: DataFrame, key: str, text: str, capacity: int = 2048, max_segments: int = 64, loss: Column | None = None, max_loss: int | None = None, path: str = VOCABULARY, block: int = BLOCK
+    df: DataFrame, key: str, text: str, capacity: int = 2048, max_segments: int = 64, prompt: Column | None = None, max_loss: int | None = None, path: str = VOCABULARY, block: int = BLOCK
 ) -> DataFrame:
     """``key``, ``piece``, ``token_start``, ``token_end``, ``loss``, ``container``, ``slot``: where each text, or each piece of an oversized one, goes.
 
     A container holds at most ``capacity`` tokens, ``max_segments`` segments and ``max_loss`` loss-bearing tokens (default: ``capacity``).
-    ``loss`` is the number of loss-bearing tokens, the last ones of a text; where it is null, every token of a segment but the first bears loss.
+    ``prompt`` is the beginning of a text that bears no loss; where it is null, every token of a segment but the first bears loss.
 
     - A text is never split unless it alone has more than ``capacity`` tokens; such a one is cut into consecutive pieces (from 0), all but the last
       as long as can be. A segment that alone bears more loss than ``max_loss`` stays whole, and nothing else that bears loss is put beside it.
     - Null and empty texts have no tokens and one segment with start and end 0. Null keys and repeated keys or rows are packed as they come,
-      each row for itself. A negative ``loss`` is 0. The empty table gives no rows; other columns are ignored.
+      each row for itself. The empty table gives no rows; other columns are ignored.
     - Container numbers are unique; those of one task follow one another. The same rows give the same containers, however they are partitioned.
     """
     if capacity < 1 or max_segments < 1 or (max_loss is not None and max_loss < 1):
         raise ValueError("limits must be at least 1")
     most_loss = capacity if max_loss is None else max_loss
-    bearing = F.lit(None) if loss is None else loss
+    count = token_counts(df.sparkSession, path)
     tasks = max(1, -(-df.count() // ROWS_A_TASK))
-    rows = df.select(F.col(f"`{key}`").alias("key"), token_counts(df.sparkSession, path)(F.col(f"`{text}`")).alias("tokens"), bearing.cast("int").alias("loss"))
+    asked = F.lit(None).cast("int") if prompt is None else F.when(prompt.isNotNull(), count(prompt))
+    rows = df.select(F.col(f"`{key}`").alias("key"), count(F.col(f"`{text}`")).alias("tokens"), asked.alias("asked"))
+    rows = rows.select("key", "tokens", F.greatest(F.col("tokens") - F.col("asked"), F.when(F.col("asked").isNotNull(), 0)).alias("loss"))
     rows = rows.repartition(tasks, "key", "tokens").sortWithinPartitions("key", "tokens", "loss")
     kind = rows.schema["key"].dataType.simpleString()
     limits = np.array([capacity, max_segments, most_loss])

@@ -77,9 +77,8 @@ def p7_ids(spark: SparkSession, directory: str) -> DataFrame:
 def p8_containers(spark: SparkSession, directory: str) -> DataFrame:
     """A text's first line asks and bears no loss, the rest answers; a text of one line bears loss throughout. At most 24 texts and 2,032 loss-bearing tokens a container."""
     documents = table(spark, directory, "documents")
-    asks = F.instr("text", "\n")
-    rest = F.when(asks > 0, encoding.token_counts(spark)(F.substr("text", asks + 1)))
-    return packing.fill_containers(documents, "doc_id", "text", loss=rest, max_segments=24, max_loss=2032)
+    first = F.when(F.contains("text", F.lit("\n")), F.substring_index("text", "\n", 1))
+    return packing.fill_containers(documents, "doc_id", "text", prompt=first, max_segments=24, max_loss=2032)
 
 
 def p8_fill(spark: SparkSession, directory: str) -> DataFrame:
