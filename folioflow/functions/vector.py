@@ -73,6 +73,11 @@ def _embedded(texts: pd.Series, dimension: int) -> pd.Series:
     return texts.map(of)
 
 
+def token_hash_vector(text: str, dimension: int = 128) -> list[float] | None:
+    """``token_hash_embedding`` of one text."""
+    return _embedded(pd.Series([text]), dimension)[0]
+
+
 def token_hash_embedding(text: Column, dimension: int = 128) -> Column:
     """Signed token hashing into ``dimension`` buckets, of unit length; a text without tokens is hashed whole; null for a blank text."""
     if dimension < 1:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -51,9 +51,40 @@ def unknown_ranked(rankings: DataFrame, judgments: DataFrame) -> DataFrame:
     return rankings.join(judgments.select("case_id", "paper_id"), ["case_id", "paper_id"], "left_anti")
 
 
+def saved_ranking(results: DataFrame, json: str, case: str = "case_id") -> tuple[DataFrame, DataFrame]:
+    """``case_id, rank, paper_id`` from saved results as JSON (``paper_search_result.hits[].paper_id``), and ``case_id, reason`` of those that aren't sound.
+
+    A result is left out if it has no list of hits, a hit without an id, or an id twice. Ranks count from 1 in order of the list.
+    """
+    schema = "struct<paper_search_result: struct<hits: array<struct<paper_id: string>>>>"
+    ids = F.transform(F.from_json(json, schema)["paper_search_result"]["hits"], lambda h: F.trim(h["paper_id"]))
+    read = results.select(F.col(case).alias("case_id"), ids.alias("ids"))
+    blank = F.exists("ids", lambda x: F.coalesce(x, F.lit("")) == "")
+    reason = F.when(F.col("ids").isNull(), "no_hits").when(blank, "hit_without_id").when(F.size(F.array_distinct("ids")) < F.size("ids"), "repeated_id")
+    judged = read.withColumn("reason", reason)
+    placed = judged.where("reason is null").select("case_id", F.posexplode("ids").alias("at", "paper_id"))
+    return placed.select("case_id", (F.col("at") + 1).alias("rank"), "paper_id"), judged.where("reason is not null").select("case_id", "reason")
+
+
+def unsound_cases(results: DataFrame, cases: DataFrame) -> DataFrame:
+    """``case_id, reason`` of results (``case_id, query``) that don't belong to the dataset's ``cases`` (``case_id, query``): unknown, repeated, or of another query text."""
+    known = cases.groupBy("case_id").agg(F.min("query").alias("asked"), F.count(F.lit(1)).alias("c"))
+    counted = results.groupBy("case_id").agg(F.min("query").alias("low"), F.max("query").alias("high"), F.count(F.lit(1)).alias("n")).join(known, "case_id", "left")
+    same = (F.col("low") == F.col("asked")) & (F.col("high") == F.col("asked"))
+    reason = F.when(F.col("c").isNull(), "unknown_case").when(F.col("c") > 1, "case_twice_in_dataset").when(F.col("n") > 1, "case_twice_in_results").when(~F.coalesce(same, F.lit(False)), "another_query")
+    return counted.select("case_id", reason.alias("reason")).where("reason is not null")
+
+
+def macro_summaries(metrics: DataFrame, run: str = "run", k: int = 5) -> DataFrame:
+    """``macro_summary`` of every run: one row each, with the column ``run``."""
+    return metrics.where(F.col("k") == k).groupBy(run).agg(*_macro())
+
+
+def _macro() -> list[Column]:
+    means = [F.avg(c).alias(f"macro_{c}") for c in ("reciprocal_rank", "average_precision", "precision", "recall", "ndcg")]
+    return [F.count(F.lit(1)).alias("cases"), *means, F.min_by("case_id", F.struct("average_precision", "case_id")).alias("hardest_case")]
+
+
 def macro_summary(metrics: DataFrame, k: int = 5) -> DataFrame:
     """One row: the means over all cases and the case with the lowest average precision (the smaller id on a tie)."""
-    return metrics.where(F.col("k") == k).agg(
-        F.count(F.lit(1)).alias("cases"), *[F.avg(c).alias(f"macro_{c}") for c in ("reciprocal_rank", "average_precision", "precision", "recall", "ndcg")],
-        F.min_by("case_id", F.struct("average_precision", "case_id")).alias("hardest_case"),
-    )
+    return metrics.where(F.col("k") == k).agg(*_macro())

@@ -17,6 +17,14 @@ def normalized_scores(ranking: DataFrame, by: list[str]) -> DataFrame:
     return ranking.withColumn("relative", relative).withColumn("rank_score", F.when(n == 1, F.lit(1.0)).otherwise(1.0 - (F.col("rank") - 1) / (n - 1)))
 
 
+def united_ids(*parts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """``*by, ids``: the ids of all parts (``*by, paper_id``) once each, in order of the alphabet."""
+    every = parts[0].select(*by, "paper_id")
+    for part in parts[1:]:
+        every = every.unionByName(part.select(*by, "paper_id"))
+    return every.groupBy(*by).agg(F.array_sort(F.collect_set("paper_id")).alias("ids"))
+
+
 def fuse(primary: DataFrame, secondary: DataFrame, primary_weight: float = 0.7, secondary_weight: float = 0.3, limit: int = 10, by: tuple[str, ...] = ()) -> DataFrame:
     """``*by, rank, paper_id, score, rank_score, primary_relative, secondary_relative``; a paper missing on one side counts 0 there.
 

@@ -109,3 +109,10 @@ def backend_statistics(pages: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("pages"), F.count_if("fine").alias("successful"), F.count_if("failed").alias("with_error"), F.count_distinct("paper_id").alias("papers"), F.sum("size").alias("characters"),
         F.sum(F.coalesce("duration_seconds", F.lit(0.0))).alias("seconds"), F.max("page_index").alias("last_page"),
     )
+
+
+def run_counters(results: DataFrame, by: list[str], total: str = "all") -> DataFrame:
+    """``*by, n`` for every combination of the outcome columns, and a last kind of row with ``total`` in all of them; null outcomes count as <missing>."""
+    named = [F.coalesce(F.col(c).cast("string"), F.lit("<missing>")).alias(c) for c in by]
+    counts = results.select(*named).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    return counts.unionByName(counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).select(*[F.lit(total).alias(c) for c in by], "n"))

@@ -43,6 +43,11 @@ def equals(df: DataFrame, path: str, value) -> DataFrame:
     return df.where(F.array_contains(column, value) if kind.startswith("array") else column == value)
 
 
+def by_key(df: DataFrame, key: str, value) -> DataFrame:
+    """The row with this key, or none; of repeated rows one."""
+    return df.where(F.col(f"`{key}`") == value).limit(1)
+
+
 def by_keys(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """Rows whose key is in the first column of ``keys``."""
     return df.join(keys.select(F.col(keys.columns[0]).alias(key)).distinct(), key, "left_semi")

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.functions.text import query_terms
-from folioflow.functions.vector import cosine_with, is_usable
-from folioflow.operators import evaluate, fusion
+from folioflow.functions.vector import cosine_with, is_usable, token_hash_embedding, token_hash_vector
+from folioflow.operators import embed, evaluate, fusion
 from folioflow.operators.search import Bm25, numbered, steady, term_counts
+from folioflow.session import cut_lineage
 
 #: Cases whose terms or vectors become literals of one plan.
 MOST_CASES = 1000
@@ -78,3 +79,27 @@ def hybrid_suite(chunks: DataFrame, embeddings: DataFrame, cases: Sequence[tuple
     fused = fusion.fuse(lexical, near, 0.7, 0.3, limit, ("case_id",))
     metrics = evaluate.ranking_metrics(fused, judgments, ks, minimum_relevance)
     return fused, metrics, evaluate.macro_summary(metrics, 5 if 5 in ks else ks[0])
+
+
+def token_hash_suite(chunks: DataFrame, cases: Sequence[tuple[str, str]], judgments: DataFrame, ks: Sequence[int] = (1, 3, 5, 10), limit: int = 10, minimum_relevance: int = 1, dimension: int = 128, max_chars: int = 3200, overlap_chars: int = 200) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rankings, metrics and macro summary of cases whose queries and chunks are embedded by token hashing; the candidates of a case are its judged papers."""
+    made = embed.chunk_embeddings(chunks, lambda df, c: df.withColumn("vector", token_hash_embedding(F.col(c), dimension)), "token-hash", "v1", dimension, max_chars, overlap_chars)
+    queries = [(case, token_hash_vector(query, dimension)) for case, query in cases]
+    hits = vector_cases(cut_lineage(made.select("paper_id", "chunk_id", "vector")), queries, candidates=judgments.select("case_id", "paper_id"))
+    ranked = papers_of_cases(hits, limit, 3, 0.7, 0.3, descending_ids=True)
+    metrics = evaluate.ranking_metrics(ranked, judgments, ks, minimum_relevance)
+    return ranked, metrics, evaluate.macro_summary(metrics, 5 if 5 in ks else ks[0])
+
+
+def rerank_suite(ranking: DataFrame, segments: DataFrame, judgments: DataFrame, ks: Sequence[int] = (1, 3, 5, 10), minimum_relevance: int = 1, top_chunks: int = 3) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Reranked lists of all cases with their original ranks, metrics and macro summary.
+
+    ``ranking`` has ``case_id, rank, paper_id``; ``segments`` has ``case_id, paper_id, chunk_id, segment_id, score``. Ways of ranking as in ``rerank.reranked_papers``.
+    """
+    best = numbered(segments, [steady("score"), F.desc("segment_id")], ["case_id", "paper_id", "chunk_id"], "p").where("p = 1").drop("p")
+    top = numbered(best, [steady("score"), F.asc("segment_id")], ["case_id", "paper_id"], "p").where(F.col("p") <= top_chunks)
+    papers = numbered(top.groupBy("case_id", "paper_id").agg(F.avg("score").alias("score"), F.count(F.lit(1)).alias("chunks")), [steady("score"), F.asc("paper_id")], ["case_id"])
+    before = ranking.select("case_id", "paper_id", F.col("rank").alias("original_rank"))
+    reranked = papers.join(before, ["case_id", "paper_id"], "left").withColumn("original_rank", F.coalesce("original_rank", F.lit(0)))
+    metrics = evaluate.ranking_metrics(reranked, judgments, ks, minimum_relevance)
+    return reranked.select("case_id", "rank", "paper_id", "score", "chunks", "original_rank"), metrics, evaluate.macro_summary(metrics, 5 if 5 in ks else ks[0])

@@ -233,6 +233,58 @@ def suite_hybrid(spark, directory):
     return metrics.select("case_id", "k", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "ndcg", "reciprocal_rank", "average_precision")], "relevant_count", "retrieved_count")
 
 
+def _graded(spark, directory):
+    """Grades of all papers for three cases, by digits of their ids."""
+    grade = F.explode(F.array(*[F.struct(F.lit(c).alias("case_id"), (F.conv(F.substring("paper_id", 1 + i, 1), 16, 10).cast("int") % 4).alias("relevance")) for i, (c, _) in enumerate(CASES)]))
+    return table(spark, directory, "chunks").select("paper_id").distinct().select("paper_id", grade.alias("g")).select("g.case_id", "paper_id", "g.relevance")
+
+
+def suite_token_hash(spark, directory):
+    ranked, _, _ = suites.token_hash_suite(table(spark, directory, "chunks"), CASES, _graded(spark, directory), (1, 5, 10), 20, 2)
+    return ranked.select("case_id", "rank", "paper_id", F.round("score", 6).alias("score"))
+
+
+def suite_rerank(spark, directory):
+    """The lexical rankings of three cases reranked by how many of a chunk's first tokens are query terms."""
+    chunks = table(spark, directory, "chunks")
+    hits = suites.bm25_cases(chunks, CASES, 200)
+    ranking = suites.papers_of_cases(hits, 40, 3, 1.0, 0.5, 0.5)
+    scored = hits.select("case_id", "paper_id", "chunk_id", F.col("chunk_id").alias("segment_id"), F.col("coverage").alias("score"))
+    reranked, _, _ = suites.rerank_suite(ranking, scored.join(ranking.select("case_id", "paper_id"), ["case_id", "paper_id"], "left_semi"), _graded(spark, directory))
+    return reranked.select("case_id", "rank", "original_rank", "paper_id", F.round("score", 6).alias("score"), "chunks")
+
+
+def saved_rankings(spark, directory):
+    """Rankings of all searches saved as JSON and read again: how many ids each holds, or why it isn't sound."""
+    hits = table(spark, directory, "chunk_hits").dropDuplicates(["hit_no"]).where("paper_id is not null")
+    saved = hits.groupBy(F.concat_ws("/", "search_id", "retriever_name").alias("case_id")).agg(F.array_sort(F.collect_list(F.struct("hit_rank", "hit_no", "paper_id"))).alias("l"))
+    json = F.to_json(F.struct(F.struct(F.transform("l", lambda x: F.struct(x["paper_id"].alias("paper_id"))).alias("hits")).alias("paper_search_result")))
+    good, bad = evaluate.saved_ranking(saved.select("case_id", json.alias("j")), "j")
+    return good.groupBy("case_id").agg(F.lit("sound").alias("reason"), F.count(F.lit(1)).alias("ids")).unionByName(bad.select("case_id", "reason", F.lit(0).cast("bigint").alias("ids")))
+
+
+def run_counters(spark, directory):
+    """Outcomes of page recognition by backend, whether it succeeded, and whether it noted an error."""
+    pages = table(spark, directory, "ocr_pages").dropDuplicates(["page_no"])
+    return quality.run_counters(pages.select("backend_name", "success", (F.coalesce("error_note", F.lit("")) != "").alias("noted")), ["backend_name", "success", "noted"])
+
+
+def run_summaries(spark, directory):
+    """The macro summary of each retriever's rankings."""
+    ranked, judged = _suite(spark, directory)
+    metrics = evaluate.ranking_metrics(ranked, judged, (5,), 2).withColumn("run", F.substring_index("case_id", "/", -1))
+    summary = evaluate.macro_summaries(metrics)
+    return summary.select("run", "cases", *[F.round(c, 6).alias(c) for c in summary.columns if c.startswith("macro_")])
+
+
+def missing_papers(spark, directory):
+    """For each search the papers that one retriever has hit and the other hasn't, united."""
+    hits = table(spark, directory, "chunk_hits").where("paper_id is not null").select("search_id", "retriever_name", "paper_id").distinct()
+    texts, near = (hits.where(F.col("retriever_name") == n).select("search_id", "paper_id") for n in ("bm25_fulltext", "vector"))
+    parts = [a.join(b, ["search_id", "paper_id"], "left_anti") for a, b in ((texts, near), (near, texts))]
+    return fusion.united_ids(*parts, by=("search_id",)).select("search_id", F.array_join("ids", ",").alias("ids"))
+
+
 def preprint_records(spark, directory):
     """Crawl records read as preprint results and projected to paper records."""
     papers = table(spark, directory, "papers").dropDuplicates(["record_no"])
@@ -426,7 +478,7 @@ def flagship(spark: SparkSession, directory: str) -> DataFrame:
 
 
 NAMES = (
-    title_keys, chunk_tokens, bm25_chunks, bm25_papers, vector_chunks, vector_papers, hybrid_papers, vector_norms, segments, reranked_papers, rerank_segments, reranked_hybrid, reranked_texts, chunk_ids, subchunk_embeddings, manifest_reasons, ranking_metrics, macro_summary, suite_fusion, suite_chunks, suite_vectors, suite_hybrid, preprint_records, venue_counts,
+    title_keys, chunk_tokens, bm25_chunks, bm25_papers, vector_chunks, vector_papers, hybrid_papers, vector_norms, segments, reranked_papers, rerank_segments, reranked_hybrid, reranked_texts, chunk_ids, subchunk_embeddings, manifest_reasons, ranking_metrics, macro_summary, suite_fusion, suite_chunks, suite_vectors, suite_hybrid, suite_token_hash, suite_rerank, saved_rankings, run_counters, run_summaries, missing_papers, preprint_records, venue_counts,
     source_statistics, field_completeness, complete_records, pdf_candidates, hits_in_known_papers, chunk_manifests, chunk_reasons, embedding_audit, embedding_distribution, embedding_ids, splitter_fingerprints,
     topic_recall, topic_recall_stopwords, fuzzy_titles, merged_papers, migrated_papers, set_operations, title_functions, size_texts, page_markdown, document_quality, document_checks, markdown_blocks, markdown_chunks, token_hash_embeddings, dossier_lines,
     html_articles, daily_events,

@@ -366,3 +366,35 @@ ORACLE["suite_hybrid"] = f"""WITH {TOKENS}, {VECTORS},
     sum(CASE WHEN relevant = 1 THEN seen / rank ELSE 0 END) AS precisions FROM met CROSS JOIN ks GROUP BY ALL)
   SELECT case_id, k, round(found / k, 6) AS precision, round(CASE WHEN relevant_count > 0 THEN found / relevant_count ELSE 0.0 END, 6) AS recall, round(CASE WHEN ideal > 0 THEN gain / ideal ELSE 0.0 END, 6) AS ndcg, round(coalesce(1.0 / first, 0.0), 6) AS reciprocal_rank,
     round(CASE WHEN relevant_count > 0 THEN precisions / relevant_count ELSE 0.0 END, 6) AS average_precision, relevant_count, retrieved_count FROM wide JOIN actual USING (case_id, k)"""
+ORACLE["run_counters"] = """WITH once AS (SELECT DISTINCT ON (page_no) * FROM ocr_pages ORDER BY page_no),
+  counted AS (SELECT coalesce(backend_name, '<missing>') AS backend_name, coalesce(success::VARCHAR, '<missing>') AS success, (coalesce(error_note, '') <> '')::VARCHAR AS noted, count(*) AS n FROM once GROUP BY ALL)
+  SELECT * FROM counted UNION ALL SELECT 'all', 'all', 'all', sum(n)::BIGINT FROM counted"""
+ORACLE["run_summaries"] = f"""WITH {SUITE} SELECT split_part(case_id, '/', -1) AS run, count(*) AS cases, round(avg(reciprocal_rank), 6) AS macro_reciprocal_rank, round(avg(average_precision), 6) AS macro_average_precision,
+  round(avg(precision), 6) AS macro_precision, round(avg(recall), 6) AS macro_recall, round(avg(ndcg), 6) AS macro_ndcg FROM metrics WHERE k = 5 GROUP BY 1"""
+ORACLE["missing_papers"] = """WITH sides AS (SELECT search_id, paper_id, count(DISTINCT retriever_name) AS n FROM chunk_hits WHERE paper_id IS NOT NULL AND retriever_name IN ('bm25_fulltext', 'vector') GROUP BY ALL)
+  SELECT search_id, string_agg(paper_id, ',' ORDER BY paper_id) AS ids FROM sides WHERE n = 1 GROUP BY search_id"""
+ORACLE["saved_rankings"] = """WITH once AS (SELECT DISTINCT ON (hit_no) * FROM chunk_hits WHERE paper_id IS NOT NULL ORDER BY hit_no),
+  saved AS (SELECT search_id || '/' || retriever_name AS case_id, list(trim(paper_id, ' ')) AS ids FROM once GROUP BY 1)
+  SELECT case_id, CASE WHEN len(list_filter(ids, lambda x: x = '')) > 0 THEN 'hit_without_id' WHEN len(list_distinct(ids)) < len(ids) THEN 'repeated_id' ELSE 'sound' END AS reason,
+    CASE WHEN len(list_filter(ids, lambda x: x = '')) = 0 AND len(list_distinct(ids)) = len(ids) THEN len(ids) ELSE 0 END AS ids FROM saved"""
+_LEXICAL = ORACLE["suite_hybrid"][ORACLE["suite_hybrid"].index("  terms(case_id") : ORACLE["suite_hybrid"].index("  turned AS")]
+ORACLE["suite_rerank"] = f"""WITH {TOKENS}, {_LEXICAL.replace("rank <= 300", "rank <= 200")}
+  ranking AS (SELECT * FROM lexical WHERE rank <= 40),
+  best AS (SELECT h.case_id, h.paper_id, h.chunk_id, h.coverage AS score, row_number() OVER (PARTITION BY h.case_id, h.paper_id ORDER BY round(h.coverage, 12) DESC, h.chunk_id) AS p FROM lexical_hits h JOIN ranking USING (case_id, paper_id)),
+  averaged AS (SELECT case_id, paper_id, avg(score) AS score, count(*) AS chunks FROM best WHERE p <= 3 GROUP BY ALL)
+  SELECT case_id, row_number() OVER (PARTITION BY case_id ORDER BY round(a.score, 12) DESC, paper_id) AS rank, r.rank AS original_rank, paper_id, round(a.score, 6) AS score, chunks FROM averaged a JOIN ranking r USING (case_id, paper_id)"""
+_QUERY_TOKENS = ", ".join(f"('{c}', '{t}')" for c, q in (("c1", "relevance of cautious rankers"), ("c2", "memory and agents under private data"), ("c3", "translation of long documents")) for t in q.split())
+ORACLE["suite_token_hash"] = rf"""WITH once AS (SELECT DISTINCT ON (chunk_id) chunk_id, paper_id, text FROM chunks WHERE length(text) > 0 ORDER BY chunk_id),
+  cut AS (SELECT *, CASE WHEN length(text) <= 3200 THEN 1 ELSE ((length(text) - 3200 + 2999) // 3000) + 1 END AS n FROM once),
+  pieces AS (SELECT *, unnest(range(n)) AS place FROM cut),
+  kept AS (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY place) - 1 AS i, count(*) OVER (PARTITION BY chunk_id) AS c, substring(text, place * 3000 + 1, 3200) AS piece FROM pieces WHERE n = 1 OR regexp_matches(substring(text, place * 3000 + 1, 3200), '\S')),
+  named AS (SELECT paper_id, CASE WHEN c = 1 THEN chunk_id ELSE chunk_id || '::subchunk-' || lpad(i::VARCHAR, 4, '0') END AS own, piece FROM kept),
+  tokens AS (SELECT own, lower(unnest(regexp_extract_all(piece, '[A-Za-z0-9_]+'))) AS t FROM named UNION ALL SELECT * FROM (VALUES {_QUERY_TOKENS}) AS q(own, t)),
+  summed AS (SELECT own, ('0x' || substring(sha256(t), 1, 16))::UBIGINT % 128 AS b, sum(CASE WHEN ('0x' || substring(sha256(t), 17, 2))::INT % 2 = 0 THEN 1.0 ELSE -1.0 END) AS x FROM tokens GROUP BY ALL),
+  unit AS (SELECT own, b, x / sqrt(sum(x * x) OVER (PARTITION BY own)) AS v FROM summed),
+  compared AS (SELECT q.own AS case_id, u.own, sum(u.v * q.v) AS score FROM unit u JOIN unit q ON q.b = u.b AND q.own IN ('c1', 'c2', 'c3') AND u.own NOT IN ('c1', 'c2', 'c3') GROUP BY ALL),
+  every AS (SELECT case_id, paper_id, n.own, coalesce(score, 0.0) AS score FROM named n CROSS JOIN (VALUES ('c1'), ('c2'), ('c3')) AS c(case_id) LEFT JOIN compared USING (case_id, own)),
+  hits AS (SELECT *, row_number() OVER (PARTITION BY case_id ORDER BY round(score, 12) DESC, paper_id DESC, own DESC) AS rank FROM every QUALIFY rank <= 300),
+  top AS (SELECT *, row_number() OVER (PARTITION BY case_id, paper_id ORDER BY round(score, 12) DESC, rank) AS p FROM hits QUALIFY p <= 3),
+  papers_of AS (SELECT case_id, paper_id, 0.7 * max(score) + 0.3 * avg(score) AS score FROM top GROUP BY ALL)
+  SELECT case_id, row_number() OVER (PARTITION BY case_id ORDER BY round(score, 12) DESC, paper_id DESC) AS rank, paper_id, round(score, 6) AS score FROM papers_of QUALIFY rank <= 20"""

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from folioflow.operators import search, suites
+from folioflow.operators import evaluate, fusion, quality, search, store, suites
 from folioflow.sources import records
 
 CHUNKS = "paper_id string, chunk_index int, chunk_id string, text string, section_path array<string>"
@@ -59,3 +59,25 @@ def test_source_rules(spark):
     assert [[(x["name"], x["affiliation"]) for x in r[0]] for r in pairs] == [[("A", "X"), ("B", "")], [("A", "X")], []]
     checks = spark.sql("select array(named_struct('name', 'c', 'passed', true, 'score', 1D, 'weight', 2D, 'critical', false)) x").select(records.stored_checks(c("x"))).first()[0]
     assert checks["c"]["weight"] == 2.0
+
+
+def test_saved_rankings_are_read_and_checked(spark):
+    saved = [("a", '{"paper_search_result": {"hits": [{"paper_id": " x "}, {"paper_id": "y"}]}}'), ("b", "{}"), ("c", '{"paper_search_result": {"hits": [{"paper_id": " "}]}}'), ("d", '{"paper_search_result": {"hits": [{"paper_id": "x"}, {"paper_id": "x"}]}}'), ("e", None), ("f", "no json"), ("g", '{"paper_search_result": {"hits": []}}')]
+    good, bad = evaluate.saved_ranking(spark.createDataFrame(saved, "case_id string, j string"), "j")
+    assert [tuple(r) for r in good.orderBy("rank").collect()] == [("a", 1, "x"), ("a", 2, "y")]
+    assert {tuple(r) for r in bad.collect()} == {("b", "no_hits"), ("c", "hit_without_id"), ("d", "repeated_id"), ("e", "no_hits"), ("f", "no_hits")}
+
+
+def test_results_must_belong_to_the_dataset(spark):
+    cases = spark.createDataFrame([("a", "q"), ("b", "r"), ("c", "s"), ("c", "s")], "case_id string, query string")
+    results = spark.createDataFrame([("a", "q"), ("b", "other"), ("c", "s"), ("z", "q")], "case_id string, query string")
+    assert {tuple(r) for r in evaluate.unsound_cases(results, cases).collect()} == {("b", "another_query"), ("c", "case_twice_in_dataset"), ("z", "unknown_case")}
+
+
+def test_single_rows_united_ids_and_counters(spark):
+    df = spark.createDataFrame([("k", 1), ("k", 1), ("l", 2)], "key string, n int")
+    assert store.by_key(df, "key", "k").count() == 1 and store.by_key(df, "key", "none").count() == 0
+    parts = [spark.createDataFrame(x, "paper_id string") for x in ([("b",), ("a",)], [("b",), ("c",)])]
+    assert fusion.united_ids(*parts).first()["ids"] == ["a", "b", "c"]
+    runs = spark.createDataFrame([("ok", True), ("ok", True), (None, False)], "status string, retried boolean")
+    assert {tuple(r) for r in quality.run_counters(runs, ["status", "retried"]).collect()} == {("ok", "true", 2), ("<missing>", "false", 1), ("all", "all", 3)}
