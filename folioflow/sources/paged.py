@@ -70,7 +70,7 @@ def _asked(df: DataFrame, text: str, ask: Callable, batch: int, name: str, dimen
                 rows = known[at : at + batch]
                 answers = ask(frame.loc[rows, text].tolist())
                 if len(answers) != len(rows):
-                    raise ValueError(f"{len(rows)} texts, but {len(answers)} answers")
+                    raise ValueError(f"{len(rows)} texts, but {len(answers)} {'scores' if dimension is None else 'vectors'}")
                 out.loc[rows] = pd.Series([made(x) for x in answers], index=rows, dtype="object")
             yield frame.assign(**{name: out.astype("float64") if dimension is None else out})
 
