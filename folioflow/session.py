@@ -10,19 +10,15 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def build_session(app_name: str = "folioflow", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
-    """A session with adaptive execution and UTC; cluster settings are left to the cluster."""
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
+def build_session(app_name: str = "folioflow", master: str | None = None, shuffle_partitions: int | None = None, **more: str) -> SparkSession:
+    """A session with adaptive execution and UTC; cluster settings are left to the cluster. ``more`` are settings with double underscores for dots."""
+    builder = SparkSession.builder.appName(app_name).config("spark.sql.adaptive.enabled", "true").config("spark.sql.adaptive.skewJoin.enabled", "true").config("spark.sql.session.timeZone", "UTC")
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    for name, value in more.items():
+        builder = builder.config(name.replace("__", "."), value)
     return builder.getOrCreate()
 
 
